@@ -26,8 +26,8 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None
     """Seats by highest quotient weight / (2 * seats held + 1); ties go to the lower index. A party at its cap gets no more;
     seats nobody can take stay empty. Weights of 0 or less get nothing.
 
-    Whole shares are dealt out first: with a fair share of s seats a party gets at least floor(s) - 1 in any case of at most
-    as many parties as seats, so only the remaining few go through the heap."""
+    Without caps the bulk of the seats is dealt at once: every quotient above total / (2 * (seats - parties)) is among the
+    highest, so those are held from the start and only about as many seats as parties go through the heap."""
     n = len(weights)
     caps = [seats] * n if caps is None else caps
     w = [max(0.0, x) for x in weights]
@@ -37,7 +37,6 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None
     held = [0] * n
     heap = [(-w[i], i) for i in range(n) if w[i] > 0 and caps[i] > 0]
     if caps == [seats] * n or all(c >= seats for c in caps):
-        # all quotients above this level are surely among the highest
         level = total / (2 * max(1, seats - n))
         for i in range(n):
             if w[i] > 0 and seats > 2 * n:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import encoding, mixing
+from millrace.llm import encoding, garbled, mixing
 from millrace.session import cut, read_table
 
 
@@ -25,5 +25,13 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf)[1]
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_chosen, p7_shares)}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return garbled.found(read_table(spark, sf, "documents"))
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return garbled.repair(read_table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p7_chosen, p7_shares, p8_found, p8_restored)}
 ORACLES: dict[str, str] = {}
