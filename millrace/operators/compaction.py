@@ -105,6 +105,9 @@ def found(files: DataFrame, settings: DataFrame) -> DataFrame:
 
 
 _WRITTEN = "topic string, kafka_partition int, shard int, group_no int, path string, n_files long, n_records long, n_bytes long, digest string"
+#: A row group of a merged file holds about so many bytes of records.
+ROW_GROUP_BYTES = 32 << 20
+_WRITTEN_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 _FILE = pa.schema([("file_id", pa.int64()), ("line_no", pa.int32()), ("record", pa.string())])
 
 
@@ -113,36 +116,55 @@ def _order_free(texts: list[str]) -> int:
     return sum(int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "big") for t in texts)
 
 
+def _lines(content: str | None) -> list[str]:
+    """The records of a file: its lines that aren't blank, whatever ends them."""
+    return [x for x in (content or "").replace("\r\n", "\n").replace("\r", "\n").split("\n") if x.strip(" \t\x0b\x0c")]
+
+
 def _write(target: str):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Streams sorted rows (group keys, file_id, file_content) into one Parquet file per group; a row per file written."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(target)
-        current, writer, state = None, None, None
+        current, writer, state = None, None, {}
+        ids, numbers, texts, held = [], [], [], 0
+
+        def flush() -> None:
+            nonlocal held
+            writer.write_table(pa.table([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())], schema=_FILE))
+            ids.clear(), numbers.clear(), texts.clear()
+            held = 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
+            flush()
             writer.close()
             with fs.open_input_file(state["path"]) as f:
                 back = pq.ParquetFile(f).metadata.num_rows
             if back != state["n_records"]:
                 raise OSError(f"{state['path']}: {back} records read back, {state['n_records']} written")
-            row = {k: v for k, v in state.items() if k != "sum"} | {"digest": f"{state['sum'] % (1 << 64):016x}"}
-            return pd.DataFrame([row])[[c.split()[0] for c in _WRITTEN.split(", ")]]
+            values = [*current, state["path"], state["n_files"], state["n_records"], state["n_bytes"], f"{state['sum'] % (1 << 64):016x}"]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _WRITTEN_TYPES, strict=True)], names=[c.split()[0] for c in _WRITTEN.split(", ")])
 
-        for pdf in it:
-            for key, part in pdf.groupby(["topic", "kafka_partition", "shard", "group_no"], sort=False, dropna=False):
+        for batch in it:
+            for row in batch.to_pylist():
+                key = (row["topic"], row["kafka_partition"], row["shard"], row["group_no"])
                 if key != current:
                     if writer is not None:
                         yield close()
-                    current = key
-                    path = f"{base}/data/{uuid.uuid4().hex}.parquet"
-                    writer = pq.ParquetWriter(path, _FILE, filesystem=fs, compression="zstd")
-                    state = dict(zip(("topic", "kafka_partition", "shard", "group_no"), key, strict=True)) | {"path": path, "n_files": 0, "n_records": 0, "n_bytes": 0, "sum": 0}
-                for file_id, content in zip(part["file_id"], part["file_content"], strict=True):
-                    lines = [x for x in (content or "").replace("\r\n", "\n").replace("\r", "\n").split("\n") if x.strip(" \t\x0b\x0c")]
-                    writer.write_table(pa.table([pa.array([file_id] * len(lines), pa.int64()), pa.array(range(len(lines)), pa.int32()), pa.array(lines, pa.string())], schema=_FILE))
-                    state["n_files"] += 1
-                    state["n_records"] += len(lines)
-                    state["n_bytes"] += sum(len(x.encode()) + 1 for x in lines)
-                    state["sum"] += _order_free(lines)
+                    current, state = key, {"path": f"{base}/data/{uuid.uuid4().hex}.parquet", "n_files": 0, "n_records": 0, "n_bytes": 0, "sum": 0}
+                    writer = pq.ParquetWriter(state["path"], _FILE, filesystem=fs, compression="zstd")
+                lines = _lines(row["file_content"])
+                size = sum(len(x.encode()) + 1 for x in lines)
+                ids += [row["file_id"]] * len(lines)
+                numbers += range(len(lines))
+                texts += lines
+                held += size
+                state["n_files"] += 1
+                state["n_records"] += len(lines)
+                state["n_bytes"] += size
+                if held >= ROW_GROUP_BYTES:
+                    flush()
+                state["sum"] += _order_free(lines)
         if writer is not None:
             yield close()
 
@@ -161,7 +183,7 @@ def compact(files: DataFrame, settings: DataFrame, target: str) -> DataFrame:
     todo = cut(plan(files, settings).where("duplicate_of is null"))
     keys = ["topic", "kafka_partition", "shard", "group_no"]
     rows = todo.select(*keys, "file_id").join(files.select("file_id", "file_content"), "file_id")
-    written = cut(rows.repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInPandas(_write(uri), _WRITTEN))
+    written = cut(rows.repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(uri), _WRITTEN))
     want = todo.agg(F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r")).first()
     got = written.agg(F.sum("n_files").alias("f"), F.sum("n_records").alias("r")).first()
     if (want.f, want.r or 0) != (got.f or 0, got.r or 0):
