@@ -117,10 +117,14 @@ def choose(counts: DataFrame, targets: DataFrame, seed: int = 0, blocks: int = B
     chosen = drawn.withColumn("repeats", (full + F.when(extra, 1).otherwise(0)).cast("int")).where("repeats > 0").select("mix_name", "source", "doc_id", "n_tokens", "repeats")
     chosen = cut(chosen)
     actual = chosen.groupBy("mix_name", "source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("actual_tokens"))
-    target_tokens: dict[tuple, int] = {}
-    for m, s, _, _, _, t in rows:
-        target_tokens[m, s] = t
-    goal = [(r.mix_name, r.source, r.target_share, int((r.target_share or 0) * (r.corpus_ratio or 0) * corpus), sum(totals.get(r.source, {}).values())) for r in wanted if r.mix_name is not None and r.source is not None]
+    whole: dict[str, float] = {}
+    for r in wanted:
+        whole[r.mix_name] = whole.get(r.mix_name, 0.0) + max(0.0, r.target_share or 0.0)
+    goal = []
+    for r in wanted:
+        if r.mix_name is not None and r.source is not None:
+            share = max(0.0, r.target_share or 0.0) / max(1.0, whole[r.mix_name])  # shares of more than the whole are scaled
+            goal.append((r.mix_name, r.source, r.target_share, int(share * (r.corpus_ratio or 0) * corpus), sum(totals.get(r.source, {}).values())))
     goals = spark.createDataFrame(goal, "mix_name string, source string, target_share double, target_tokens long, available_tokens long").dropDuplicates(["mix_name", "source"])
     shares = goals.join(actual, ["mix_name", "source"], "left").withColumn("actual_tokens", F.coalesce("actual_tokens", F.lit(0)).cast("long"))
     total = F.sum("actual_tokens").over(Window.partitionBy("mix_name"))
