@@ -174,26 +174,39 @@ def cosine(a: dict, b: dict) -> float:
 _DIFF = "batch_id long, topic string, parent string, name string, kind string, change string, profile map<string,long>"
 
 
+def _groups(it: Iterator[pd.DataFrame], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of sorted frames by their first columns, across frames; only one group is held at a time."""
+    key, rows = None, []
+    for pdf in it:
+        for row in zip(*[pdf[c].tolist() for c in pdf.columns], strict=True):
+            if row[:n_keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:n_keys], []
+            rows.append(row[n_keys:])
+    if rows:
+        yield key, rows
+
+
 def _diff(registry: dict):
-    """Differences of one batch against its topic's registered fields, renames still as removed and added."""
+    """Differences of each batch against its topic's registered fields, renames still as removed and added."""
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        batch, topic = key
+    def one(batch: int, topic: str, facts: list[tuple]) -> Iterator[tuple]:
         registered = registry.get(topic, {})
-        typed = pdf[pdf["origin"].isin(["schema", "json"])]
         kinds: dict[tuple[str, str], dict[str, Counter]] = {}
         spellings: dict[tuple[str, str], Counter] = {}
-        for origin, parent, name, kind, n in zip(typed["origin"], typed["parent"], typed["name"], typed["kind"], typed["n"], strict=True):
-            kinds.setdefault((parent, name.lower()), {}).setdefault(origin, Counter())[kind] += n
-            spellings.setdefault((parent, name.lower()), Counter())[name] += n
-        values = pdf[pdf["origin"] == "value"]
         profiles: dict[tuple[str, str], dict[str, int]] = {}
-        for parent, name, feat, n in zip(values["parent"], values["name"], values["feature"], values["n"], strict=True):
-            shape = profiles.setdefault((parent, name.lower()), {})
-            shape[feat] = shape.get(feat, 0) + int(n)
-        out, listed = [], set()
+        for origin, parent, name, kind, feat, n in facts:
+            at = (parent, name.lower())
+            if origin == "value":
+                shape = profiles.setdefault(at, {})
+                shape[feat] = shape.get(feat, 0) + int(n)
+            elif origin in ("schema", "json"):
+                kinds.setdefault(at, {}).setdefault(origin, Counter())[kind] += n
+                spellings.setdefault(at, Counter())[name] += n
+        listed: set[str] = set()
         if not kinds:
-            return pd.DataFrame(out, columns=[c.split()[0] for c in _DIFF.split(", ")])
+            return
 
         def below(path: str) -> bool:
             return any(path.startswith(p + ".") for p in listed)
@@ -207,36 +220,46 @@ def _diff(registry: dict):
             got = kinds.get((parent, name))
             if got is None:
                 listed.add(path)
-                out.append((batch, topic, parent, name, want, "removed", None))
-                continue
-            differs = False
-            if "schema" in got:
-                differs = set(got["schema"]) != {want}
-            if "json" in got and not differs:
-                seen = {k for k in got["json"] if k != "null"}
-                expected = _JSON_CLASS.get(want, want)
-                if expected == "float" and "float" in seen:
-                    seen.discard("int")
-                if expected == "string":
-                    seen = {"string"} if "string" in seen and seen <= {"string", "timestamp"} else seen
-                    if _ID_LIKE.search(name) and seen == {"timestamp"}:
-                        seen = {"string"}
-                differs = bool(seen) and seen != {expected}
-            if differs:
+                yield batch, topic, parent, name, want, "removed", None
+            elif _retyped(got, want, name):
                 listed.add(path)
-                out.append((batch, topic, parent, name, want, "retyped", None))
+                yield batch, topic, parent, name, want, "retyped", None
         for (parent, name), got in kinds.items():
             path = parent + name
             if path not in registered and not below(path):
                 all_kinds = Counter({k: n for c in got.values() for k, n in c.items() if k != "null"})
                 kind = ("=" if "schema" in got else "~") + (all_kinds.most_common(1)[0][0] if all_kinds else "null")
                 spelled = min(spellings[parent, name].items(), key=lambda x: (-x[1], x[0]))[0]
-                out.append((batch, topic, parent, spelled, kind, "added", profiles.get((parent, name), {})))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _DIFF.split(", ")])
+                yield batch, topic, parent, spelled, kind, "added", profiles.get((parent, name), {})
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in _DIFF.split(", ")]
+        out: list[tuple] = []
+        for (batch, topic), facts in _groups(it, 2):
+            out += one(batch, topic, facts)
+            if len(out) > 5000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        yield pd.DataFrame(out, columns=names)
 
     return run
 
 
+def _retyped(got: dict[str, Counter], want: str, name: str) -> bool:
+    """Whether the types a batch shows for a registered field aren't its own."""
+    if "schema" in got and set(got["schema"]) != {want}:
+        return True
+    if "json" not in got:
+        return False
+    seen = {k for k in got["json"] if k != "null"}
+    expected = _JSON_CLASS.get(want, want)
+    if expected == "float" and "float" in seen:
+        seen.discard("int")
+    if expected == "string" and (("string" in seen and seen <= {"string", "timestamp"}) or (_ID_LIKE.search(name) and seen == {"timestamp"})):
+        seen = {"string"}
+    return bool(seen) and seen != {expected}
+
+
 def compatible(kind: str, registered: str) -> bool:
     """Whether an added field's type (``=`` from a schema, ``~`` as JSON shows) can be the registered one."""
     sign, k = kind[:1], kind[1:]
@@ -254,44 +277,49 @@ LEAST_SCORE = 0.45
 
 
 def _pair(baseline: dict, registry: dict, least: float):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        topic = key[1]
-        removed = [r for r in pdf.itertuples() if r.change == "removed"]
-        added = [r for r in pdf.itertuples() if r.change == "added"]
+    """Pairs gone and new fields of each batch, best score first; every field takes part in one pair at most."""
+
+    def one(topic: str, rows: list[tuple]) -> Iterator[tuple]:
+        removed = [r for r in rows if r[3] == "removed"]
         scored = []
-        for a in added:
-            free = a.free_share if a.free_share == a.free_share and a.free_share is not None else 0.0
-            profile = dict(a.profile) if a.profile is not None else {}
-            for r in removed:
-                if r.parent != a.parent or not compatible(a.kind, r.kind):
+        for parent, name, kind, change, profile, free in rows:
+            if change != "added":
+                continue
+            profile = dict(profile) if profile is not None else {}
+            for r_parent, r_name, r_kind, *_ in removed:
+                if r_parent != parent or not compatible(kind, r_kind):
                     continue
-                names = name_similarity(a.name, r.name)
-                base = baseline.get((topic, r.parent + r.name), {})
+                names = name_similarity(name, r_name)
+                if free is not None and free == free and free >= FREE_SHARE and names < 0.8:
+                    continue
+                base = baseline.get((topic, r_parent + r_name), {})
                 shapes = cosine(profile, base) if profile and base else 0.5
                 score = 0.45 * names + 0.55 * shapes
-                if free >= FREE_SHARE and names < 0.8:
-                    continue
                 if score >= least:
-                    scored.append((score, a.name, r.name, r.parent))
-        renamed, taken, source = {}, set(), {}
-        for score, a, r, parent in sorted(scored, key=lambda x: (-x[0], x[1:])):
-            if (parent, a) in taken or (parent, r) in renamed:
-                continue
-            renamed[parent, r] = a
-            taken.add((parent, a))
-            source[parent, r] = score
-        out = []
-        for row in pdf.itertuples():
-            k = (row.parent, row.name)
-            path = row.parent + row.name
-            known = registry.get(topic, {}).get(path)
-            if row.change == "added" and k in taken:
+                    scored.append((score, name, r_name, parent))
+        renamed, taken = {}, set()
+        for _, new, old, parent in sorted(scored, key=lambda x: (-x[0], x[1:])):
+            if (parent, new) not in taken and (parent, old) not in renamed:
+                renamed[parent, old] = new
+                taken.add((parent, new))
+        registered = registry.get(topic, {})
+        for parent, name, _, change, *_ in rows:
+            known = registered.get(parent + name)
+            if change == "added" and (parent, name) in taken:
                 continue
-            if row.change == "removed" and k in renamed:
-                out.append((row.batch_id, topic, known[0], "renamed", row.parent + renamed[k]))
+            if change == "removed" and (parent, name) in renamed:
+                yield known[0], "renamed", parent + renamed[parent, name]
             else:
-                out.append((row.batch_id, topic, known[0] if known else _as_registered(path, registry.get(topic, {})), row.change, None))
-        return pd.DataFrame(out, columns=["batch_id", "topic", "field_path", "change", "new_path"])
+                yield known[0] if known else _as_registered(parent + name, registered), change, None
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        for (batch, topic), rows in _groups(it, 2):
+            out += ((batch, topic, *r) for r in one(topic, rows))
+            if len(out) > 5000:
+                yield pd.DataFrame(out, columns=["batch_id", "topic", "field_path", "change", "new_path"])
+                out = []
+        yield pd.DataFrame(out, columns=["batch_id", "topic", "field_path", "change", "new_path"])
 
     return run
 
@@ -316,8 +344,8 @@ def report(records: DataFrame, fields: DataFrame, least: float = LEAST_SCORE) ->
     top = shapes.groupBy("topic", "parent", "name").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "feature")), asc=False), 1, 64).alias("top"))
     for r in registry_rows(top):  # bounded by the registered fields
         baseline[r.topic, r.parent + r.name] = {x.feature: int(x.n) for x in r.top}
-    diffs = facts.where(F.col("batch_id").isNotNull()).groupBy("batch_id", "topic").applyInPandas(_diff(registry), _DIFF)
-    diffs = cut(diffs)
+    batches = facts.where(F.col("batch_id").isNotNull()).select("batch_id", "topic", "origin", "parent", "name", "kind", "feature", "n")
+    diffs = cut(batches.repartition("batch_id", "topic").sortWithinPartitions("batch_id", "topic").mapInPandas(_diff(registry), _DIFF))
     gone = diffs.where("change = 'removed'").select("batch_id", "topic", "parent").distinct().withColumn("gone", F.lit(True))
     added = diffs.where("change = 'added'").join(gone, ["batch_id", "topic", "parent"], "left")
     free = added.groupBy(F.lower("name").alias("low")).agg(F.avg(F.when(F.col("gone").isNull(), 1.0).otherwise(0.0)).alias("free_share"))
@@ -325,7 +353,8 @@ def report(records: DataFrame, fields: DataFrame, least: float = LEAST_SCORE) ->
     open_ = diffs.join(both, ["batch_id", "topic"], "left_semi").withColumn("low", F.lower("name")).join(free, "low", "left").drop("low")
     settled = diffs.join(both, ["batch_id", "topic"], "left_anti")
     out = "batch_id long, topic string, field_path string, change string, new_path string"
-    paired = open_.groupBy("batch_id", "topic").applyInPandas(_pair(baseline, registry, least), out)
+    open_ = open_.select("batch_id", "topic", "parent", "name", "kind", "change", "profile", "free_share")
+    paired = open_.repartition("batch_id", "topic").sortWithinPartitions("batch_id", "topic").mapInPandas(_pair(baseline, registry, least), out)
 
     def plain(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
