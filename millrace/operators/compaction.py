@@ -79,7 +79,7 @@ def plan(files: DataFrame, settings: DataFrame) -> DataFrame:
     duplicate_of is the smallest file_id of the same flush (null for files to be merged; such duplicates have no group)."""
     small = measured(files, settings).where((F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes")))
     digest = F.md5(F.regexp_replace(F.coalesce("file_content", F.lit("")), r"[\r\n]+", "\n"))
-    small = small.withColumn("digest", digest).drop("file_content")
+    small = cut(small.withColumn("digest", digest).drop("file_content"))  # the contents are read once, here
     flush = ["topic", "kafka_partition", "first_offset", "last_offset", "digest"]
     first = small.groupBy(*[F.col(c).alias(f"f_{c}") for c in flush]).agg(F.min("file_id").alias("first_file"))
     same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in flush]
