@@ -103,9 +103,11 @@ def _screen(expected: int):
     return run
 
 
-def verified(ids: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def verified(records: DataFrame, topics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(delivery_id, identifier) of the identifiers that more than one delivery has."""
-    span = ids.agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    at = F.unix_micros(F.col("delivered_at").cast("timestamp"))
+    span = records.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), (F.count(F.lit(1)) * 2).alias("n")).first()
+    ids = identifiers(records, topics)
     width = max(1, ((span.hi or 0) - (span.lo or 0)) // buckets + 1)
     bucket = F.coalesce(F.floor((F.col("at") - F.lit(span.lo or 0)) / F.lit(width)), F.lit(0)).cast("int")
     keyed = ids.select("delivery_id", "identifier", F.xxhash64("identifier").alias("h"), bucket.alias("bucket"))
@@ -142,7 +144,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def copies(records: DataFrame, topics: DataFrame) -> DataFrame:
     """Every delivery that isn't the first of its group: first_id, copy_id. Empty input: no rows; a delivery_id that
     appears in several identical rows counts once; other columns are not read."""
-    groups = components(verified(identifiers(records, topics)))
+    groups = components(verified(records, topics))
     return groups.where("delivery_id <> first_id").select("first_id", F.col("delivery_id").alias("copy_id"))
 
 
