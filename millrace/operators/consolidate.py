@@ -6,15 +6,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def runs(df: DataFrame, order: str, signature: str, partition: list[str] | None = None) -> DataFrame:
-    """Adds run_id: numbers the stretches of equal ``signature`` along ``order`` within a partition, from 1 (gaps and
-    islands). Nulls are equal to each other. Without a partition all rows of the table are one sequence, and ordered by one
-    task; at scale pass topic and partition, as the log's order holds only within them."""
-    w = Window.partitionBy(*(partition or [])).orderBy(order)
-    previous = F.lag(signature).over(w)
-    first = F.row_number().over(w) == 1
-    starts = F.when(first | ~previous.eqNullSafe(F.col(signature)), 1).otherwise(0)
-    return df.withColumn("__start", starts).withColumn("run_id", F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__start")
+#: Rows of one stretch of the order, about; what one task numbers.
+STRETCH = 1_000_000
+
+
+def _stretches(df: DataFrame, order: str, rows: int) -> DataFrame:
+    """Adds __s, the stretch of the order a row lies in: equal widths between the least and the largest value, so many that
+    each holds about ``rows`` rows. The numbers follow from two constants, so they are the same in every pass."""
+    span = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if not span.n or span.lo is None:
+        return df.withColumn("__s", F.lit(0).cast("long"))
+    width = max(1, -(-(span.hi - span.lo + 1) // max(1, -(-span.n // rows))))
+    return df.withColumn("__s", F.coalesce(F.floor((F.col(order) - F.lit(span.lo)) / F.lit(width)), F.lit(-1)).cast("long"))
+
+
+def _join(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Equi-join in which null keys are equal."""
+    named = other.select(*[F.col(k).alias(f"__j_{k}") for k in keys], *[c for c in other.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in keys]
+    return rows.join(named, on).drop(*[f"__j_{k}" for k in keys])
+
+
+def runs(df: DataFrame, order: str, signature: str, partition: list[str] | None = None, stretch: int = STRETCH) -> DataFrame:
+    """Adds run_id: numbers the stretches of equal ``signature`` along ``order`` (whole numbers, ties in any order) within a
+    partition, from 1 (gaps and islands). Nulls are equal to each other.
+
+    Runs are counted by stretches of the order: each stretch by its own window, then joined with what the earlier stretches
+    of its partition end with and add up to, so that neither one long sequence nor a hot partition is numbered by one task."""
+    keys = partition or []
+    rows = _stretches(df, order, stretch)
+    own = Window.partitionBy(*keys, "__s").orderBy(order)
+    previous = F.lag(signature).over(own)
+    rows = rows.withColumn("__first", F.row_number().over(own) == 1).withColumn("__start", F.when(F.col("__first") | previous.eqNullSafe(F.col(signature)), 0).otherwise(1))
+    rows = rows.withColumn("__upto", F.sum("__start").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = rows.groupBy(*keys, "__s").agg(F.sum("__start").alias("__starts"), F.min_by(signature, order).alias("__head"), F.max_by(signature, order).alias("__tail"))
+    along = Window.partitionBy(*keys).orderBy("__s")
+    joined = F.when(F.row_number().over(along) == 1, 1).when(F.lag("__tail").over(along).eqNullSafe(F.col("__head")), 0).otherwise(1)
+    ends = ends.withColumn("__open", joined)
+    before = F.sum(F.col("__open") + F.col("__starts")).over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__starts")
+    ends = ends.select(*keys, "__s", before.alias("__before"))
+    return _join(rows, ends, [*keys, "__s"]).withColumn("run_id", F.col("__before") + F.col("__upto")).drop("__s", "__first", "__start", "__upto", "__before")
 
 
 def consolidated(df: DataFrame, order: str, signature: str, partition: list[str] | None = None) -> DataFrame:
@@ -23,23 +54,15 @@ def consolidated(df: DataFrame, order: str, signature: str, partition: list[str]
     return runs(df, order, signature, partition).groupBy(*keys).agg(F.first(signature).alias("sig"), F.count(F.lit(1)).alias("n_rows"), F.min(order).alias("first_id"))
 
 
-def _ranged(df: DataFrame, order: str, partition: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows ranged by order (sorted within ranges) with their range number, and each range's row counts per partition."""
-    ranged = df.repartitionByRange(*[F.col(c) for c in partition], F.col(order)).sortWithinPartitions(*partition, order)
-    ranged = ranged.withColumn("__range", F.spark_partition_id())
-    return ranged, ranged.groupBy("__range", *partition).agg(F.count(F.lit(1)).alias("__n"))
-
-
-def flush_batches(df: DataFrame, partition: Column, order: str, size: int) -> DataFrame:
+def flush_batches(df: DataFrame, partition: Column, order: str, size: int, stretch: int = STRETCH) -> DataFrame:
     """Adds p (the partition) and b: the number of the flush a row falls into, ``size`` rows each in order, from 0.
 
-    Row numbers are counted by ranges of the order: within a range by its own window, plus the rows of earlier ranges of the
-    partition, so that a hot partition is never numbered by one task."""
-    rows, counts = _ranged(df.withColumn("p", partition), order, ["p"])
-    before = F.coalesce(F.sum("__n").over(Window.partitionBy("p").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.withColumn("__before", before).drop("__n")
-    within = F.row_number().over(Window.partitionBy("p", "__range").orderBy(order)) - 1
-    return rows.withColumn("__within", within).join(offsets, ["p", "__range"]).withColumn("b", F.floor((F.col("__before") + F.col("__within")) / size)).drop("__range", "__within", "__before")
+    Row numbers are counted as in :func:`runs`: within a stretch of the order, plus the rows of earlier stretches."""
+    rows = _stretches(df.withColumn("p", partition), order, stretch)
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("p").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = rows.groupBy("p", "__s").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", before).drop("__n")
+    within = F.row_number().over(Window.partitionBy("p", "__s").orderBy(order)) - 1
+    return _join(rows.withColumn("__within", within), offsets, ["p", "__s"]).withColumn("b", F.floor((F.col("__before") + F.col("__within")) / size)).drop("__s", "__within", "__before")
 
 
 def flush_reason(n: Column, size: Column, age: Column, limit_n: int, limit_size: int, limit_age: int, pressure: Column | None = None) -> Column:

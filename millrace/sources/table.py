@@ -203,9 +203,11 @@ class Table:
             files[path] = entry
         return files
 
-    def write(self, df: DataFrame, keys: list[str] | None = None, auto_create: bool = False, partition_by: str | list[str] | None = None, stream: str | None = None, batch: int | None = None, mode: str = "last_wins", order: list[str] | None = None, retries: int = 10, max_records: int = 0) -> str:
+    def write(self, df: DataFrame, keys: list[str] | None = None, auto_create: bool = False, partition_by: str | list[str] | None = None, stream: str | None = None, batch: int | None = None, mode: str = "last_wins", order: list[str] | None = None, retries: int = 10, max_records: int = 0, small: int = 0) -> str:
         """Appends or upserts a batch: upsert only with key columns and into a table that was there before. Returns what was
-        done: ``empty``, ``replayed`` (this stream's batch is in already), ``simpleInsert`` or ``upsertWithMergeInto``."""
+        done: ``empty``, ``replayed`` (this stream's batch is in already), ``simpleInsert`` or ``upsertWithMergeInto``.
+
+        An appended batch of at most ``small`` rows is written as one file (per partition value), however many tasks made it."""
         s = self.state()
         if s and stream is not None and batch is not None and s.batches.get(stream, -1) >= batch:
             return "replayed"
@@ -216,6 +218,8 @@ class Table:
         if keys and existed:
             self.upsert(rows, keys, mode, order, stream, batch, retries, max_records)
             return "upsertWithMergeInto"
+        if small and rows.limit(small + 1).count() <= small:
+            rows = rows.coalesce(1)
         self.append(rows, stream, batch, retries, max_records, keys or [])
         return "simpleInsert"
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from millrace import routing
 from millrace.config import Config
@@ -27,16 +28,45 @@ from millrace.sources.table import Catalog
 RECORD = "topic string, partition int, offset long, value binary"
 
 
-def records(spark: SparkSession, source: str, path: str, options: dict[str, str] | None = None) -> DataFrame:
+def admission(config: Config, source: str, partitions: int = 1) -> dict[str, str]:
+    """How much a micro-batch may take: the flush sizes, as the source's own limits. ``partitions`` are flushed together."""
+    if source == "kafka":
+        return {"maxOffsetsPerTrigger": str(config["flush.size"] * partitions), "kafka.max.poll.records": str(config["consumer.override.max.poll.records"])}
+    return {"maxBytesPerTrigger": str(config["file.size.bytes"] * partitions)}
+
+
+def records(spark: SparkSession, source: str, path: str | None, options: dict[str, str] | None = None, config: Config | None = None) -> DataFrame:
     """A record stream: ``kafka`` where its connector is on the class path (topic, partition, offset, value), else a file
-    source of that format whose files have these columns."""
-    options = options or {}
+    source of that format whose files have these columns. With ``config``, flush sizes bound each micro-batch."""
+    options = {**(admission(config, source) if config else {}), **(options or {})}
     reader = spark.readStream.format(source).options(**options)
     if source == "kafka":
         return reader.load().select("topic", "partition", "offset", "value")
     return reader.schema(RECORD).load(path)
 
 
+class Progress(StreamingQueryListener):
+    """Feeds the engine's own progress reports of a sink's query into its metrics."""
+
+    def __init__(self, name: str, metrics: Metrics):
+        self.name, self.metrics = name, metrics
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        if p.name == self.name:
+            self.metrics.record("input-rows", p.numInputRows)
+            self.metrics.record("trigger-ms", p.batchDuration)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
 class Sink:
     """foreachBatch target. ``transform`` maps each table's typed rows before they are written."""
 
@@ -63,7 +93,7 @@ class Sink:
         payloads, texts = arrow_ipc.split_formats(rows, "value")
         options = self.config.table(name)
         table = self.catalog.table(name)
-        common = {"keys": list(options.id_columns), "auto_create": options.auto_create, "partition_by": list(options.partition_by), "retries": self.config["max_retry_count"], "batch": batch_id}
+        common = {"small": self.config["data.inlining.row.limit"] or 0, "keys": list(options.id_columns), "auto_create": options.auto_create, "partition_by": list(options.partition_by), "retries": self.config["max_retry_count"], "batch": batch_id}
         if not texts.isEmpty():
             self._write_texts(name, table, texts.withColumn("value", F.col("value").cast("string")), common)
         if not payloads.isEmpty():
@@ -97,7 +127,20 @@ class Sink:
         typed = self.transform(name, typed) if self.transform else typed
         table.write(typed, stream=f"{self.name}/text", **common)
 
+    def typed(self, topic: str) -> Callable[[DataFrame, int], None]:
+        """A foreachBatch target for a stream of typed rows of one topic (Parquet, ORC, Avro, schema-bearing decoders): no
+        inference, the rows' own schema creates and evolves the table."""
+        name = routing.table_of(topic, self.routes)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            options = self.config.table(name)
+            rows = self.transform(name, batch) if self.transform else batch
+            self.catalog.table(name).write(rows, keys=list(options.id_columns), auto_create=options.auto_create, partition_by=list(options.partition_by), retries=self.config["max_retry_count"], stream=f"{self.name}/{topic}", batch=batch_id, small=self.config["data.inlining.row.limit"] or 0)
+
+        return write
+
     def start(self, stream: DataFrame, checkpoint: str, once: bool = False):
         """Starts the query: everything there is and stop (``once``), or a batch per flush interval."""
+        self.spark.streams.addListener(Progress(self.name, self.metrics))
         w = stream.writeStream.queryName(self.name).option("checkpointLocation", checkpoint).foreachBatch(self)
         return (w.trigger(availableNow=True) if once else w.trigger(**self.config.trigger())).start()

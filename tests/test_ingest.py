@@ -345,6 +345,24 @@ def test_runs(spark):
     assert consolidate.consolidated(df.limit(0), "o", "sig").count() == 0
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from(["a", "b", None])), min_size=1, max_size=30), st.integers(1, 7))
+def test_runs_in_stretches_equal_brute_force(spark, rows, stretch):
+    df = spark.createDataFrame([(i * i, p, s) for i, (p, s) in enumerate(rows)], "o long, p int, sig string")
+    want, last, n = {}, {}, {}
+    for i, (p, s) in enumerate(rows):
+        if p not in last or last[p] != s:
+            n[p] = n.get(p, 0) + 1
+        last[p] = s
+        want[i * i] = n[p]
+    assert {r.o: r.run_id for r in consolidate.runs(df, "o", "sig", ["p"], stretch).collect()} == want
+    seen: dict = {}
+    got = {r.o: r.b for r in consolidate.flush_batches(df, F.col("p"), "o", 3, stretch).collect()}
+    for i, (p, _) in enumerate(rows):
+        assert got[i * i] == seen.get(p, 0) // 3
+        seen[p] = seen.get(p, 0) + 1
+
+
 def test_flush_numbers(spark):
     df = spark.range(1000).selectExpr("id as o", "case when id % 10 < 9 then 0 else 1 end as q").repartition(7)
     got = {(r.p, r.o): r.b for r in consolidate.flush_batches(df, F.col("q"), "o", 100).collect()}
@@ -429,6 +447,27 @@ def test_stream_is_effectively_once(spark, tmp_path):
     assert Catalog(spark, str(tmp_path / "wh")).exists("batches") and sink.metrics.snapshot()["dead-letters"]["total"] == 1
 
 
+def test_typed_stream_and_small_commits(spark, tmp_path):
+    src = str(tmp_path / "in")
+    spark.range(40).selectExpr("id", "named_struct('a', id) as s").repartition(4).write.parquet(src)
+    c = config.parse({"data_path": str(tmp_path / "wh"), "table.things.auto-create": "true", "topic2table.map": "t:things"})
+    sink = Sink(spark, c, "typed")
+    stream = spark.readStream.schema("id long, s struct<a:long>").parquet(src)
+    q = stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).foreachBatch(sink.typed("t")).start()
+    q.awaitTermination()
+    assert q.exception() is None
+    t = sink.catalog.table("things")
+    assert t.read().count() == 40 and len(t.state().files) == 1 and t.columns()["s"] == "JSON"
+
+
+def test_admission():
+    c = config.parse({"data_path": "/x", "flush.size": "10", "file.size.bytes": "99"})
+    from millrace.streaming.stream import admission
+
+    assert admission(c, "kafka", 3)["maxOffsetsPerTrigger"] == "30" and admission(c, "parquet") == {"maxBytesPerTrigger": "99"}
+    assert c.trigger() == {"processingTime": "60000 milliseconds"}
+
+
 def test_metrics():
     now = [0.0]
     m = metrics.Metrics(lambda: now[0])
