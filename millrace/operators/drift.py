@@ -2,7 +2,8 @@
 
 Every record becomes a map of path to raw type: from its schema where it came with one, else from what its JSON shows.
 Path-type counts are aggregated per batch (map-side first), compared with the registered fields, and every difference is
-reported. A registered field that is gone and a new one beside it (same parent, same type) are one renamed field if the
+reported. Values with a schema and without one look different (times as numbers, as text) and are compared apart. A
+registered field that is gone and a new one beside it (same parent, same type) are one renamed field if the
 values and the names agree and the new name isn't one that also turns up in batches from which nothing is gone.
 :func:`project` then reads all batches into one typed table per topic, renames undone, failed casts counted.
 """
@@ -54,6 +55,13 @@ def json_kind(value: object, name: str) -> str:
     return "array" if isinstance(value, list) else "object"
 
 
+def features(value: object) -> list[str]:
+    """Shapes of a value. An object counts by its keys and by its kinds of values, as the keys of a map say little."""
+    if isinstance(value, dict):
+        return [feature(value), "v" + ",".join(sorted({feature(v)[:1] for v in value.values()}))]
+    return [feature(value)]
+
+
 def feature(value: object, depth: int = 0) -> str:
     """A coarse shape of a value out of a bounded set; fields of one meaning share their distribution of shapes."""
     if isinstance(value, bool):
@@ -128,7 +136,8 @@ def _observe(registry: dict):
                         if origin == "json":
                             facts[batch, topic, origin, parent, spelled, json_kind(v, low), ""] += 1
                         if v is not None:
-                            facts[None if known else batch, topic, "value", parent, spelled, "", feature(v)] += 1
+                            for shape in features(v):
+                                facts[None if known else batch, topic, "value", parent, spelled, origin, shape] += 1
                         if known and known[1] == "struct" and isinstance(v, dict):
                             todo.append((f"{parent}{low}.", v))
             out = pd.DataFrame([(*k, n) for k, n in facts.items()], columns=["batch_id", "topic", "origin", "parent", "name", "kind", "feature", "n"])
@@ -292,7 +301,8 @@ def _pair(baseline: dict, registry: dict, least: float):
                 names = name_similarity(name, r_name)
                 if free is not None and free == free and free >= FREE_SHARE and names < 0.8:
                     continue
-                base = baseline.get((topic, r_parent + r_name), {})
+                paths = [(topic, r_parent + r_name, o) for o in (("schema", "json") if kind[:1] == "=" else ("json", "schema"))]
+                base = baseline.get(paths[0]) or baseline.get(paths[1], {})
                 shapes = cosine(profile, base) if profile and base else 0.5
                 score = 0.45 * names + 0.55 * shapes
                 if score >= least:
@@ -341,9 +351,9 @@ def report(records: DataFrame, fields: DataFrame, least: float = LEAST_SCORE) ->
     facts = cut(facts)  # the Python pass over all records is not repeated
     baseline: dict = {}
     shapes = facts.where((F.col("origin") == "value") & F.col("batch_id").isNull())
-    top = shapes.groupBy("topic", "parent", "name").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "feature")), asc=False), 1, 64).alias("top"))
+    top = shapes.groupBy("topic", "parent", "name", "kind").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "feature")), asc=False), 1, 64).alias("top"))
     for r in registry_rows(top):  # bounded by the registered fields
-        baseline[r.topic, r.parent + r.name] = {x.feature: int(x.n) for x in r.top}
+        baseline[r.topic, r.parent + r.name, r.kind] = {x.feature: int(x.n) for x in r.top}
     batches = facts.where(F.col("batch_id").isNotNull()).select("batch_id", "topic", "origin", "parent", "name", "kind", "feature", "n")
     diffs = cut(batches.repartition("batch_id", "topic").sortWithinPartitions("batch_id", "topic").mapInPandas(_diff(registry), _DIFF))
     gone = diffs.where("change = 'removed'").select("batch_id", "topic", "parent").distinct().withColumn("gone", F.lit(True))
