@@ -24,7 +24,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut
+from millrace.session import cut, ship
 
 DEFAULT_FLUSH_SIZE = 1_000_000
 DEFAULT_FILE_BYTES = 268_435_456
@@ -77,6 +77,7 @@ def plan(files: DataFrame, settings: DataFrame) -> DataFrame:
     """One row per small live file: file_id, topic, kafka_partition, shard, group_no, duplicate_of, true sizes.
 
     duplicate_of is the smallest file_id of the same flush (null for files to be merged; such duplicates have no group)."""
+    ship(files.sparkSession)
     small = measured(files, settings).where((F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes")))
     digest = F.md5(F.regexp_replace(F.coalesce("file_content", F.lit("")), r"[\r\n]+", "\n"))
     small = cut(small.withColumn("digest", digest).drop("file_content"))  # the contents are read once, here

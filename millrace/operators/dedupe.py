@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut, registry_rows
+from millrace.session import cut, registry_rows, ship
 
 BUCKETS = 64
 BITS_PER_KEY = 12
@@ -105,6 +105,7 @@ def _screen(expected: int):
 
 def verified(records: DataFrame, topics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(delivery_id, identifier) of the identifiers that more than one delivery has."""
+    ship(records.sparkSession)
     at = F.unix_micros(F.col("delivered_at").cast("timestamp"))
     span = records.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), (F.count(F.lit(1)) * 2).alias("n")).first()
     ids = identifiers(records, topics)

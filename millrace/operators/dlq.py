@@ -20,7 +20,7 @@ from millrace.functions.jsonx import describe
 from millrace.operators import infer
 from millrace.operators.evolve import IncompatibleType, decide
 from millrace.operators.unify import SchemaConflict
-from millrace.session import registry_rows
+from millrace.session import registry_rows, ship
 
 
 def is_conflict(error: BaseException) -> bool:
@@ -78,6 +78,7 @@ def first_types(df: DataFrame, value: str, order: str, conflicts: set[str]) -> d
                             first[k] = (at, json.dumps(tree))
         yield pd.DataFrame([(k, a, t) for k, (a, t) in first.items()], columns=["k", "o", "tree"])
 
+    ship(df.sparkSession)
     rows = df.select(F.col(order).cast("long").alias("o"), F.col(value).alias("v")).mapInPandas(run, "k string, o long, tree string")
     best = rows.groupBy("k").agg(F.min_by("tree", "o").alias("tree"))
     return {r.k: infer.resolve(json.loads(r.tree), r.k, strict=False) for r in registry_rows(best)}
@@ -135,6 +136,7 @@ def split(df: DataFrame, value: str, schema: T.StructType, keep: list[str]) -> t
         for pdf in it:
             yield pdf.assign(error=pd.Series([verdict(v) for v in pdf[value]], dtype="object", index=pdf.index))
 
+    ship(df.sparkSession)
     src = df.select(*[c for c in keep if c != value], value)
     checked = src.mapInPandas(run, T.StructType([*src.schema.fields, T.StructField("error", T.StringType())]))
     return checked.where("error is null").drop("error"), checked.where("error is not null")

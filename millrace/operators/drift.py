@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import clock
-from millrace.session import cut, registry_rows
+from millrace.session import cut, registry_rows, ship
 
 _ID_LIKE = re.compile(r"(id|key)$")
 _LOGICAL = {"Timestamp": "timestamp", "Date": "date", "Time": "time"}
@@ -150,6 +150,7 @@ def _observe(registry: dict):
 def observe(records: DataFrame, fields: DataFrame) -> DataFrame:
     """Path-type and path-shape counts, one row each, aggregated: of schemas and JSON objects per batch, of registered
     fields' values per topic. Rows with null record_value don't count, nor do topics without registered fields."""
+    ship(records.sparkSession)
     src = records.select(F.col("batch_id").cast("long"), "topic", "value_schema", "record_value")
     raw = src.mapInPandas(_observe(fields_of(fields)), FACTS)
     keys = ["batch_id", "topic", "origin", "parent", "name", "kind", "feature"]

@@ -22,7 +22,7 @@ from millrace.functions import clock, idents
 from millrace.functions import timestamps as ts
 from millrace.functions.jsonx import describe
 from millrace.operators.unify import SchemaConflict
-from millrace.session import registry_rows
+from millrace.session import registry_rows, ship
 
 _ID_LIKE = re.compile(ts.ID_LIKE)
 _NUMBER_RANK = ("boolean", "int32", "int64", "float64")
@@ -124,6 +124,7 @@ def schema_tree(df: DataFrame, value: str) -> dict | None:
         if out is not None:
             yield pd.DataFrame({"tree": [json.dumps(_ordered(out))]})
 
+    ship(df.sparkSession)
     trees = df.select(F.col(idents.column(value)).alias("v")).mapInPandas(run, "tree string").distinct()
     out = None
     for r in registry_rows(trees):  # at most one tree per task

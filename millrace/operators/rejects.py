@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from millrace.functions import clock, fsm
-from millrace.session import registry_rows
+from millrace.session import registry_rows, ship
 
 _BITS = {"int8": 8, "int16": 16, "int32": 32, "int64": 64}
 _INT = re.compile(r"[+-]?[0-9]+")
@@ -186,6 +186,7 @@ def split(records: DataFrame, topics: DataFrame, fields: DataFrame, key: str = "
     ``fields`` holds the typed-checked values as text (null for empty ones); :func:`typed` casts them. A null text has no
     fields: ``columns`` for csv, ``quoting`` for json. Records of topics without a registered text format are ``columns``.
     Very long texts, repeated rows and other columns of any name are fine; an empty input gives an empty result."""
+    ship(records.sparkSession)
     known = registry(topics, fields)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import clock
+from millrace.session import ship
 
 #: Only these texts can have two readings; the first pass reads no others (fixed pattern of ``numeric`` notations).
 NUMERIC = r"^\s*[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{4}"
@@ -113,6 +114,7 @@ def normalise(df: DataFrame, topics: DataFrame, key: str = "row_id", topic: str
     ambiguous date), posterior, status (``canonical``, ``normalised``, ``ambiguous``, ``unreadable``). Null texts give no
     row, empty and blank ones are unreadable, repeated rows repeat, a null topic is UTC without order; other columns of
     ``df`` are not read, so clashing names don't matter."""
+    ship(df.sparkSession)
     texts = with_zones(melt(df, key, topic, list(columns)), topics)
     orders = learn_orders(texts, prior)
     joined = texts.join(orders.withColumnRenamed("topic", "o_topic").withColumnRenamed("field_name", "o_field"), F.col("topic").eqNullSafe(F.col("o_topic")) & (F.col("field_name") == F.col("o_field")), "left")

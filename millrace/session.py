@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 MAX_REGISTRY_ROWS = 200_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that executors need no installation of it. The
+    archive is made on the driver and served by Spark's own file server."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in sorted(os.walk(root)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(base, n), os.path.relpath(os.path.join(base, n), os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace.zip")
+    with open(path, "wb") as f:
+        f.write(content.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,6 +50,7 @@ def registry_rows(df: DataFrame, limit: int = MAX_REGISTRY_ROWS) -> list:
 
 def spread(df: DataFrame) -> DataFrame:
     """Repartition an input of fewer partitions than the cluster has cores (small files only); larger ones stay as read."""
+    ship(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 

@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from millrace import types as mt
 from millrace.functions import idents
-from millrace.session import registry_rows
+from millrace.session import registry_rows, ship
 
 
 class DataError(ValueError):
@@ -81,6 +81,7 @@ def read(df: DataFrame, payload: str, schema: T.StructType | None = None) -> Dat
             raise ValueError("No valid schemas found in records")
         with pa.ipc.open_stream(bytes(first[0].p)) as r:
             schema = spark_schema(r.schema)
+    ship(df.sparkSession)
     names = [(f.name, f.type) for f in to_arrow_schema(schema)]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +105,7 @@ def pack(df: DataFrame, rows: int = 1000) -> DataFrame:
             parts = [encode(batch.slice(i, rows)) for i in range(0, batch.num_rows, rows)]
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["payload"])
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, "payload binary")
 
 
