@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.automaton import Encoder
-from millrace.session import spread
+from millrace.session import ship, spread
 
 #: Where the vocabulary files lie; a parameter of every operator.
 TOKENIZERS = "/opt/tokenizers"
@@ -66,6 +66,7 @@ def decode(encoded: DataFrame, sent, key: str = "doc_id") -> DataFrame:
             texts = [enc.decode(ids) if ids is not None else None for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 
+    ship(encoded.sparkSession)
     kind = dict(encoded.dtypes)[key]
     return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, text string")
 
