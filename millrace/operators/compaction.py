@@ -30,6 +30,8 @@ DEFAULT_FLUSH_SIZE = 1_000_000
 DEFAULT_FILE_BYTES = 268_435_456
 #: Files of one planning shard at most, about.
 SHARD_FILES = 20_000
+#: A plan of at most so many files is broadcast (some 40 bytes each).
+BROADCAST_FILES = 500_000
 
 
 def _setting(settings: DataFrame, name: str, default: int, at: str) -> tuple[DataFrame, F.Column]:
@@ -183,9 +185,11 @@ def compact(files: DataFrame, settings: DataFrame, target: str) -> DataFrame:
     fs.create_dir(f"{base}/data", recursive=True)
     todo = cut(plan(files, settings).where("duplicate_of is null"))
     keys = ["topic", "kafka_partition", "shard", "group_no"]
-    rows = todo.select(*keys, "file_id").join(files.select("file_id", "file_content"), "file_id")
-    written = cut(rows.repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(uri), _WRITTEN))
     want = todo.agg(F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r")).first()
+    ids = todo.select(*keys, "file_id")
+    # with a plan of checked size the contents are shuffled once, to their groups; beyond it they are joined by shuffle first
+    rows = files.select("file_id", "file_content").join(F.broadcast(ids) if want.f <= BROADCAST_FILES else ids, "file_id")
+    written = cut(rows.select(*keys, "file_id", "file_content").repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(uri), _WRITTEN))
     got = written.agg(F.sum("n_files").alias("f"), F.sum("n_records").alias("r")).first()
     if (want.f, want.r or 0) != (got.f or 0, got.r or 0):
         raise OSError(f"planned {want.f} files and {want.r} records, wrote {got.f} and {got.r}")

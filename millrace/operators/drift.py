@@ -389,56 +389,69 @@ def _steps(path: str) -> str:
     return "$" + "".join("['" + p.replace("'", "\\'") + "']" for p in path.split("."))
 
 
-def project(records: DataFrame, fields: DataFrame, topic: str, changes: DataFrame) -> DataFrame:
-    """All batches of one topic as one typed table: batch_id, delivery_id, a column per registered leaf field, and
-    ``failed_casts``, the fields whose value was there but couldn't be read as the registered type (they are null).
+def _renames(changes: DataFrame) -> DataFrame:
+    """(batch_id, topic, renames): lower-case registered path -> new path, of each batch that has any."""
+    pairs = changes.where(F.col("change") == "renamed").select("batch_id", "topic", F.struct(F.lower("field_path").alias("old"), F.col("new_path").alias("new")).alias("r"))
+    return pairs.groupBy("batch_id", "topic").agg(F.map_from_entries(F.collect_set("r")).alias("renames"))
 
-    Values are looked up under the registered path or, where the batch has it renamed, under the new one. Struct fields
-    come as their leaves (dots become underscores), arrays and maps as JSON text. A timestamp is read from ISO text or
-    from milliseconds. Null values give a row of nulls."""
-    registered = fields_of(fields).get(topic, {})
+
+def _new_names(changes: DataFrame) -> dict[str, dict[str, set[str]]]:
+    """topic -> registered path -> new paths it was found under; distinct names, not batches."""
+    out: dict[str, dict[str, set[str]]] = {}
+    for r in registry_rows(changes.where(F.col("change") == "renamed").select("topic", F.lower("field_path").alias("old"), F.col("new_path").alias("new")).distinct()):
+        out.setdefault(r.topic, {}).setdefault(r.old, set()).add(r.new)
+    return out
+
+
+def _cells(registered: dict, new_names: dict[str, set[str]]) -> Iterator[tuple[str, F.Column, F.Column]]:
+    """(path, raw value as text, typed value) of every leaf field of a topic, over columns ``v`` (variant) and ``renames``."""
     parents = {p.rpartition(".")[0] for p in registered}
-    leaves = [(path, *registered[path]) for path in registered if path not in parents]
-    renames = changes.where((F.col("topic") == topic) & (F.col("change") == "renamed")).select("batch_id", F.struct(F.lower("field_path").alias("old"), F.col("new_path").alias("new")).alias("r"))
-    lookup = renames.groupBy("batch_id").agg(F.map_from_entries(F.collect_set("r")).alias("renames"))
-    rows = records.where(F.col("topic") == topic).select("batch_id", "delivery_id", F.expr("try_parse_json(record_value)").alias("v")).join(lookup, "batch_id", "left")
-    new_names = {}
-    for r in registry_rows(renames.select("r.old", "r.new").distinct()):  # distinct names, not batches
-        new_names.setdefault(r.old, set()).add(r.new)
-    cols, failed = [], []
-    for low, path, kind in leaves:
+    for low, (path, kind) in registered.items():
+        if low in parents:
+            continue
         value = F.expr(f"try_variant_get(v, \"{_steps(path)}\", 'variant')")
         for prefix in sorted({low, *(p for p in new_names if low.startswith(p + "."))}, key=len, reverse=True):
             for new in sorted(new_names.get(prefix, ())):
                 other = new + path[len(prefix) :]
                 value = F.when(F.element_at("renames", F.lit(prefix)) == new, F.expr(f"try_variant_get(v, \"{_steps(other)}\", 'variant')")).otherwise(value)
-        text = F.when(F.expr("1=1"), F.to_json(value)) if kind in ("array", "map", "struct") else value.try_cast("string") if hasattr(value, "try_cast") else value.cast("string")
+        text = F.to_json(value) if kind in ("array", "map", "struct") else value.try_cast("string")
         if kind == "timestamp":
-            cast = F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}T"), F.trim(text).try_cast("timestamp")))
+            cell = F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}T"), F.trim(text).try_cast("timestamp")))
         elif kind in _SQL_TYPE:
-            cast = text.try_cast(_SQL_TYPE[kind])
+            cell = text.try_cast(_SQL_TYPE[kind])
         else:
-            cast = text
-        name = path.replace(".", "_")
-        cols.append(cast.alias(name))
-        failed.append(F.when(text.isNotNull() & cast.isNull(), F.lit(path)))
-    return rows.select("batch_id", "delivery_id", *cols, F.array_compact(F.array(*failed)).alias("failed_casts"))
+            cell = text
+        yield path, text, cell
+
+
+def project(records: DataFrame, fields: DataFrame, topic: str, changes: DataFrame) -> DataFrame:
+    """All batches of one topic as one typed table: batch_id, delivery_id, a column per registered leaf field, and
+    ``failed_casts``, the fields whose value was there but couldn't be read as the registered type (they are null).
+
+    Values are looked up under the registered path or, where the batch has it renamed, under the new one. Struct fields
+    come as their leaves (dots become underscores), arrays and maps as JSON text. A timestamp is read from ISO text or
+    from milliseconds. Null values give a row of nulls."""
+    mine = changes.where(F.col("topic") == topic)
+    rows = records.where(F.col("topic") == topic).select("batch_id", "delivery_id", F.expr("try_parse_json(record_value)").alias("v")).join(_renames(mine).drop("topic"), "batch_id", "left")
+    cells = list(_cells(fields_of(fields).get(topic, {}), _new_names(mine).get(topic, {})))
+    failed = [F.when(text.isNotNull() & cell.isNull(), F.lit(path)) for path, text, cell in cells]
+    return rows.select("batch_id", "delivery_id", *[cell.alias(path.replace(".", "_")) for path, _, cell in cells], F.array_compact(F.array(*failed)).alias("failed_casts"))
 
 
 def cast_report(records: DataFrame, fields: DataFrame) -> DataFrame:
-    """Per topic and field: rows, values and failed casts of the consistent tables of all registered topics."""
+    """Per topic and field: rows, values and failed casts of the consistent tables of all registered topics, in one scan."""
     changes = cut(report(records, fields))
-    out = None
+    names = _new_names(changes)
+    rows = records.select("batch_id", "topic", F.expr("try_parse_json(record_value)").alias("v")).join(_renames(changes), ["batch_id", "topic"], "left")
+    sums, cells = [], []
     for topic, registered in sorted(fields_of(fields).items()):
-        table = project(records, fields, topic, changes)
-        names = [c for c in table.columns if c not in ("batch_id", "delivery_id", "failed_casts")]
-        paths = {p.replace(".", "_"): p for _, (p, _) in registered.items()}
-        stats = table.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count(F.col(c)).alias(f"v{i}") for i, c in enumerate(names)],
-            *[F.count_if(F.array_contains("failed_casts", paths[c])).alias(f"f{i}") for i, c in enumerate(names)],
-        )
-        cells = F.array(*[F.struct(F.lit(paths[c]).alias("field_path"), F.col(f"v{i}").alias("n_values"), F.col(f"f{i}").alias("n_failed")) for i, c in enumerate(names)])
-        part = stats.where("n_rows > 0").select(F.lit(topic).alias("topic"), "n_rows", F.explode(cells).alias("c")).select("topic", "c.field_path", "n_rows", "c.n_values", "c.n_failed")
-        out = part if out is None else out.unionByName(part)
-    return out
+        here = F.col("topic") == topic
+        n = f"n{len(sums)}"
+        sums.append(F.count_if(here).alias(n))
+        for path, text, cell in _cells(registered, names.get(topic, {})):
+            v, f = f"v{len(sums)}", f"f{len(sums)}"
+            sums += [F.count(F.when(here, cell)).alias(v), F.count_if(here & text.isNotNull() & cell.isNull()).alias(f)]
+            cells.append(F.struct(F.lit(topic).alias("topic"), F.lit(path).alias("field_path"), F.col(n).alias("n_rows"), F.col(v).alias("n_values"), F.col(f).alias("n_failed")))
+    if not cells:
+        return records.sparkSession.createDataFrame([], "topic string, field_path string, n_rows long, n_values long, n_failed long")
+    return rows.agg(*sums).select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("n_rows > 0")

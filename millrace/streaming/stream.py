@@ -9,11 +9,13 @@ flush timers are the engine's: trigger interval, admission limits of the source,
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.util import inheritable_thread_target
 
 from millrace import routing
 from millrace.config import Config
@@ -24,6 +26,8 @@ from millrace.operators.upsert import last_wins
 from millrace.sources import arrow_ipc
 from millrace.sources.table import Catalog
 
+#: Tables written at a time, unless the option ``threads`` says otherwise.
+MOST_TABLES = 8
 #: Columns of a record stream.
 RECORD = "topic string, partition int, offset long, value binary"
 
@@ -82,9 +86,18 @@ class Sink:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             routed = batch.withColumn("__table", routing.route("topic", self.routes))
-            for r in registry_rows(routed.select("__table").distinct().orderBy("__table")):
-                if r[0] is not None:
-                    self.write(r[0], routed.where(F.col("__table") == r[0]).drop("__table"), batch_id)
+            names = [r[0] for r in registry_rows(routed.select("__table").distinct().orderBy("__table")) if r[0] is not None]
+
+            @inheritable_thread_target(self.spark)
+            def one(name: str) -> None:
+                self.write(name, routed.where(F.col("__table") == name).drop("__table"), batch_id)
+
+            if self.config["parallel.partition.flush"] and len(names) > 1:  # tables are independent: their jobs run side by side
+                with ThreadPoolExecutor(min(len(names), self.config["threads"] or MOST_TABLES)) as pool:
+                    list(pool.map(one, names))
+            else:
+                for name in names:
+                    one(name)
         finally:
             batch.unpersist()
 
