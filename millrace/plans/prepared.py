@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import compaction, dedupe, drift, rejects, timenorm
+from millrace.plans import prepared_sql as sql
 from millrace.session import read_table, shared_dir
 
 
@@ -61,26 +62,11 @@ def p5_kept(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p2_found, p2_rows, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
 
-_COPIES = r"""
-WITH RECURSIVE ids AS (SELECT topic, string_split(replace(table_id_columns, ' ', ''), ',') AS c FROM sink_topics WHERE table_id_columns IS NOT NULL),
-flat AS (
-  SELECT s.delivery_id, any_value(s.topic) AS topic, string_agg(t.fullkey || '=' || t.type || ':' || coalesce(CAST(t.atom AS VARCHAR), ''), '|' ORDER BY t.fullkey) AS content
-  FROM sink_records s, json_tree(s.record_value) t WHERE s.record_value IS NOT NULL GROUP BY s.delivery_id),
-whole AS (
-  SELECT f.delivery_id FROM flat f JOIN ids i ON f.topic = i.topic JOIN sink_records s ON s.delivery_id = f.delivery_id
-  WHERE len(list_filter(i.c, lambda x: json_extract_string(s.record_value, '$."' || x || '"') IS NULL)) = 0),
-keys AS (
-  SELECT delivery_id, concat_ws(chr(1), 'p', topic, kafka_partition, kafka_offset) AS k FROM sink_records
-  WHERE topic IS NOT NULL AND kafka_partition IS NOT NULL AND kafka_offset IS NOT NULL
-  UNION ALL SELECT delivery_id, concat_ws(chr(1), 'c', topic, content) FROM flat JOIN whole USING (delivery_id)),
-shared AS (SELECT * FROM keys WHERE k IN (SELECT k FROM keys GROUP BY k HAVING count(*) > 1)),
-near AS (SELECT DISTINCT a.delivery_id AS a, b.delivery_id AS b FROM shared a JOIN shared b ON a.k = b.k),
-reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a),
-copies AS (SELECT min(b) AS first_id, a AS copy_id FROM reach GROUP BY a HAVING min(b) <> a)"""
-
 ORACLES = {
-    "p5_found": _COPIES + " SELECT * FROM copies",
-    "p5_kept": _COPIES + " SELECT delivery_id, topic, kafka_partition, kafka_offset FROM sink_records WHERE delivery_id NOT IN (SELECT copy_id FROM copies)",
+    "p2_found": sql.REJECTS,
+    "p4_found": sql.TIMES,
+    "p5_found": sql.COPIES + " SELECT * FROM copies",
+    "p5_kept": sql.COPIES + " SELECT delivery_id, topic, kafka_partition, kafka_offset FROM sink_records WHERE delivery_id NOT IN (SELECT copy_id FROM copies)",
     "p3_found": r"""
 WITH live AS (
   SELECT file_id, topic, flushed_at,
