@@ -42,6 +42,12 @@ def require_unique(batch: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeys(f"several rows of the batch have the key {twice[0].asDict()}")
 
 
+def unknown(base: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the batch whose key isn't in the base; those with a null in the key always."""
+    known = base.select(*[_c(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
+    return batch.join(known, _all([_c(k) == F.col(f"__k_{i}") for i, k in enumerate(keys)]), "left_anti")
+
+
 def _prepared(batch: DataFrame, keys: list[str]) -> DataFrame:
     """Batch columns under names that can't clash with the table's."""
     drop = [c for c in batch.columns if c.lower() == SYSTEM_COLUMN]

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import config, metrics, routing
+from millrace import types as mt
 from millrace.functions import jsonx, partitions
 from millrace.functions import timestamps as ts
 from millrace.operators import consolidate, dlq, infer, unify, upsert
@@ -171,8 +173,6 @@ SELECT * FROM (VALUES ('TINYINT', 'BIGINT', 'widen'), ('BIGINT', 'SMALLINT', 'ke
   ('INTEGER', 'DOUBLE', 'reject'), ('VARCHAR', 'INTEGER', 'reject'), ('JSON', 'VARCHAR', 'reject'), ('DATE', 'TIMESTAMP', 'reject'), ('VARCHAR', 'VARCHAR', 'keep')) t(stored, incoming, decision)""")
 def evolve_decisions(spark: SparkSession, sf: str) -> DataFrame:
     """What becomes of a column whose stored and incoming types differ."""
-    from millrace import types as mt
-
     pairs = [("int8", "int64"), ("int64", "int16"), ("float32", "float64"), ("float64", "float32"), ("int32", "float64"), ("string", "int32"), ("json", "string"), ("date", "timestamp"), ("string", "string")]
     rows = []
     for a, b in pairs:
@@ -398,3 +398,82 @@ def metrics_rollup(spark: SparkSession, sf: str) -> DataFrame:
 def describe_values(spark: SparkSession, sf: str) -> DataFrame:
     """Values on one line, for messages."""
     return read_table(spark, sf, "events").select("event_id", jsonx.describe_column(F.concat_ws("\n", "event_type", F.col("event_id").cast("string"))).alias("shown"))
+
+
+# ---------------------------------------------------------------------------------------------- smaller parts
+
+
+@_query("SELECT n_nationkey, n_name, CAST(NULL AS DOUBLE) AS score, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+def null_fill_and_cast(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch under a wider schema: absent columns null, narrower numbers cast, the table's own column dropped."""
+    schema = T.StructType([mt.field("n_nationkey", "int32"), mt.field("n_name", "string"), mt.field("score", "float64"), mt.field("n_regionkey", "int64")])
+    return unify.project(read_table(spark, sf, "nation").withColumn("_inserted_at", F.current_timestamp()), schema)
+
+
+@_query("SELECT event_id, CAST(event_id AS VARCHAR) AS a, CAST(user_id AS SMALLINT) AS b, CAST(value AS FLOAT) AS c, CAST(user_id AS DOUBLE) AS d FROM events")
+def numeric_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers into columns of other widths, and into text."""
+    e = read_table(spark, sf, "events").select("event_id", F.col("event_id").alias("a"), F.col("user_id").alias("b"), F.col("value").alias("c"), F.col("user_id").alias("d"))
+    return unify.project(e, T.StructType([mt.field("event_id", "int64"), mt.field("a", "string"), mt.field("b", "int16"), mt.field("c", "float32"), mt.field("d", "float64")]))
+
+
+@_query("SELECT o_orderkey, o_orderpriority AS first_code, CAST(2 AS INTEGER) AS n_errors FROM orders")
+def array_of_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays of JSON objects with differing keys, as one element type."""
+    text = F.concat(F.lit('{"errors":[{"code":"'), "o_orderpriority", F.lit('"},{"field":"x","n":1}]}'))
+    o = read_table(spark, sf, "orders").select("o_orderkey", text.alias("v"))
+    rows = infer.parse(o, "v", infer.infer(o, "v"), ["o_orderkey"])
+    return rows.select("o_orderkey", F.col("errors")[0]["code"].alias("first_code"), F.size("errors").alias("n_errors"))
+
+
+@_query("""
+SELECT * FROM (VALUES ('int8', 'TINYINT'), ('int16', 'SMALLINT'), ('int32', 'INTEGER'), ('int64', 'BIGINT'), ('float32', 'FLOAT'), ('float64', 'DOUBLE'), ('boolean', 'BOOLEAN'),
+  ('string', 'VARCHAR'), ('bytes', 'BLOB'), ('Timestamp', 'TIMESTAMP'), ('Date', 'DATE'), ('Time', 'TIME'), ('struct', 'JSON'), ('array', 'JSON'), ('map', 'JSON')) t(incoming, stored)""")
+def type_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored type of every type a record's schema may have."""
+    item = {"type": "string"}
+    more = {"struct": {"fields": [{"field": "x", **item}]}, "array": {"items": item}, "map": {"keys": item, "values": item}}
+    rows = []
+    for t in ("int8", "int16", "int32", "int64", "float32", "float64", "boolean", "string", "bytes", "struct", "array", "map"):
+        rows.append((t, mt.stored_name(mt.connect_field({"type": t, **more.get(t, {})}, "c"))))
+    for t, base in (("Timestamp", "int64"), ("Date", "int32"), ("Time", "int32")):
+        rows.append((t, mt.stored_name(mt.connect_field({"type": base, "name": f"data.{t}"}, "c"))))
+    return spark.createDataFrame(rows, "incoming string, stored string")
+
+
+@_query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def replayed_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A micro-batch delivered again is a no-op."""
+    table = _table(spark, "replay")
+    c = read_table(spark, sf, "customer")
+    for _ in range(2):
+        table.write(c, auto_create=True, stream="s", batch=7)
+    return table.read().drop("_inserted_at")
+
+
+@_query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-09-30'")
+def range_pruned_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of a column bounds its year partitions too."""
+    table = _table(spark, "range")
+    table.write(read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), auto_create=True, partition_by="year(o_orderdate)")
+    return table.read(ranges={"o_orderdate": (datetime(1995, 3, 1), datetime(1995, 9, 30))}).drop("_inserted_at")
+
+
+@_query("SELECT CAST(event_id % 3 = 0 AS INTEGER) AS batches, CAST(event_id % 3 <> 0 AS INTEGER) AS texts, count(*) AS n FROM events GROUP BY ALL")
+def mixed_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of both formats in one group: each goes its way, none is dropped."""
+    e = read_table(spark, sf, "events")
+    marker = F.when(F.col("event_id") % 3 == 0, F.unhex(F.lit("FFFFFFFF00"))).otherwise(F.to_json(F.struct("event_id")).cast("binary"))
+    yes, no = arrow_ipc.split_formats(e.select(marker.alias("v")), "v")
+    count = lambda df, a, b: df.agg(F.lit(a).alias("batches"), F.lit(b).alias("texts"), F.count(F.lit(1)).alias("n"))
+    return count(yes, 1, 0).unionByName(count(no, 0, 1))
+
+
+@_query("""
+SELECT CAST(list_aggregate(list(event_type || ':' || p || '@' || event_id ORDER BY event_type, p, event_id), 'string_agg', ', ') AS VARCHAR) AS sample
+FROM (SELECT event_type, user_id % 4 AS p, event_id FROM events ORDER BY 1, 2, 3 LIMIT 10)""")
+def first_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """The first ten places of bad records, for an error text (the limit is the feature)."""
+    e = read_table(spark, sf, "events").select(F.col("event_type").alias("topic"), (F.col("user_id") % 4).alias("partition"), F.col("event_id").alias("offset"))
+    text = dlq.offsets_sample(e)
+    return spark.createDataFrame([(text.removesuffix(" (truncated)")[1:-1],)], "sample string")

@@ -31,7 +31,8 @@ from millrace.sources.store import Store, check_location
 CHECKPOINT = 20
 #: A batch of at most so many rows is broadcast for an upsert.
 BROADCAST_ROWS = 100_000
-NEVER_INLINED = "off"
+#: Directory of null and empty partition values (fixed name).
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableMissing(RuntimeError):
@@ -145,7 +146,7 @@ class Table:
             p = partitions.parse(expr)[0]
             key = f"{p.transform}({p.column})" if p.transform else p.column
             if key in parts:
-                chosen = {f: m for f, m in chosen.items() if m["parts"].get(parts[key].hidden) == ("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))}
+                chosen = {f: m for f, m in chosen.items() if m["parts"].get(parts[key].hidden) == (_NULL_PARTITION if value is None or value == "" else str(value))}
             conditions.append(p.expression().eqNullSafe(F.lit(value)))
         for column, (low, high) in (ranges or {}).items():
             for p in parts.values():
@@ -259,7 +260,12 @@ class Table:
                     stored = _as_stored(rows, s.schema)
                     touched = self._touched(s, stored, keys, small)
                     base = self.read(files=touched)
-                    merged = project(up.merge(base, stored, keys, small=small), s.schema)
+                    if {c.lower() for c in stored.columns} <= {k.lower() for k in keys}:
+                        # only keys: nothing to update, so no file is rewritten; unknown keys are appended
+                        merged = project(up.unknown(base, stored, keys), s.schema).withColumn(mt.SYSTEM_COLUMN, F.current_timestamp().cast("timestamp_ntz"))
+                        touched = []
+                    else:
+                        merged = project(up.merge(base, stored, keys, small=small), s.schema)
                     files = self._write(merged, s.parts, keys, max_records)
                     if self._commit(s, s.schema, s.parts, files, touched, stream, batch):
                         self.metrics.records(n)
@@ -278,8 +284,9 @@ class Table:
         mine = known.select(*[F.col(idents.column(k)).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("_metadata.file_path").alias("__file"))
         theirs = rows.select(*[F.col(idents.column(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
         hit = mine.join(F.broadcast(theirs) if small else theirs, [f"__k{i}" for i in range(len(keys))], "left_semi").select("__file").distinct()
-        names = {unquote(r[0]) for r in hit.collect()}  # at most one row per file of the log
-        return [f for f in maybe if any(n.endswith("/" + f) for n in names)] if len(names) < 1000 else [f for f in maybe if any(n.endswith(f.rpartition("/")[2]) for n in names)]
+        # at most one row per file of the log; paths come as URIs, the log has them as on disk
+        names = {unquote(r[0][r[0].rfind("/data/") + 1 :]) for r in hit.collect()}
+        return [f for f in maybe if f in names]
 
     # ------------------------------------------------------------------ upkeep
 

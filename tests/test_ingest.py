@@ -326,6 +326,25 @@ def test_upsert_rewrites_only_touched_files(spark, tmp_path):
     assert {r.id for r in t.read().where("v <> 'a'").collect()} == {15, 100} and t.read().count() == 31
 
 
+def test_insert_only_upsert_rewrites_nothing(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"))
+    t.write(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), keys=["k"], auto_create=True)
+    before = set(t.state().files)
+    t.write(spark.createDataFrame([(2,), (3,), (None,)], "k int"), keys=["k"])
+    assert before <= set(t.state().files)
+    assert sorted(((r.k, r.v) for r in t.read().collect()), key=repr) == [(1, "a"), (2, "b"), (3, None), (None, None)]
+
+
+def test_odd_partition_values(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "a data" / "t"))
+    values = ["x/y", "a b", "é=1", "%2F", "", None, "/data/"]
+    t.write(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string"), keys=["id"], auto_create=True, partition_by="v")
+    for i, v in enumerate(values):
+        assert [r.id for r in t.read(where={"v": v}).collect()] == [i], v
+    t.write(spark.createDataFrame([(i, "n") for i in range(len(values))], "id int, extra string"), keys=["id"])
+    assert {(r.id, r.v, r.extra) for r in t.read().collect()} == {(i, v, "n") for i, v in enumerate(values)}
+
+
 def test_odd_column_names(spark, tmp_path):
     t = Table(spark, str(tmp_path / "odd"))
     df = spark.createDataFrame([(1, "x", 2)], T.StructType([T.StructField("a`b", T.IntegerType()), T.StructField("select", T.StringType()), T.StructField("k-1", T.IntegerType())]))
