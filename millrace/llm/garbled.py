@@ -8,11 +8,17 @@ the more ordinary text. Entering and leaving a garbled state costs extra, so tha
 small gains add up. Only words with characters beyond ASCII can gain; words are scored once per state and remembered, and
 the Viterbi path runs over the words of a text. Each labelled span gets its state's inverse transform; what was replaced by
 U+FFFD on the way is beyond repair and is left so.
+
+The clean state's character costs are trained on the corpus itself, by Viterbi training: all texts are labelled with the
+initial costs, the characters of the words labelled clean are counted over all texts, and the costs become those of an
+even mixture of the initial and the counted distribution. Garbled words don't train the clean state.
 """
 
 from __future__ import annotations
 
+import math
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -20,7 +26,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.session import spread
+from millrace.session import registry_rows, ship, spread
 
 #: Costs in nats of entering and leaving a garbled state: what a stretch must gain over the clean state in all.
 ENTER, LEAVE = 7.0, 1.0
@@ -34,6 +40,9 @@ LOST_CLEAN, LOST_GARBLED = 24.0, 6.0
 #: Letters of Russian text by falling frequency (fixed value); the cost follows Zipf's law over the ranks.
 _CYRILLIC = "оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё"
 _OFTEN = "éèàùâêîôûçëïüöäßñáíóúãõ"
+#: Share of the counted distribution in the trained one, and what an unseen character's cost grows by.
+TRAINED_SHARE = 0.5
+MIX_COST = -math.log(1 - TRAINED_SHARE)
 #: Words of more characters are scored but not remembered; so many are remembered at most.
 LONGEST_KEPT, MOST_KEPT = 120, 200_000
 
@@ -79,7 +88,7 @@ def kind(c: str) -> str:
 
 @lru_cache(maxsize=1 << 16)
 def rarity(c: str) -> float:
-    """What a character costs as such in clean text."""
+    """What a character costs as such in clean text, before training."""
     k = kind(c)
     if ord(c) < 128:
         return 2.5 if k in "aAdw" else 3.5
@@ -129,12 +138,24 @@ def _fit(a: str, b: str) -> float:
     return 0.0
 
 
-def cost(text: str, before: str = " ", after: str = " ") -> float:
+class Costs(dict):
+    """Cost of each character in clean text: trained ones as given, any other at its initial cost and the mixture's."""
+
+    def __init__(self, trained: dict[str, float] | None = None):
+        super().__init__(trained or {})
+        self.unseen = MIX_COST if trained else 0.0
+
+    def __missing__(self, c: str) -> float:
+        out = self[c] = rarity(c) + (0.0 if ord(c) < 128 else self.unseen)
+        return out
+
+
+def cost(text: str, costs: Costs, before: str = " ", after: str = " ") -> float:
     """Cost of ``text`` as clean text between its neighbours."""
     total, kinds = 0.0, [kind(before), *map(kind, text), kind(after)]
     for i, c in enumerate(text, 1):
         k = kinds[i]
-        total += rarity(c) + _fit(kinds[i - 1], k)
+        total += costs[c] + _fit(kinds[i - 1], k)
         if k == "l" and kinds[i - 1] == "l" and i > 1 and kinds[i - 2] == "l":
             total += 1.5  # the third accented letter in a row and on
         elif k == "L" and kinds[i - 1] in "AL":
@@ -273,12 +294,12 @@ def _wide_spans(state: State, word: str) -> str | None:
     return "".join(out)
 
 
-def explain(state: State, word: str) -> tuple[float, str] | None:
+def explain(state: State, word: str, costs: Costs) -> tuple[float, str] | None:
     """(cost, original) of a word under a garbled state; None if no unit of it fits. Characters the state can't have emitted
     are taken as clean ones, at a price."""
     if state.wide:
         t = _wide_spans(state, word)
-        return None if t is None else (cost(t.replace(LOST, "")) + LOST_GARBLED * t.count(LOST), t)
+        return None if t is None else (cost(t.replace(LOST, ""), costs) + LOST_GARBLED * t.count(LOST), t)
     out, extra, units, i = [], 0.0, 0, 0
     while i < len(word):
         c = word[i]
@@ -298,20 +319,24 @@ def explain(state: State, word: str) -> tuple[float, str] | None:
     if not units:
         return None
     t = "".join(out)
-    return cost(t) + extra, t
+    return cost(t, costs) + extra, t
 
 
 class Words(dict):
     """word -> (clean cost, {state number: (cost, original)}) of the states that can explain the word about as well as clean
     text. Differences of less than DOUBT don't count either way, so that they can't add up over many odd but sound words."""
 
+    def __init__(self, costs: Costs | None = None):
+        super().__init__()
+        self.costs = Costs() if costs is None else costs
+
     def __missing__(self, word: str):
-        clean = cost(word)
+        clean = cost(word, self.costs)
         better: dict[int, tuple[float, str]] = {}
         if LOST in word:
-            better[-1] = (cost(word.replace(LOST, "")) + LOST_GARBLED * word.count(LOST), word)
+            better[-1] = (cost(word.replace(LOST, ""), self.costs) + LOST_GARBLED * word.count(LOST), word)
         for n, s in enumerate(STATES):
-            e = explain(s, word)
+            e = explain(s, word, self.costs)
             if e is not None and e[0] < clean + 2 * DOUBT:
                 better[n] = e
         out = (clean, better)
@@ -385,23 +410,82 @@ def restore(text: str, labels: list[tuple[str, int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-_SCORES = Words()
+_SCORES: dict[int, Words] = {}
+
+
+@dataclass
+class _Sent:
+    value: dict
+
+    @property
+    def id(self) -> int:
+        return hash(frozenset(self.value.items())) or 1
+
+
+def _scores(sent: _Sent | None) -> Words:
+    """This worker's word scores under the sent costs (None: the initial ones)."""
+    key = 0 if sent is None else sent.id
+    if key not in _SCORES:
+        for old in [k for k in _SCORES if k]:  # scores of earlier trainings
+            del _SCORES[old]
+        _SCORES[key] = Words(None if sent is None else Costs(sent.value))
+    return _SCORES[key]
+
+
+def trained(counts: dict[str, int]) -> dict[str, float]:
+    """Costs from the counts of all characters of clean words with characters beyond ASCII."""
+    total = sum(counts.values())
+    return {c: -math.log((1 - TRAINED_SHARE) * math.exp(-rarity(c)) + TRAINED_SHARE * n / total) for c, n in counts.items() if ord(c) >= 128 and c != LOST} if total else {}
+
+
+def train(docs: DataFrame, text: str = "text") -> dict[str, float]:
+    """One round of Viterbi training over all texts. Counts are summed in every task before the shuffle; what reaches the
+    driver is a row per distinct character, of which there are fewer than the registry limit."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, counts = _scores(None), Counter()
+        words: Counter = Counter()
+        for batch in it:
+            for t in batch.column(0).to_pylist():
+                if t and not t.isascii():
+                    bad = {at for _, at, _, _ in label(t, scores)}
+                    words.update(w for at, w in words_of(t) if at not in bad)
+            if len(words) > MOST_KEPT:
+                _add(counts, words)
+        _add(counts, words)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["c", "n"])
+
+    ship(docs.sparkSession)
+    rows = spread(docs.select(text)).mapInArrow(run, "c string, n long").groupBy("c").sum("n").toDF("c", "n")
+    return trained({r.c: r.n for r in registry_rows(rows)})
+
+
+def _add(counts: Counter, words: Counter) -> None:
+    for w, n in words.items():
+        for c in w:
+            counts[c] += n
+    words.clear()
+
+
 OUT = "`{key}` {kind}, n_words int, states array<string>, whole boolean, restored string"
 
 
-def repair(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repair(docs: DataFrame, key: str = "doc_id", text: str = "text", training: bool = True) -> DataFrame:
     """A row per garbled text: key, n_words (garbled words), states (encoding pairs met), whole (nothing of it is lost),
     restored (the text with every span's inverse transform applied).
 
     Null, empty and ASCII texts have no row. Whole texts are read, of any length; rows repeat as they come; other columns
-    aren't read."""
+    aren't read. The model is trained on the same texts first, unless ``training`` is off."""
     k = dict(docs.dtypes)[key]
+    costs = train(docs, text) if training else {}
+    sent = docs.sparkSession.sparkContext.broadcast(costs) if costs else None  # a cost per distinct character
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scores(_Sent(sent.value) if sent is not None else None)
         for batch in it:
             rows = []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                if t and not t.isascii() and (labels := label(t, _SCORES)):
+                if t and not t.isascii() and (labels := label(t, scores)):
                     fixed = restore(t, labels)
                     rows.append((i, len(labels), sorted({x[0] for x in labels}), LOST not in fixed, fixed))
             take = pa.array([r[0] for r in rows], pa.int64())

@@ -224,6 +224,23 @@ def test_repair_column(spark):
     assert garbled.found(df.limit(0)).collect() == []
 
 
+def test_training_counts_clean_words_only(spark):
+    bad = misread(CLEAN[0], "utf-8", "cp1252")
+    rows = [(i, t) for i, t in enumerate([*CLEAN * 5, bad, None, ""])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    costs = garbled.train(df)
+    counts = defaultdict(int)
+    for t in CLEAN * 5:
+        for _, w in garbled.words_of(t):
+            for c in w:
+                counts[c] += 1
+    assert costs == pytest.approx(garbled.trained(counts))
+    assert "Ÿ" not in costs and costs["ö"] < garbled.rarity("ö") + garbled.MIX_COST
+    for training in (True, False):
+        assert [r.doc_id for r in garbled.repair(df, training=training).collect()] == [len(CLEAN) * 5]
+    assert garbled.train(df.limit(0)) == {} and garbled.train(df.where("text = ''")) == {}
+
+
 def test_queries_run(spark, sf):
     from millrace.llm import queries
 
