@@ -212,13 +212,23 @@ class Table:
         s = self.state()
         if s and stream is not None and batch is not None and s.batches.get(stream, -1) >= batch:
             return "replayed"
+        if keys and s:
+            # one pass over the batch gives its size and the key's bounds; it is kept for the steps that follow
+            df = df.persist()
+            try:
+                first = F.col(idents.column(next((c for c in df.columns if c.lower() == keys[0].lower()), keys[0])))
+                n, low, high = df.agg(F.count(F.lit(1)), F.min(first), F.max(first)).first()
+                if not n:
+                    return "empty"
+                self.ensure(df.schema, auto_create, partition_by, retries)
+                self.upsert(self._rows(df), keys, mode, order, stream, batch, retries, max_records, (n, low, high))
+            finally:
+                df.unpersist()
+            return "upsertWithMergeInto"
         if df.isEmpty():
             return "empty"
-        existed = self.ensure(df.schema, auto_create, partition_by, retries)
+        self.ensure(df.schema, auto_create, partition_by, retries)
         rows = self._rows(df)
-        if keys and existed:
-            self.upsert(rows, keys, mode, order, stream, batch, retries, max_records)
-            return "upsertWithMergeInto"
         if small and rows.limit(small + 1).count() <= small:
             rows = rows.coalesce(1)
         self.append(rows, stream, batch, retries, max_records, keys or [])
@@ -240,8 +250,9 @@ class Table:
                 s = self.state()
         raise CommitConflict(self.store.root)
 
-    def upsert(self, rows: DataFrame, keys: list[str], mode: str = "last_wins", order: list[str] | None = None, stream: str | None = None, batch: int | None = None, retries: int = 10, max_records: int = 0) -> None:
-        """Copy-on-write: only files that hold a key of the batch are rewritten.
+    def upsert(self, rows: DataFrame, keys: list[str], mode: str = "last_wins", order: list[str] | None = None, stream: str | None = None, batch: int | None = None, retries: int = 10, max_records: int = 0, known: tuple | None = None) -> None:
+        """Copy-on-write: only files that hold a key of the batch are rewritten. ``known``: the batch's size and the least
+        and greatest first key, where they were counted already.
 
         Several rows of one key: ``last_wins`` keeps the last by ``order`` (of equal ones any), ``strict`` raises."""
         if mode == "strict":
@@ -251,14 +262,14 @@ class Table:
         with self.metrics.timer("upsertWithMergeInto"):
             rows = rows.persist()
             try:
-                n = rows.count()
+                n, low, high = known or rows.agg(F.count(F.lit(1)), F.min(idents.column(keys[0])), F.max(idents.column(keys[0]))).first()
                 small = n <= BROADCAST_ROWS
                 for _ in range(retries + 1):
                     s = self.state()
                     if stream is not None and batch is not None and s.batches.get(stream, -1) >= batch:
                         return
                     stored = _as_stored(rows, s.schema)
-                    touched = self._touched(s, stored, keys, small)
+                    touched = self._touched(s, stored, keys, small, low, high)
                     base = self.read(files=touched)
                     if {c.lower() for c in stored.columns} <= {k.lower() for k in keys}:
                         # only keys: nothing to update, so no file is rewritten; unknown keys are appended
@@ -274,9 +285,8 @@ class Table:
                 rows.unpersist()
         raise CommitConflict(self.store.root)
 
-    def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool) -> list[str]:
+    def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool, low: object, high: object) -> list[str]:
         """Files that may have to change: by the first key's bounds, then those that really hold a key of the batch."""
-        low, high = rows.agg(F.min(idents.column(keys[0])), F.max(idents.column(keys[0]))).first()
         maybe = [f for f, m in s.files.items() if low is None or m.get("low") is None or not isinstance(low, type(m["low"])) or (m["high"] >= low and m["low"] <= high)]
         if not maybe or low is None:
             return []
