@@ -31,6 +31,9 @@ from millrace.sources.store import Store, check_location
 CHECKPOINT = 20
 #: A batch of at most so many rows is broadcast for an upsert.
 BROADCAST_ROWS = 100_000
+#: Rewritten files have about so many bytes; a batch's row counts as so many.
+FILE_BYTES = 128 << 20
+ROW_BYTES = 100
 #: Directory of null and empty partition values (fixed name).
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -257,13 +260,14 @@ class Table:
         Several rows of one key: ``last_wins`` keeps the last by ``order`` (of equal ones any), ``strict`` raises."""
         if mode == "strict":
             up.require_unique(rows, keys)
-        else:
-            rows = up.last_wins(rows, keys, order or keys)
         with self.metrics.timer("upsertWithMergeInto"):
-            rows = rows.persist()
+            kept = rows = rows.persist()
             try:
                 n, low, high = known or rows.agg(F.count(F.lit(1)), F.min(idents.column(keys[0])), F.max(idents.column(keys[0]))).first()
                 small = n <= BROADCAST_ROWS
+                if small:  # so few rows need no exchange to find the last of each key
+                    rows = rows.coalesce(1)
+                rows = up.last_wins(rows, keys, order or keys) if mode != "strict" else rows
                 for _ in range(retries + 1):
                     s = self.state()
                     if stream is not None and batch is not None and s.batches.get(stream, -1) >= batch:
@@ -277,12 +281,16 @@ class Table:
                         touched = []
                     else:
                         merged = project(up.merge(base, stored, keys, small=small), s.schema)
+                    # as many files as their size asks for, so that small upserts don't litter the table
+                    size = sum(s.files[f]["bytes"] for f in touched) + n * ROW_BYTES
+                    if not s.parts:
+                        merged = merged.coalesce(-(-size // FILE_BYTES))
                     files = self._write(merged, s.parts, keys, max_records)
                     if self._commit(s, s.schema, s.parts, files, touched, stream, batch):
                         self.metrics.records(n)
                         return
             finally:
-                rows.unpersist()
+                kept.unpersist()
         raise CommitConflict(self.store.root)
 
     def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool, low: object, high: object) -> list[str]:
@@ -300,6 +308,29 @@ class Table:
 
     # ------------------------------------------------------------------ upkeep
 
+    def compact(self, target: int = FILE_BYTES, retries: int = 10) -> int:
+        """Merges the table's files of less than half the target into files of about the target, in one commit that changes
+        no row; returns how many were merged. Partition values stay apart. A file another writer replaced meanwhile makes
+        the attempt start anew."""
+        for _ in range(retries + 1):
+            s = self.state()
+            if s is None:
+                raise TableMissing(f"table {self.store.root} doesn't exist")
+            by: dict[tuple, list[str]] = {}
+            for f, m in s.files.items():
+                if m["bytes"] * 2 < target:
+                    by.setdefault(tuple(sorted(m["parts"].items())), []).append(f)
+            small = sorted(f for group in by.values() if len(group) > 1 for f in group)
+            if not small:
+                return 0
+            rows = self.read(files=small)
+            if not s.parts:
+                rows = rows.coalesce(max(1, -(-sum(s.files[f]["bytes"] for f in small) // target)))
+            files = self._write(rows, s.parts, [])
+            if self._commit(s, s.schema, s.parts, files, small, None, None):
+                return len(small)
+        raise CommitConflict(self.store.root)
+
     def vacuum(self, older_than: float = 3600.0) -> list[str]:
         """Deletes data files no commit lists that are older than some seconds; returns them."""
         s = self.state()

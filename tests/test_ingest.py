@@ -326,6 +326,18 @@ def test_upsert_rewrites_only_touched_files(spark, tmp_path):
     assert {r.id for r in t.read().where("v <> 'a'").collect()} == {15, 100} and t.read().count() == 31
 
 
+@pytest.mark.parametrize("parts", [None, "v"])
+def test_compaction_of_a_table(spark, tmp_path, parts):
+    t = Table(spark, str(tmp_path / "t"))
+    for i in range(4):
+        t.write(spark.createDataFrame([(i, "a"), (i + 10, None)], "k int, v string").coalesce(1), auto_create=True, partition_by=parts)
+    rows = sorted(map(tuple, t.read().collect()), key=repr)
+    n = len(t.state().files)
+    assert t.compact() == n and t.compact() == 0
+    assert len(t.state().files) == (2 if parts else 1)
+    assert sorted(map(tuple, t.read().collect()), key=repr) == rows
+
+
 def test_insert_only_upsert_rewrites_nothing(spark, tmp_path):
     t = Table(spark, str(tmp_path / "t"))
     t.write(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), keys=["k"], auto_create=True)
