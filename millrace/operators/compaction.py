@@ -9,7 +9,6 @@ name, and one manifest that lists what was verified is published by an atomic re
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import math
@@ -75,18 +74,28 @@ def longest_first(sizes: list[float], groups: int) -> list[int]:
 PLAN = "file_id long, topic string, kafka_partition int, shard int, group_no int, duplicate_of long, true_records long, true_bytes long"
 
 
-def plan(files: DataFrame, settings: DataFrame) -> DataFrame:
-    """One row per small live file: file_id, topic, kafka_partition, shard, group_no, duplicate_of, true sizes.
-
-    duplicate_of is the smallest file_id of the same flush (null for files to be merged; such duplicates have no group)."""
+def live(files: DataFrame, settings: DataFrame) -> DataFrame:
+    """One row per live file: its sizes, limits, ``small`` (below both limits) and ``duplicate_of``, the smallest file_id of
+    the same flush (same topic, partition, offsets and records; null for the first). The contents are read once, here."""
     ship(files.sparkSession)
-    small = measured(files, settings).where((F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes")))
-    digest = F.md5(F.regexp_replace(F.coalesce("file_content", F.lit("")), r"[\r\n]+", "\n"))
-    small = cut(small.withColumn("digest", digest).drop("file_content"))  # the contents are read once, here
+    sized = measured(files, settings)
+    # of the records alone: the same flush may come with other line ends and blank lines
+    lines = F.filter(F.split(F.coalesce("file_content", F.lit("")), r"\r\n|\n|\r"), lambda x: x.rlike(r"\S"))
+    digest = F.md5(F.array_join(lines, "\n"))
+    check = F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x)))
+    is_small = (F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes"))
+    sized = cut(sized.withColumn("digest", digest).withColumn("check", check).withColumn("small", is_small).drop("file_content"))
     flush = ["topic", "kafka_partition", "first_offset", "last_offset", "digest"]
-    first = small.groupBy(*[F.col(c).alias(f"f_{c}") for c in flush]).agg(F.min("file_id").alias("first_file"))
+    first = sized.groupBy(*[F.col(c).alias(f"f_{c}") for c in flush]).agg(F.min("file_id").alias("first_file"))
     same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in flush]
-    marked = small.join(first, same, "left").withColumn("duplicate_of", F.when(F.col("file_id") != F.col("first_file"), F.col("first_file")))
+    return sized.join(first, same, "left").withColumn("duplicate_of", F.when(F.col("file_id") != F.col("first_file"), F.col("first_file"))).drop("first_file", *[f"f_{c}" for c in flush])
+
+
+def plan(files: DataFrame, settings: DataFrame, marked: DataFrame | None = None) -> DataFrame:
+    """One row per small live file: file_id, topic, kafka_partition, shard, group_no, duplicate_of, true sizes.
+
+    Files to be merged have a group; a repeated flush has none but ``duplicate_of``. ``marked``: what :func:`live` gave."""
+    marked = (live(files, settings) if marked is None else marked).where("small")
     counts = marked.groupBy(F.col("topic").alias("c_topic"), F.col("kafka_partition").alias("c_partition")).agg(F.ceil(F.count(F.lit(1)) / SHARD_FILES).cast("int").alias("shards"))
     sharded = marked.join(counts, F.col("topic").eqNullSafe(F.col("c_topic")) & F.col("kafka_partition").eqNullSafe(F.col("c_partition"))).withColumn("shard", F.pmod(F.xxhash64("file_id"), F.greatest("shards", F.lit(1))).cast("int"))
     sharded = sharded.select("file_id", "topic", "kafka_partition", "shard", "duplicate_of", "true_records", "true_bytes", "limit_records", "limit_bytes")
@@ -107,18 +116,13 @@ def found(files: DataFrame, settings: DataFrame) -> DataFrame:
     return plan(files, settings).select("file_id")
 
 
-_WRITTEN = "topic string, kafka_partition int, shard int, group_no int, path string, n_files long, n_records long, n_bytes long, digest string"
+_WRITTEN = "topic string, kafka_partition int, shard int, group_no int, path string, n_files long, n_records long, n_bytes long"
 #: A row group of a merged file holds about so many bytes of records.
 ROW_GROUP_BYTES = 32 << 20
-_WRITTEN_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+_WRITTEN_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 _FILE = pa.schema([("file_id", pa.int64()), ("line_no", pa.int32()), ("record", pa.string())])
 
 
-def _order_free(texts: list[str]) -> int:
-    """A digest that adds up: the same records in any order, in any number of parts, give the same sum."""
-    return sum(int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "big") for t in texts)
-
-
 def _lines(content: str | None) -> list[str]:
     """The records of a file: its lines that aren't blank, whatever ends them."""
     return [x for x in (content or "").replace("\r\n", "\n").replace("\r", "\n").split("\n") if x.strip(" \t\x0b\x0c")]
@@ -145,7 +149,7 @@ def _write(target: str):
                 back = pq.ParquetFile(f).metadata.num_rows
             if back != state["n_records"]:
                 raise OSError(f"{state['path']}: {back} records read back, {state['n_records']} written")
-            values = [*current, state["path"], state["n_files"], state["n_records"], state["n_bytes"], f"{state['sum'] % (1 << 64):016x}"]
+            values = [*current, state["path"], state["n_files"], state["n_records"], state["n_bytes"]]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _WRITTEN_TYPES, strict=True)], names=[c.split()[0] for c in _WRITTEN.split(", ")])
 
         for batch in it:
@@ -154,7 +158,7 @@ def _write(target: str):
                 if key != current:
                     if writer is not None:
                         yield close()
-                    current, state = key, {"path": f"{base}/data/{uuid.uuid4().hex}.parquet", "n_files": 0, "n_records": 0, "n_bytes": 0, "sum": 0}
+                    current, state = key, {"path": f"{base}/data/{uuid.uuid4().hex}.parquet", "n_files": 0, "n_records": 0, "n_bytes": 0}
                     writer = pq.ParquetWriter(state["path"], _FILE, filesystem=fs, compression="zstd")
                 lines = _lines(row["file_content"])
                 size = sum(len(x.encode()) + 1 for x in lines)
@@ -167,7 +171,6 @@ def _write(target: str):
                 state["n_bytes"] += size
                 if held >= ROW_GROUP_BYTES:
                     flush()
-                state["sum"] += _order_free(lines)
         if writer is not None:
             yield close()
 
@@ -177,26 +180,37 @@ def _write(target: str):
 def compact(files: DataFrame, settings: DataFrame, target: str) -> DataFrame:
     """Merges all small files into ``target`` (a URI or path all executors share) and returns the manifest's rows.
 
-    Every group is written by one task, a file's records at a time. The records of the groups are checked against those of
-    the plan (count and an order-free digest) before ``manifest.json`` appears; without it nothing counts as written."""
+    The manifest lists the merged files and every file they replace; repeated flushes are retired whatever their size, so
+    that merged and remaining files hold each record once.
+
+    Every group is written by one task, a file's records at a time. Before ``manifest.json`` appears, the merged files are read
+    back and their records compared with the sources' (count and an order-free hash); without it nothing counts as written."""
     uri = target if "://" in target or target.startswith("file:") else f"file://{os.path.abspath(target)}"
     uri = uri.replace("file:///", "file:/", 1).replace("file:/", "file:///", 1)
     fs, base = pafs.FileSystem.from_uri(uri)
     fs.create_dir(f"{base}/data", recursive=True)
-    todo = cut(plan(files, settings).where("duplicate_of is null"))
+    marked = cut(live(files, settings))
+    todo = cut(plan(files, settings, marked).where("duplicate_of is null"))
     keys = ["topic", "kafka_partition", "shard", "group_no"]
-    want = todo.agg(F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r")).first()
+    sums = [F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r"), F.bit_xor("check").alias("x")]
+    want = marked.where("small and duplicate_of is null").agg(*sums).first()
     ids = todo.select(*keys, "file_id")
     # with a plan of checked size the contents are shuffled once, to their groups; beyond it they are joined by shuffle first
     rows = files.select("file_id", "file_content").join(F.broadcast(ids) if want.f <= BROADCAST_FILES else ids, "file_id")
     written = cut(rows.select(*keys, "file_id", "file_content").repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(uri), _WRITTEN))
-    got = written.agg(F.sum("n_files").alias("f"), F.sum("n_records").alias("r")).first()
-    if (want.f, want.r or 0) != (got.f or 0, got.r or 0):
-        raise OSError(f"planned {want.f} files and {want.r} records, wrote {got.f} and {got.r}")
+    # what is on storage is read again, only files of finished attempts, and compared with the sources: files, records, hash
+    name = lambda c: F.element_at(F.split(c, "/"), -1).alias("name")
+    back = files.sparkSession.read.schema("record string").parquet(f"{uri}/data").select("record", name("_metadata.file_path"))
+    back = back.join(written.select(name("path")), "name", "left_semi").agg(F.count(F.lit(1)).alias("r"), F.bit_xor(F.xxhash64("record")).alias("x")).first()
+    n_files = written.agg(F.sum("n_files")).first()[0] or 0
+    if (want.f, want.r or 0, want.x or 0) != (n_files, back.r, back.x or 0):
+        raise OSError(f"planned {want.f} files and {want.r} records, wrote {n_files} and {back.r}, or their records differ")
     published = f"{base}/manifest.json"
     part = f"{base}/.manifest-{uuid.uuid4().hex}"
     with fs.open_output_stream(part) as out:
         for r in written.orderBy(*keys).toLocalIterator():  # a row per output file, streamed
             out.write((json.dumps(r.asDict()) + "\n").encode())
+        for r in marked.where("small or duplicate_of is not null").select("file_id", "duplicate_of").orderBy("file_id").toLocalIterator():
+            out.write((json.dumps({"retired": r.file_id, "duplicate_of": r.duplicate_of}) + "\n").encode())
     fs.move(part, published)
     return written
