@@ -49,8 +49,11 @@ def registry_rows(df: DataFrame, limit: int = MAX_REGISTRY_ROWS) -> list:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition an input of fewer partitions than the cluster has cores (small files only); larger ones stay as read."""
+    """Repartition a scan of fewer partitions than half the cluster's cores (small inputs only); larger ones stay as read, and
+    so do results of shuffles, whose partitions are chosen as they run."""
     ship(df.sparkSession)
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
