@@ -27,7 +27,9 @@ _ASCII = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{_BLANK}A-
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Words longer than this are encoded but not remembered; so many words are remembered at most.
 LONGEST_KEPT = 64
-MOST_KEPT = 400_000
+MOST_KEPT = 200_000
+#: Transitions remembered at most.
+MOST_TRANSITIONS = 500_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -82,7 +84,7 @@ class Automaton:
         key = last * self.size + token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 4_000_000:
+            if len(self.table) > MOST_TRANSITIONS:
                 self.table.clear()
             known = self.table[key] = self._reads(last, 1 << 60, token)
         return known

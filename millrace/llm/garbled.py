@@ -44,7 +44,7 @@ _OFTEN = "éèàùâêîôûçëïüöäßñáíóúãõ"
 TRAINED_SHARE = 0.5
 MIX_COST = -math.log(1 - TRAINED_SHARE)
 #: Words of more characters are scored but not remembered; so many are remembered at most.
-LONGEST_KEPT, MOST_KEPT = 120, 200_000
+LONGEST_KEPT, MOST_KEPT = 120, 100_000
 
 
 @lru_cache(maxsize=1 << 16)
