@@ -74,17 +74,20 @@ def longest_first(sizes: list[float], groups: int) -> list[int]:
 PLAN = "file_id long, topic string, kafka_partition int, shard int, group_no int, duplicate_of long, true_records long, true_bytes long"
 
 
-def live(files: DataFrame, settings: DataFrame) -> DataFrame:
+def live(files: DataFrame, settings: DataFrame, check: bool = False) -> DataFrame:
     """One row per live file: its sizes, limits, ``small`` (below both limits) and ``duplicate_of``, the smallest file_id of
-    the same flush (same topic, partition, offsets and records; null for the first). The contents are read once, here."""
+    the same flush (same topic, partition, offsets and records; null for the first). The contents are read once, here. ``check`` adds a hash of
+    the records that doesn't depend on their order."""
     ship(files.sparkSession)
     sized = measured(files, settings)
     # of the records alone: the same flush may come with other line ends and blank lines
     lines = F.filter(F.split(F.coalesce("file_content", F.lit("")), r"\r\n|\n|\r"), lambda x: x.rlike(r"\S"))
     digest = F.md5(F.array_join(lines, "\n"))
-    check = F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x)))
     is_small = (F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes"))
-    sized = cut(sized.withColumn("digest", digest).withColumn("check", check).withColumn("small", is_small).drop("file_content"))
+    sized = sized.withColumn("digest", digest).withColumn("small", is_small)
+    if check:
+        sized = sized.withColumn("check", F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x))))
+    sized = cut(sized.drop("file_content"))
     flush = ["topic", "kafka_partition", "first_offset", "last_offset", "digest"]
     first = sized.groupBy(*[F.col(c).alias(f"f_{c}") for c in flush]).agg(F.min("file_id").alias("first_file"))
     same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in flush]
@@ -189,7 +192,7 @@ def compact(files: DataFrame, settings: DataFrame, target: str) -> DataFrame:
     uri = uri.replace("file:///", "file:/", 1).replace("file:/", "file:///", 1)
     fs, base = pafs.FileSystem.from_uri(uri)
     fs.create_dir(f"{base}/data", recursive=True)
-    marked = cut(live(files, settings))
+    marked = cut(live(files, settings, check=True))
     todo = cut(plan(files, settings, marked).where("duplicate_of is null"))
     keys = ["topic", "kafka_partition", "shard", "group_no"]
     sums = [F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r"), F.bit_xor("check").alias("x")]
