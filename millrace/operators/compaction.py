@@ -1,7 +1,7 @@
 """Far too many small files: find them, assign them to fewer well-sized groups, write the groups, publish a manifest.
 
 Files smaller than both sizes in force at their flush are candidates. Candidates written twice (same offsets, same
-records) count once. The rest is assigned, longest first, to a fixed number of groups per topic and partition with a
+records) count once, also where one of the two is merged already. The rest is assigned, longest first, to a fixed number of groups per topic and partition with a
 least-loaded heap. Only file ids and sizes take part in that; a topic partition of very many files is planned in hashed
 shards, so that no task holds an unbounded list. Groups are streamed into Parquet by pyarrow, every attempt under its own
 name, and one manifest that lists what was verified is published by an atomic rename: readers see all or nothing.
@@ -31,6 +31,8 @@ DEFAULT_FILE_BYTES = 268_435_456
 SHARD_FILES = 20_000
 #: A plan of at most so many files is broadcast (some 40 bytes each).
 BROADCAST_FILES = 500_000
+#: Offset ranges are cut into so many buckets more than files at most.
+MOST_BUCKETS = 1_000_000
 
 
 def _setting(settings: DataFrame, name: str, default: int, at: str) -> tuple[DataFrame, F.Column]:
@@ -74,24 +76,65 @@ def longest_first(sizes: list[float], groups: int) -> list[int]:
 PLAN = "file_id long, topic string, kafka_partition int, shard int, group_no int, duplicate_of long, true_records long, true_bytes long"
 
 
-def live(files: DataFrame, settings: DataFrame, check: bool = False) -> DataFrame:
-    """One row per live file: its sizes, limits, ``small`` (below both limits) and ``duplicate_of``, the smallest file_id of
-    the same flush (same topic, partition, offsets and records; null for the first). The contents are read once, here. ``check`` adds a hash of
-    the records that doesn't depend on their order."""
+_FLUSH = ["topic", "kafka_partition", "first_offset", "last_offset", "digest"]
+
+
+def _records(content: str = "file_content") -> F.Column:
+    """The non-blank lines: the records alone, as the same flush may come with other line ends and blank lines."""
+    return F.filter(F.split(F.coalesce(content, F.lit("")), r"\r\n|\n|\r"), lambda x: x.rlike(r"\S"))
+
+
+def live(files: DataFrame, settings: DataFrame, check: bool = False, merged: bool = True) -> DataFrame:
+    """One row per live file: its sizes, limits, ``small`` (below both limits) and ``duplicate_of``: the smallest file_id of
+    the same flush (same topic, partition, offsets and records; null for the first), or with ``merged`` the live file that holds
+    its records since the flush's other copy was merged. The contents are read once, here, and for ``merged`` those of replaced
+    files. ``check`` adds a hash of the records that doesn't depend on their order."""
     ship(files.sparkSession)
     sized = measured(files, settings)
-    # of the records alone: the same flush may come with other line ends and blank lines
-    lines = F.filter(F.split(F.coalesce("file_content", F.lit("")), r"\r\n|\n|\r"), lambda x: x.rlike(r"\S"))
-    digest = F.md5(F.array_join(lines, "\n"))
+    digest = F.md5(F.array_join(_records(), "\n"))
     is_small = (F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes"))
     sized = sized.withColumn("digest", digest).withColumn("small", is_small)
     if check:
-        sized = sized.withColumn("check", F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x))))
+        sized = sized.withColumn("check", F.aggregate(_records(), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x))))
     sized = cut(sized.drop("file_content"))
-    flush = ["topic", "kafka_partition", "first_offset", "last_offset", "digest"]
-    first = sized.groupBy(*[F.col(c).alias(f"f_{c}") for c in flush]).agg(F.min("file_id").alias("first_file"))
-    same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in flush]
-    return sized.join(first, same, "left").withColumn("duplicate_of", F.when(F.col("file_id") != F.col("first_file"), F.col("first_file"))).drop("first_file", *[f"f_{c}" for c in flush])
+    first = sized.groupBy(*[F.col(c).alias(f"f_{c}") for c in _FLUSH]).agg(F.min("file_id").alias("first_file"))
+    same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in _FLUSH]
+    marked = sized.join(first, same, "left").withColumn("duplicate_of", F.when(F.col("file_id") != F.col("first_file"), F.col("first_file"))).drop("first_file", *[f"f_{c}" for c in _FLUSH])
+    held = _held(files, sized, digest) if merged else None
+    return marked if held is None else marked.join(held, "file_id", "left").withColumn("duplicate_of", F.coalesce("held_by", "duplicate_of")).drop("held_by")
+
+
+def _held(files: DataFrame, sized: DataFrame, digest: F.Column) -> DataFrame | None:
+    """Live files whose flush was merged under another file_id: file_id, held_by (smallest); None if there are none.
+
+    held_by is a live file of the same topic and partition, no older than that merge, that covers the offsets and holds every
+    record at least as often. So that files can't retire each other in a ring, it isn't such a copy itself or comes first by
+    range, records, file_id. A copy whose records no such file holds stays."""
+    gone = files.where(F.col("end_snapshot").isNotNull()).withColumn("digest", digest)
+    gone = gone.groupBy(*[F.col(c).alias(f"f_{c}") for c in _FLUSH]).agg(F.min("end_snapshot").alias("merged_at"))
+    own = ["topic", "kafka_partition", "first_offset", "last_offset", "true_records"]
+    twins = sized.where("true_records > 0").join(gone, [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in _FLUSH]).select("file_id", *[F.col(c).alias(f"f_{c}") for c in own], "merged_at")
+    twins = cut(twins.where("f_first_offset is not null and f_last_offset is not null"))
+    if twins.isEmpty():
+        return None
+    # ranges are found by buckets of about the mean range, so that files and buckets together grow as the files do
+    ranges = sized.where("first_offset <= last_offset").join(files.select("file_id", "begin_snapshot"), "file_id").select("file_id", *own, "begin_snapshot")
+    total = ranges.agg(F.sum(F.col("last_offset").cast("double") - F.col("first_offset").cast("double")).alias("span"), F.count(F.lit(1)).alias("n")).first()
+    width = F.lit(max(1, int((total.span or 0) / max(1, min(total.n, MOST_BUCKETS)))))
+    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    held = ranges.withColumn("bucket", F.explode(F.sequence(bucket("first_offset"), bucket("last_offset")))).withColumnRenamed("file_id", "held_by")
+    held = held.join(twins.select(F.col("file_id").alias("held_by"), F.lit(True).alias("is_twin")), "held_by", "left")
+    wider = (F.col("first_offset") < F.col("f_first_offset")) | (F.col("last_offset") > F.col("f_last_offset")) | (F.col("true_records") > F.col("f_true_records"))
+    ahead = wider | F.col("is_twin").isNull() | (F.col("held_by") < F.col("file_id"))
+    covers = (F.col("first_offset") <= F.col("f_first_offset")) & (F.col("last_offset") >= F.col("f_last_offset")) & (F.col("begin_snapshot").isNull() | (F.col("begin_snapshot") >= F.col("merged_at")))
+    place = F.col("topic").eqNullSafe(F.col("f_topic")) & F.col("kafka_partition").eqNullSafe(F.col("f_kafka_partition")) & (F.col("bucket") == F.col("f_bucket"))
+    pairs = cut(twins.withColumn("f_bucket", bucket("f_first_offset")).join(held, place & covers & ahead & (F.col("file_id") != F.col("held_by"))).select("file_id", "held_by").distinct())
+    ids = pairs.select(F.explode(F.array("file_id", "held_by")).alias("file_id")).distinct()
+    texts = files.select("file_id", "file_content").join(F.broadcast(ids) if pairs.count() * 2 <= BROADCAST_FILES else ids, "file_id")
+    records = cut(texts.select("file_id", F.explode(_records()).alias("record")).groupBy("file_id", F.md5("record").alias("h")).agg(F.count(F.lit(1)).alias("n")))
+    theirs = records.select(F.col("file_id").alias("held_by"), "h", F.col("n").alias("n_held"))
+    compared = pairs.join(records, "file_id").join(theirs, ["held_by", "h"], "left").groupBy("file_id", "held_by").agg(F.min(F.coalesce("n_held", F.lit(0)) >= F.col("n")).alias("whole"))
+    return compared.where("whole").groupBy("file_id").agg(F.min("held_by").alias("held_by"))
 
 
 def plan(files: DataFrame, settings: DataFrame, marked: DataFrame | None = None) -> DataFrame:
@@ -116,7 +159,7 @@ def plan(files: DataFrame, settings: DataFrame, marked: DataFrame | None = None)
 
 def found(files: DataFrame, settings: DataFrame) -> DataFrame:
     """Every live file below both sizes in force: file_id."""
-    return plan(files, settings).select("file_id")
+    return plan(files, settings, live(files, settings, merged=False)).select("file_id")
 
 
 _WRITTEN = "topic string, kafka_partition int, shard int, group_no int, path string, n_files long, n_records long, n_bytes long"

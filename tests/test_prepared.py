@@ -260,6 +260,35 @@ def test_compaction_keeps_every_record_once(spark, lake, tmp_path):
     assert sum(r.n_records for r in done) == 20
 
 
+def test_compaction_of_a_flush_merged_under_another_id(spark, lake, tmp_path):
+    import pyarrow.parquet as pq
+
+    settings_ = lake[1]
+    line = lambda *xs: "".join(f'{{"x":{x}}}\n' for x in xs)
+
+    def f(i, first, last, content, begin=1, end=None, part=0):
+        return (i, "z", part, first, last, None, None, begin, end, None, content, "d", 1)
+
+    rows = [
+        f(1, 0, 1, line(1, 2), end=5), f(2, 2, 2, line(3), end=5), f(3, 0, 2, line(1, 2, 3), begin=5, end=8),  # 1 and 2 became 3, then 6
+        f(4, 0, 1, "\r\n" + line(1, 2)), f(5, 0, 1, line(1, 2)), f(6, 0, 4, line(1, 2, 3, 4, 4), begin=8),  # 4 and 5 repeat 1
+        f(7, 9, 10, line(4, 4), end=9), f(8, 9, 10, line(4, 4)), f(9, 8, 12, line(4, 5, 6), begin=9),  # 9 lacks one of 8's
+        f(10, 20, 20, line(7), end=9), f(11, 20, 20, line(7)), f(12, 19, 21, line(7), begin=9, part=1),  # another partition
+        f(13, 30, 31, line(8, 9), end=9), f(14, 30, 31, line(8, 9)), f(15, 30, 31, line(9, 8), begin=9),  # merged alone
+        f(16, 40, None, line(10), end=9), f(17, 40, None, line(10)),  # no offsets
+        f(18, 50, 50, line(11)), f(19, 49, 51, line(11, 12)),  # no copy was merged
+        f(20, 60, 61, line(1, 2), begin=7), f(21, 60, 61, line(2, 1), begin=7), f(22, 60, 61, line(1, 2), end=7), f(23, 60, 61, line(2, 1), end=7),  # a ring but for the order
+    ]
+    files = spark.createDataFrame(rows, FILES)
+    dup = {r.file_id: r.duplicate_of for r in compaction.plan(files, settings_).collect()}
+    assert {k: v for k, v in dup.items() if v} == {4: 6, 5: 6, 14: 15, 21: 20} and len(dup) == 14
+    assert {r.file_id for r in compaction.found(files, settings_).collect()} == set(dup)
+    done = compaction.compact(files.where("file_id <= 6"), settings_, str(tmp_path / "out")).collect()
+    assert sorted(x for r in done for x in pq.read_table(r.path)["record"].to_pylist()) == sorted(line(1, 2, 3, 4, 4).split())
+    retired = {m["retired"]: m["duplicate_of"] for m in map(json.loads, (tmp_path / "out/manifest.json").read_text().splitlines()) if "retired" in m}
+    assert retired == {4: 6, 5: 6, 6: None}
+
+
 # -------------------------------------------------------------------------------------------------- 4
 
 
