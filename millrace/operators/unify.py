@@ -33,6 +33,7 @@ def _number(kinds: set[str]) -> str:
 def unify_fields(name: str, fields: list[T.StructField], samples: dict[str, object] | None = None) -> T.StructField:
     """The join of one field's types. The result doesn't depend on the order of ``fields``."""
     nullable = any(f.nullable for f in fields)
+    fields = [f for f in fields if not isinstance(f.dataType, T.NullType)] or fields  # without a type: that of the others
     kinds = {mt.kind(f) for f in fields}
     if len(kinds) == 1:
         k = next(iter(kinds))

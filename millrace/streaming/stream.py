@@ -110,7 +110,11 @@ class Sink:
         if not texts.isEmpty():
             self._write_texts(name, table, texts.withColumn("value", F.col("value").cast("string")), common)
         if not payloads.isEmpty():
-            typed = arrow_ipc.read(payloads, "value")
+            typed = arrow_ipc.read(payloads, "value", keep={"offset": "__offset"}, row="__row")
+            keys = common["keys"]
+            if keys and {k.lower() for k in keys} <= {c.lower() for c in typed.columns}:
+                typed = last_wins(typed, keys, ["__offset", "__row"])  # as below; within a payload the last row
+            typed = typed.drop("__offset", "__row")
             typed = self.transform(name, typed) if self.transform else typed
             table.write(typed, stream=f"{self.name}/ipc", **common)
 

@@ -422,6 +422,50 @@ def test_ipc(spark):
     assert (yes.count(), no.count()) == (1, 2)
 
 
+def test_ipc_payloads_of_differing_schemas(spark):
+    tables = [
+        pa.table({"id": pa.array([1], pa.int32()), "n": pa.array([5], pa.int64()), "in": pa.array([{"b": 1}]), "none": pa.nulls(1), "w": pa.array([date(2024, 1, 2)]), "xs": pa.array([[1, None]], pa.list_(pa.int32()))}),
+        pa.table({"ID": pa.array([2**40, 2**41], pa.int64()), "n": pa.array([0.5, None]), "in": pa.array([{"a": "x", "b": None}, None]), "none": ["s", None], "w": pa.array([datetime(2024, 1, 2, 3), None], pa.timestamp("ms")), "xs": pa.array([[2**40], None], pa.list_(pa.int64())), "only": [True, None]}),
+        pa.table({"m": pa.array([[("k", 1)], None], pa.map_(pa.string(), pa.int32())), "n": pa.array([2**60 + 1, 1], pa.int64())}),
+        pa.table({"m": pa.array([None, [("l", 2**40), ("o", None)]], pa.map_(pa.string(), pa.int64())), "t": pa.array([clock_time(1, 2), None], pa.time32("ms"))}),
+        pa.table({"t": pa.array([date(2024, 1, 2), None])}),
+    ]
+    for order in (tables, tables[::-1]):
+        df = spark.createDataFrame([(bytearray(arrow_ipc.encode(t)), i) for i, t in enumerate(order)], "p binary, o int").coalesce(1)
+        out = arrow_ipc.read(df, "p", keep={"o": "o"}, row="r")
+        kinds = {f.name: mt.kind(f) for f in out.schema.fields}
+        assert kinds == {"ID": "int64", "in": "struct", "m": "map", "n": "float64", "none": "string", "only": "boolean", "t": "time", "w": "timestamp", "xs": "array", "o": "int32", "r": "int64"}
+        rows = {(tables.index(order[r.o]), r.r): r.asDict(recursive=True) for r in out.collect()}
+        assert len(rows) == 9
+        show = lambda k: {c: v for c, v in rows[k].items() if v is not None and c not in "or"}
+        assert show((0, 0)) == {"ID": 1, "n": 5.0, "in": {"a": None, "b": 1}, "w": datetime(2024, 1, 2), "xs": [1, None]}
+        assert show((1, 0)) == {"ID": 2**40, "n": 0.5, "in": {"a": "x", "b": None}, "none": "s", "w": datetime(2024, 1, 2, 3), "xs": [2**40], "only": True}
+        assert show((1, 1)) == {"ID": 2**41}
+        assert show((2, 0)) == {"m": {"k": 1}, "n": float(2**60)} and show((2, 1)) == {"n": 1.0}
+        assert show((3, 0)) == {"t": "01:02:00.000"} and show((3, 1)) == {"m": {"l": 2**40, "o": None}}
+        assert show((4, 0)) == {"t": "00:00:00.000"} and show((4, 1)) == {}
+    bad = spark.createDataFrame([(bytearray(arrow_ipc.encode(pa.table({"x": v}))),) for v in ([1], ["a"])], "p binary")
+    with pytest.raises(unify.SchemaConflict, match="'x'"):
+        arrow_ipc.read(bad, "p")
+
+
+def test_stream_of_payloads_keeps_all_columns_and_the_last_of_a_key(spark, tmp_path):
+    payload = lambda **cols: bytearray(arrow_ipc.encode(pa.table(cols)))
+    rows = [
+        ("b", 0, 3, payload(id=[1, 2], v=["new", "new"], extra=[7, 8])),
+        ("b", 0, 1, payload(id=pa.array([1, 3], pa.int32()), v=["old", "old"])),
+        ("b", 0, 2, payload(id=[3, 3], v=["mid", "last"], more=[True, False])),
+    ]
+    c = config.parse({"data_path": str(tmp_path / "wh"), "topic2table.map": "", "table.b.auto-create": "true", "table.b.id-columns": "id"})
+    sink = Sink(spark, c, "payloads")
+    kind = "topic string, partition int, offset bigint, value binary"
+    want = {1: ("new", 7, None), 2: ("new", 8, None), 3: ("last", None, False)}
+    for n in (0, 1):  # into a new table, then as an upsert
+        sink(spark.createDataFrame(rows if n else rows[::-1], kind).repartition(3), n)
+        got = sink.catalog.table("b").read().collect()
+        assert len(got) == 3 and {r.id: (r.v, r.extra, r.more) for r in got} == want
+
+
 # ------------------------------------------------------------------------------------------ dead letters, streams, metrics
 
 
