@@ -5,8 +5,9 @@ read with; read twice counts as a pair of its own). A state emits units: the cha
 into. The clean state emits single characters. What a unit costs is what its original costs as clean text (rarity of the
 character, fit with its neighbours), so a state explains a stretch better than the clean state exactly if the original is
 the more ordinary text. Entering and leaving a garbled state costs extra, so that a lone odd pair stays as it is while many
-small gains add up. Only words with characters beyond ASCII can gain; words are scored once per state and remembered, and
-the Viterbi path runs over the words of a text. Each labelled span gets its state's inverse transform; what was replaced by
+small gains add up. Only words with characters beyond ASCII can gain; words are scored once per state and remembered: a
+Viterbi path over the units of a word says which of them are clean and which of the state. The outer path runs over the
+words of a text. Each labelled span gets its state's inverse transform; what was replaced by
 U+FFFD on the way is beyond repair and is left so.
 
 The clean state's character costs are trained on the corpus itself, by Viterbi training: all texts are labelled with the
@@ -34,6 +35,8 @@ ENTER, LEAVE = 7.0, 1.0
 DOUBT = 2.5
 #: The same for pairs of two older encodings, which are rarer.
 ENTER_OLD = 10.0
+#: Costs within a word: of changing between clean and garbled, and of a clean character amid garbled ones.
+SWITCH, ODD = 4.0, 3.0
 LOST = "�"
 #: Cost of U+FFFD as clean text and as a lost character.
 LOST_CLEAN, LOST_GARBLED = 24.0, 6.0
@@ -266,60 +269,134 @@ def _unit(state: State, word: str, at: int, times: int) -> tuple[str, int] | Non
     return (t, 1) if t else None
 
 
-def _wide_spans(state: State, word: str) -> str | None:
-    """The original of a word whose bytes were read two at a time; lost bytes come out as U+FFFD. None: not this state."""
-    out, i = [], 0
-    while i < len(word):
-        j = i
-        while j < len(word) and word[j] >= "\x80":
-            j += 1
-        if j == i:
-            out.append(word[i])
-            i += 1
-            continue
-        raw = b""
-        for c in word[i:j]:
-            if c != LOST:
-                try:
-                    raw += c.encode(state.read)
-                except UnicodeEncodeError:
-                    return None
-        t = raw.decode("utf-8", "replace")
-        good = sum(1 for c in t if c >= "\x80" and c != LOST)
-        lost = t.count(LOST)
-        if lost and (good < lost or LOST not in word[i:j]) or not good or any(kind(c) == "x" for c in t):
-            return None
-        out.append(t)
-        i = j
-    return "".join(out)
-
-
-def explain(state: State, word: str, costs: Costs) -> tuple[float, str] | None:
-    """(cost, original) of a word under a garbled state; None if no unit of it fits. Characters the state can't have emitted
-    are taken as clean ones, at a price."""
-    if state.wide:
-        t = _wide_spans(state, word)
-        return None if t is None else (cost(t.replace(LOST, ""), costs) + LOST_GARBLED * t.count(LOST), t)
+def _greedy(state: State, word: str) -> tuple[str, float, int]:
+    """(original, extra cost, units) of a word taken as garbled throughout."""
     out, extra, units, i = [], 0.0, 0, 0
     while i < len(word):
-        c = word[i]
-        if c < "\x80":
-            out.append(c)
-            i += 1
-            continue
-        u = _unit(state, word, i, state.times)
+        u = _unit(state, word, i, state.times) if word[i] >= "\x80" else None
         if u is None:
-            out.append(c)
-            extra += 3.0
+            out.append(word[i])
+            extra += ODD if word[i] >= "\x80" else 0.0
             i += 1
         else:
             out.append(u[0])
             units += 1
             i += u[1]
-    if not units:
+    return "".join(out), extra, units
+
+
+@lru_cache(maxsize=1 << 16)
+def _encoded(c: str, encoding: str) -> bytes | None:
+    try:
+        return c.encode(encoding)
+    except UnicodeEncodeError:
+        return None
+
+
+def _length(lead: int) -> int:
+    """Bytes of the UTF-8 character of a first byte; 0 if it is none."""
+    return 1 if lead < 0x80 else 2 if 0xC2 <= lead < 0xE0 else 3 if 0xE0 <= lead < 0xF0 else 4 if 0xF0 <= lead < 0xF5 else 0
+
+
+def _sequences(raw: bytes, rest: int) -> tuple[str, bytes, int] | None:
+    """(characters, bytes of an unfinished one, ``rest``) of UTF-8 bytes; None if they are none. ``rest``: so many bytes, at
+    most, may still belong to a character that lost one; they are passed over."""
+    out, i = "", 0
+    while i < len(raw):
+        lead = raw[i]
+        if rest and 0x80 <= lead < 0xC0:
+            rest -= 1
+            i += 1
+            continue
+        rest = 0
+        n = _length(lead)
+        part = raw[i : i + n]
+        if not n or any(not 0x80 <= x < 0xC0 for x in part[1:]):
+            return None
+        if len(part) < n:
+            return out, part, 0
+        try:
+            c = part.decode()
+        except UnicodeDecodeError:
+            return None
+        if kind(c) == "x":
+            return None
+        out += c
+        i += n
+    return out, b"", rest
+
+
+def _path(state: State, word: str, costs: Costs) -> tuple[str, float, int] | None:
+    """(original, extra cost, units) along the Viterbi path over a word's units, each clean or of the state; the path takes the
+    state at least once. None: no such path.
+
+    Modes: 0 clean so far, 2 clean again, else (bytes of an unfinished character, bytes of a lost one to come) within the state."""
+    inside = (b"", 0)
+    ways: list[dict] = [{} for _ in range(len(word) + 1)]  # mode -> (cost, kind before, extra, units, lost, link)
+    ways[0] = {0: (0.0, "w", 0.0, 0, 0, None), inside: (0.0, "w", 0.0, 0, 0, None)}
+
+    def go(at: int, mode: object, way: tuple, text: str, extra: float = 0.0, units: int = 0, lost: int = 0) -> None:
+        total, k = way[0] + extra, way[1]
+        for c in text:
+            nxt = kind(c)
+            total += LOST_GARBLED if lost else costs[c] + _fit(k, nxt)
+            k = nxt
+        if mode not in ways[at] or total < ways[at][mode][0]:
+            ways[at][mode] = (total, k, way[2] + extra, way[3] + units, way[4] + lost, (way[5], text) if text else way[5])
+
+    for i, c in enumerate(word):
+        here = ways[i]
+        if i and c >= "\x80":
+            for mode, way in list(here.items()):
+                if mode in (0, 2):
+                    go(i, inside, way, "", SWITCH)
+                elif not mode[0]:
+                    go(i, 2, way, "", SWITCH)
+        for mode, way in here.items():
+            if mode in (0, 2):
+                go(i + 1, mode, way, c)
+            elif c < "\x80":
+                if not mode[0]:
+                    go(i + 1, inside, way, c)
+            elif not state.wide:
+                u = _unit(state, word, i, state.times)
+                if u is None:
+                    go(i + 1, inside, way, c, ODD)
+                else:
+                    go(i + u[1], inside, way, u[0], 0.0, 1)
+            elif c == LOST:
+                rest = _length(mode[0][0]) - len(mode[0]) - 1 if mode[0] else mode[1] - 1 if mode[1] else 2
+                go(i + 1, (b"", rest), way, LOST, 0.0, 0, 1)
+            elif (raw := _encoded(c, state.read)) is not None and (read := _sequences(mode[0] + raw, mode[1])) is not None:
+                go(i + 1, read[1:], way, read[0], 0.0, sum(x >= "\x80" for x in read[0]))
+        ways[i] = {}
+    ends = [w for m, w in ways[-1].items() if m == 2 or m != 0 and not m[0]]
+    ends = [w for w in ends if w[3] and w[3] >= w[4]]  # more is known of the original than lost
+    if not ends:
         return None
-    t = "".join(out)
-    return cost(t, costs) + extra, t
+    _, _, extra, units, _, link = min(ends, key=lambda w: w[0])
+    out = []
+    while link is not None:
+        link, text = link
+        out.append(text)
+    return "".join(reversed(out)), extra, units
+
+
+def explain(state: State, word: str, costs: Costs) -> tuple[float, str] | None:
+    """(cost, original) of a word under a garbled state; None if no unit of it fits. Stretches the state can't have emitted, or
+    that are likelier as they are, are taken as clean and left so, at a price: ODD a character or SWITCH at each of their ends."""
+    tries = []
+    if not state.wide:
+        whole = _greedy(state, word)
+        if not whole[2]:
+            return None
+        tries.append(whole)
+        if not whole[1] and state.written == "utf-8":  # nothing in it could be clean
+            return cost(whole[0], costs), whole[0]
+    if (way := _path(state, word, costs)) is not None:
+        tries.append(way)
+    price = lambda t: cost(t.replace(LOST, ""), costs) + LOST_GARBLED * t.count(LOST) if state.wide else cost(t, costs)
+    return min(((price(t) + extra, t) for t, extra, _ in tries), default=None)
 
 
 class Words(dict):

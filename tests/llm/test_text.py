@@ -246,3 +246,18 @@ def test_queries_run(spark, sf):
 
     for name, f in queries.QUERIES.items():
         assert f(spark, sf).count() > 0, name
+
+
+@pytest.mark.parametrize("read", ["gbk", "cp932", "cp1252", "latin-1"])
+def test_garbled_text_joined_to_clean(read):
+    scores = garbled.Words()
+    fixed = lambda t: garbled.restore(t, garbled.label(t, scores))
+    before, after = "修改：", "，已经完成了全部的工作。今天也没有其他的问题需要我们继续处理"
+    for original in ("更新文档内容", "更新文档内容以及测"):  # an even and an odd number of bytes
+        garbage = original.encode().decode(read, "replace")
+        alone = fixed(garbage)
+        assert alone[:2] == original[:2]
+        assert fixed(before + garbage) == before + alone
+        assert fixed(garbage + after) == alone + after
+        assert fixed(before + garbage + after) == before + alone + after
+    assert fixed(before + after) == before + after
