@@ -281,8 +281,9 @@ def compatible(kind: str, registered: str) -> bool:
     return k == want or (want == "float" and k == "int") or (want == "string" and k == "timestamp")
 
 
-#: A new name seen in at least this share of its batches with nothing gone beside it is an addition.
-FREE_SHARE = 0.15
+#: What a pair's score loses if its new name always comes with nothing gone beside it, in its topic and parent; of a part of its
+#: batches, that part. Names as alike as NAMES_ALIKE lose nothing.
+FREE_COST, NAMES_ALIKE = 0.4, 0.8
 LEAST_SCORE = 0.45
 
 
@@ -300,12 +301,10 @@ def _pair(baseline: dict, registry: dict, least: float):
                 if r_parent != parent or not compatible(kind, r_kind):
                     continue
                 names = name_similarity(name, r_name)
-                if free is not None and free == free and free >= FREE_SHARE and names < 0.8:
-                    continue
                 paths = [(topic, r_parent + r_name, o) for o in (("schema", "json") if kind[:1] == "=" else ("json", "schema"))]
                 base = baseline.get(paths[0]) or baseline.get(paths[1], {})
                 shapes = cosine(profile, base) if profile and base else 0.5
-                score = 0.45 * names + 0.55 * shapes
+                score = 0.45 * names + 0.55 * shapes - (FREE_COST * free if names < NAMES_ALIKE and free == free else 0.0)
                 if score >= least:
                     scored.append((score, name, r_name, parent))
         renamed, taken = {}, set()
@@ -359,9 +358,9 @@ def report(records: DataFrame, fields: DataFrame, least: float = LEAST_SCORE) ->
     diffs = cut(batches.repartition("batch_id", "topic").sortWithinPartitions("batch_id", "topic").mapInPandas(_diff(registry), _DIFF))
     gone = diffs.where("change = 'removed'").select("batch_id", "topic", "parent").distinct().withColumn("gone", F.lit(True))
     added = diffs.where("change = 'added'").join(gone, ["batch_id", "topic", "parent"], "left")
-    free = added.groupBy(F.lower("name").alias("low")).agg(F.avg(F.when(F.col("gone").isNull(), 1.0).otherwise(0.0)).alias("free_share"))
+    free = added.groupBy("topic", "parent", F.lower("name").alias("low")).agg(F.avg(F.when(F.col("gone").isNull(), 1.0).otherwise(0.0)).alias("free_share"))
     both = diffs.where("change = 'added'").join(gone.drop("gone"), ["batch_id", "topic", "parent"], "left_semi").select("batch_id", "topic").distinct()
-    open_ = diffs.join(both, ["batch_id", "topic"], "left_semi").withColumn("low", F.lower("name")).join(free, "low", "left").drop("low")
+    open_ = diffs.join(both, ["batch_id", "topic"], "left_semi").withColumn("low", F.lower("name")).join(free, ["topic", "parent", "low"], "left").drop("low")
     settled = diffs.join(both, ["batch_id", "topic"], "left_anti")
     out = "batch_id long, topic string, field_path string, change string, new_path string"
     open_ = open_.select("batch_id", "topic", "parent", "name", "kind", "change", "profile", "free_share")

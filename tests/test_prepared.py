@@ -78,6 +78,17 @@ def test_drift_cases(spark, fields):
     assert by[12] == {("m", "renamed")}
 
 
+def test_drift_of_a_name_that_is_new_elsewhere(spark, fields):
+    j = lambda b, name, i, **kw: (b, "j", None, json.dumps({"id": i, "score": 0.5, name: f"{i} of ten", **kw}))
+    rows = [(b, "t", None, json.dumps(GOOD | {"remark": f"{b} of ten"})) for b in range(20)]  # an addition in one topic
+    rows += [j(100 + b, "note", b) for b in range(4)] + [j(110 + b, "remark", b) for b in range(4)]  # a new name in another
+    rows += [j(120 + b, "note", b, extra=f"{b} of ten") for b in range(4)] + [j(130, "extra", 1)]  # an addition with a like value
+    got = changes(spark, fields, rows)
+    assert {x for x in got if x[0] < 100} == {(b, "remark", "added") for b in range(20)}
+    assert {x for x in got if 100 <= x[0] < 120} == {(110 + b, "note", "renamed") for b in range(4)}
+    assert {x for x in got if x[0] >= 120} == {(120 + b, "extra", "added") for b in range(4)} | {(130, "note", "removed"), (130, "extra", "added")}
+
+
 def test_drift_with_schemas(spark, fields):
     def schema(*more, drop=(), **types):
         base = {"id": "int64", "amount": "float64", "created_at": "int64", "tags": "array", "m": "map"} | types
