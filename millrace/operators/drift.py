@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import clock
+from millrace.functions import timestamps as ts
 from millrace.session import cut, registry_rows, ship
 
 _ID_LIKE = re.compile(r"(id|key)$")
@@ -415,7 +416,7 @@ def _cells(registered: dict, new_names: dict[str, set[str]]) -> Iterator[tuple[s
                 value = F.when(F.element_at("renames", F.lit(prefix)) == new, F.expr(f"try_variant_get(v, \"{_steps(other)}\", 'variant')")).otherwise(value)
         text = F.to_json(value) if kind in ("array", "map", "struct") else value.try_cast("string")
         if kind == "timestamp":
-            cell = F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}T"), F.trim(text).try_cast("timestamp")))
+            cell = F.coalesce(ts.from_micros(F.try_multiply(text.try_cast("bigint"), F.lit(1000))), ts.from_micros(ts.epoch_micros(text)))
         elif kind in _SQL_TYPE:
             cell = text.try_cast(_SQL_TYPE[kind])
         else:

@@ -162,7 +162,7 @@ def _finish(c: Column, t: T.DataType) -> Column:
         return F.transform_values(c, lambda _, v: _finish(v, t.valueType))
     if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
         millis = F.coalesce(ts.epoch_millis(c), c.try_cast("bigint"))
-        return F.timestamp_millis(millis).cast("timestamp_ntz")
+        return ts.from_micros(millis * 1000)
     return c
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from millrace import types as mt
 from millrace.functions import idents
+from millrace.functions import timestamps as ts
 from millrace.functions.jsonx import describe
 
 _NUMBERS = {"int8", "int16", "int32", "int64", "float32", "float64", "boolean"}
@@ -118,6 +119,8 @@ def _cast(c: Column, have: T.StructField, want: T.StructField) -> Column:
         return out if a.keyType == b.keyType else F.transform_keys(out, lambda k, _: k.cast(b.keyType))
     if ka == "time" and kb == "timestamp":
         return F.concat(F.lit("1970-01-01 "), c).try_cast("timestamp_ntz")
+    if isinstance(a, T.TimestampType) and kb == "timestamp":
+        return ts.utc(c)
     if ka == "date" and kb == "time":
         return F.when(c.isNotNull(), F.lit("00:00:00.000"))
     return c if a == b else c.cast(b)

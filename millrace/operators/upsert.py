@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import idents
+from millrace.functions import timestamps as ts
 from millrace.types import SYSTEM_COLUMN
 
 
@@ -70,7 +71,7 @@ def merge(base: DataFrame, batch: DataFrame, keys: list[str], now: Column | None
     of_batch = {c.lower(): f"__n_{c}" for c in batch.columns if c.lower() != SYSTEM_COLUMN}
     n = _prepared(batch, keys)
     on = _all([_c(lower[k.lower()]) == _c(of_batch[k.lower()]) for k in keys])
-    now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
+    now = ts.now() if now is None else now
     key_names = {k.lower() for k in keys}
     names = [*base.columns, *[c for c in batch.columns if c.lower() not in lower and c.lower() != SYSTEM_COLUMN]]
 

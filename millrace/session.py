@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +50,9 @@ def registry_rows(df: DataFrame, limit: int = MAX_REGISTRY_ROWS) -> list:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan of fewer partitions than half the cluster's cores (small inputs only); larger ones stay as read, and
-    so do results of shuffles, whose partitions are chosen as they run."""
+    """Repartition a scan of fewer partitions than half the cluster's cores (small inputs only); larger ones stay as read. For
+    plans of scans without shuffles, as only those have their partitions before they run."""
     ship(df.sparkSession)
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
@@ -73,7 +72,17 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder's name in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and cut its lineage; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes ``df`` to the shared folder as Parquet and reads that: cuts the lineage, survives the loss of executors, and gives
+    the planner true sizes and the readers pruning."""
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

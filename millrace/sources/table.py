@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from millrace import types as mt
 from millrace.functions import idents, jsonx, partitions
+from millrace.functions import timestamps as ts
 from millrace.metrics import Metrics
 from millrace.operators import upsert as up
 from millrace.operators.evolve import evolve
@@ -176,7 +177,7 @@ class Table:
             c = F.col(idents.column(f.name))
             k = mt.kind(f)
             stored = mt.field(f.name, "json" if k in ("struct", "array", "map") else k)
-            c = jsonx.to_json(c) if k in ("struct", "array", "map") else c.cast(stored.dataType) if f.dataType != stored.dataType else c
+            c = jsonx.to_json(c) if k in ("struct", "array", "map") else ts.utc(c) if isinstance(f.dataType, T.TimestampType) else c.cast(stored.dataType) if f.dataType != stored.dataType else c
             cols.append(c.alias(f.name, metadata=stored.metadata or {}))
         return df.select(*cols)
 
@@ -241,7 +242,7 @@ class Table:
         """Adds rows by name; columns the batch lacks are null."""
         with self.metrics.timer("simpleInsert"):
             s = self.state()
-            now = F.current_timestamp().cast("timestamp_ntz")
+            now = ts.now()
             full = project(_as_stored(rows, s.schema), s.schema).withColumn(mt.SYSTEM_COLUMN, now)
             files = self._write(full, s.parts, keys or [], max_records)
             for _ in range(retries + 1):
@@ -277,7 +278,7 @@ class Table:
                     base = self.read(files=touched)
                     if {c.lower() for c in stored.columns} <= {k.lower() for k in keys}:
                         # only keys: nothing to update, so no file is rewritten; unknown keys are appended
-                        merged = project(up.unknown(base, stored, keys), s.schema).withColumn(mt.SYSTEM_COLUMN, F.current_timestamp().cast("timestamp_ntz"))
+                        merged = project(up.unknown(base, stored, keys), s.schema).withColumn(mt.SYSTEM_COLUMN, ts.now())
                         touched = []
                     else:
                         merged = project(up.merge(base, stored, keys, small=small), s.schema)

@@ -386,15 +386,39 @@ def test_copies_of_nothing(spark, topics):
     assert dedupe.copies(spark.createDataFrame([], SINK), topics.limit(0)).collect() == []
 
 
-def test_bloom_never_misses():
+def test_blooms_never_miss():
     import numpy as np
 
     rnd = np.random.default_rng(1)
-    f = dedupe.Bloom(10_000)
-    h = rnd.integers(0, 1 << 63, 10_000).astype(np.uint64)
-    f.add(h)
-    assert f.may_hold(h).all()
-    assert f.may_hold(rnd.integers(0, 1 << 63, 50_000).astype(np.uint64)).mean() < 0.02
+    f = dedupe.Blooms(10_000)
+    h = rnd.integers(0, 1 << 63, 20_000).astype(np.uint64)
+    f.add(h[:10_000], 3)
+    f.add(h[10_000:], 63)
+    held = f.held_by(h)
+    assert (held[:10_000] >> np.uint64(3) & np.uint64(1)).all() and (held[10_000:] >> np.uint64(63) & np.uint64(1)).all()
+    assert (f.held_by(rnd.integers(0, 1 << 63, 50_000).astype(np.uint64)) != 0).mean() < 0.04
+
+
+def test_copies_with_a_stray_date_and_a_hot_identifier(spark, topics):
+    """A third of the rows under one place, one date far off, times that are equal, and null times."""
+    from datetime import datetime, timedelta
+
+    rows = []
+    for i in range(900):
+        at = datetime(1970, 1, 1) if i == 7 else None if i % 50 == 0 else datetime(2024, 1, 1) + timedelta(minutes=i // 3)
+        rows.append((i, 1, "t", 0, 5 if i % 3 == 0 else i, "k", None, '{"id": %d}' % i, at, "", "", "", ""))
+    got = {tuple(r) for r in dedupe.copies(spark.createDataFrame(rows, SINK), topics).collect()}
+    assert {(0, i) for i in range(3, 900, 3)} <= got
+
+
+def test_components_of_a_long_chain(spark):
+    import random
+
+    names = list(range(300))
+    random.Random(3).shuffle(names)
+    links = spark.createDataFrame([(a, b) for a, b in zip(names, names[1:])] + [(1000, 1001)], "a long, b long")
+    got = {(r.node, r.root) for r in dedupe.components(links).collect()}
+    assert got == {(n, 0) for n in names} | {(1000, 1000), (1001, 1000)}
 
 
 def test_planted_tables_are_found(spark, sf01):
