@@ -46,9 +46,9 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_status(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts per topic, field, notation and status."""
+    """Texts per topic, field and status."""
     rows = timenorm.normalise(read_table(spark, sf, "intake_rows"), read_table(spark, sf, "sink_topics"))
-    return rows.groupBy("topic", "field_name", "notation", "status").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("topic", "field_name", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,6 +65,15 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p2_found, p2_rows, p3_fou
 ORACLES = {
     "p2_found": sql.REJECTS,
     "p4_found": sql.TIMES,
+    "p4_status": f"""
+WITH t AS (
+  SELECT row_id, topic, 'created_at' AS field_name, created_at AS raw FROM intake_rows WHERE created_at IS NOT NULL
+  UNION ALL SELECT row_id, topic, 'record_timestamp', record_timestamp FROM intake_rows WHERE record_timestamp IS NOT NULL),
+f AS ({sql.TIMES})
+SELECT topic, field_name, CASE WHEN utc_us IS NOT NULL THEN 'normalised'
+    WHEN regexp_full_match(raw, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\\.[0-9]{{6}}Z') AND try_cast(raw[1:10] AS DATE) IS NOT NULL THEN 'canonical'
+    ELSE 'unreadable' END AS status, count(*) AS n
+FROM t LEFT JOIN f USING (row_id, field_name) GROUP BY ALL""",
     "p5_found": sql.COPIES + " SELECT * FROM copies",
     "p5_kept": sql.COPIES + " SELECT delivery_id, topic, kafka_partition, kafka_offset FROM sink_records WHERE delivery_id NOT IN (SELECT copy_id FROM copies)",
     "p3_found": r"""

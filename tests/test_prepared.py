@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.functions import fsm
+from millrace.functions import clock, fsm
 from millrace.operators import compaction, dedupe, drift, rejects, timenorm
 from millrace.session import read_table
 
@@ -304,10 +304,43 @@ def test_compaction_of_a_flush_merged_under_another_id(spark, lake, tmp_path):
 
 
 def test_em_learns_the_order():
-    assert timenorm.em_order(50, 0, 50, None) > 0.97
-    assert timenorm.em_order(0, 50, 50, None) < 0.03
-    assert timenorm.em_order(0, 0, 10, None) == pytest.approx(0.5)
-    assert timenorm.em_order(0, 50, 0, "dmy") == 1.0
+    def day_first(day, month, both, registered=None):
+        w = timenorm.mixture({"numeric/:a": day, "numeric-:b": month, "numeric/:ab": both, "ymd:a": 20, "none:": 3}, registered)
+        return w["dmy"] / (w["dmy"] + w["mdy"])
+
+    assert day_first(50, 0, 50) > 0.97 and day_first(0, 50, 50) < 0.03
+    assert day_first(0, 0, 10) == pytest.approx(0.5)
+    assert day_first(0, 5, 50, "dmy") > 0.98
+
+
+def test_em_prefers_a_registered_order_but_not_against_all_data():
+    choose = lambda counts, fits, order: timenorm.choose(fits, timenorm.mixture(counts, order), 0.95)
+    some = {"numeric/:a": 500, "numeric/:b": 400, "numeric/:ab": 100}
+    assert choose(some, "numeric/:ab", "mdy")[0] == "b" and choose(some, "numeric/:a", "mdy")[3] == "unreadable"
+    assert choose(some, "numeric/:ab", None)[3] == "ambiguous" and choose(some, "numeric/:a", None)[::3] == ("a", "normalised")
+    against = {"numeric/:a": 100_000, "numeric/:ab": 10}
+    assert choose(against, "numeric/:a", "mdy")[::3] == ("a", "normalised")
+    assert choose(some, "none:", None)[3] == "unreadable" and choose({"ymd:a": 1}, "ymd:a", None)[::3] == ("a", "normalised")
+
+
+def test_notations_exclude_each_other():
+    texts = ["2024-01-02 03:04", "02/01/2024 03:04", "02.01.2024 03:04:05", "2 Jan 2024 03:04", "Jan 2, 2024 03:04", "20240102T0304", "202401020304", "Tue, 02 Jan 2024 03:04:05 GMT", "2024.1.2 3:04", "1704164645", "1704164645123"]
+    for t in texts:
+        assert sum(p.fullmatch(t) is not None for _, p in clock._NOTATIONS) + (clock._COUNT.fullmatch(t) is not None) == 1, t
+
+
+def test_sources_without_an_order(spark, topics):
+    """Conflicting dates stay ambiguous, and say so; consistent ones settle the doubtful."""
+    rows = [(i, "free", f"{13 + i % 15}/04/2024 10:00" if i % 2 else f"04/{13 + i % 15}/2024 10:00", None) for i in range(40)]
+    rows += [(100, "free", "04/05/2024 10:00", None), (101, "free", "05-05-2024 10:00", None)]
+    rows += [(200 + i, "none", f"{13 + i % 15}/04/2024 10:00", None) for i in range(60)] + [(300, "none", "04/05/2024 10:00", None)]
+    df = spark.createDataFrame(rows, "row_id bigint, topic string, created_at string, record_timestamp string")
+    got = {r.row_key: r for r in timenorm.normalise(df, topics, key="row_id").collect()}
+    assert got[100].status == "ambiguous" and got[100].other_us not in (None, got[100].utc_us)
+    assert got[101].status == "normalised" and got[101].other_us is None
+    assert got[300].status == "normalised" and got[300].utc_us == 1714816800_000000 and got[300].posterior > 0.95  # 4 May
+    assert {got[i].status for i in range(40)} == {"normalised"}
+    assert timenorm.found(df, topics).count() == len(rows)
 
 
 def test_times(spark, topics):
