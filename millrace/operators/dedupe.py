@@ -4,8 +4,8 @@ A message is known by identifiers: its place in the log (topic, partition, offse
 its whole content beside them. Deliveries that share an identifier are copies, and so are copies of copies.
 
 One pass over the records writes the identifiers to bucketed storage: time buckets of about equal size, sorted by bucket in
-each file. Only their 64-bit hashes, packed, are shuffled, to hash ranges. There a Bloom filter per time bucket screens them
-in order of arrival: a hash no filter holds is definitely new and its identifier is never looked at again. A possible
+each file. Only fingerprints of them, five bytes each, are shuffled, to hash ranges. There a Bloom filter per time bucket screens them
+in order of arrival: a fingerprint no filter holds is definitely new and its identifier is never looked at again. A possible
 repeat names the buckets that may hold it, and is verified by the full identifier, read from those buckets only. What is
 verified forms a small graph whose components are the messages.
 """
@@ -32,8 +32,12 @@ HASHES = 5
 RANGE_KEYS = 4_000_000
 #: Hashes a task packs at a time.
 PACK = 1 << 18
-#: Possible repeats are broadcast up to this many (16 bytes each), beyond it they are joined by shuffle.
+#: Bits of a fingerprint within its hash range; what meets by chance is verified like what the filters let through.
+FINGERPRINT = 40
+#: Possible repeats (16 bytes each) and repeated identifiers (their bytes) are broadcast up to this many, beyond it they are joined
+#: by shuffle.
 BROADCAST_REPEATS = 2_000_000
+BROADCAST_IDENTIFIERS = 400_000
 
 
 class Blooms:
@@ -98,19 +102,27 @@ def _bucket(at: Column, edges: list[int]) -> Column:
     return F.when(at > edges[mid], F.lit(mid + 1) + _bucket(at, edges[mid + 1 :])).otherwise(_bucket(at, edges[:mid]))
 
 
-def _pack(ranges: int):
-    """(h, bucket) to rows (range, bucket, packed hashes). Of hashes a task meets again two are sent, so that a hot one is little."""
+def _unpacked(prints: bytes) -> np.ndarray:
+    wide = np.zeros((len(prints) * 8 // FINGERPRINT, 8), np.uint8)
+    wide[:, : FINGERPRINT // 8] = np.frombuffer(prints, np.uint8).reshape(-1, FINGERPRINT // 8)
+    return wide.view("<u8").ravel()
 
-    def packed(h: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        r = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-        order = np.lexsort((h, b, r))
-        h, b, r = h[order], b[order], r[order]
-        third = np.zeros(len(h), bool)
-        third[2:] = (h[2:] == h[:-2]) & (b[2:] == b[:-2])
-        h, b, r = h[~third], b[~third], r[~third]
+
+def _pack():
+    """(key, bucket) to rows (range, bucket, packed fingerprints). Of keys a task meets again two are sent, so that a hot one is
+    little."""
+
+    def packed(key: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((key, b, key >> np.uint64(FINGERPRINT)))
+        key, b = key[order], b[order]
+        third = np.zeros(len(key), bool)
+        third[2:] = (key[2:] == key[:-2]) & (b[2:] == b[:-2])
+        key, b = key[~third], b[~third]
+        r = key >> np.uint64(FINGERPRINT)
         starts = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]) | (r[1:] != r[:-1])])
-        ends = np.r_[starts[1:], len(h)]
-        return pa.RecordBatch.from_arrays([pa.array(r[starts].astype(np.int32)), pa.array(b[starts].astype(np.int32)), pa.array([h[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary())], names=["range", "bucket", "hashes"])
+        ends = np.r_[starts[1:], len(key)]
+        low = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : FINGERPRINT // 8]
+        return pa.RecordBatch.from_arrays([pa.array(r[starts].astype(np.int32)), pa.array(b[starts].astype(np.int32)), pa.array([low[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary())], names=["range", "bucket", "prints"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, bs, n = [], [], 0
@@ -128,7 +140,7 @@ def _pack(ranges: int):
 
 
 def _screen(expected: int):
-    """Per partition (whole hash ranges, buckets in order): (h, bucket) of possible repeats and of the buckets that may hold them."""
+    """Per partition (whole hash ranges, buckets in order): (key, bucket) of possible repeats and of the buckets that may hold them."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, filters = None, None
@@ -137,19 +149,19 @@ def _screen(expected: int):
             for r, bucket, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if r != at:
                     at, filters = r, Blooms(expected)
-                h, n = np.unique(np.frombuffer(packed, np.uint64), return_counts=True)
+                h, n = np.unique(_unpacked(packed), return_counts=True)
                 held = filters.held_by(h)
                 filters.add(h, bucket)
                 hit = (held != 0) | (n > 1)
                 if hit.any():
-                    h, held = h[hit], held[hit] | np.uint64(1 << bucket)
+                    h, held = h[hit] | np.uint64(r << FINGERPRINT), held[hit] | np.uint64(1 << bucket)
                     for b in range(BUCKETS):
                         mine = h[(held >> np.uint64(b)) & np.uint64(1) == 1]
                         if len(mine):
                             out_h.append(mine)
                             out_b.append(np.full(len(mine), b, np.int32))
             if out_h:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_h).view(np.int64)), pa.array(np.concatenate(out_b))], names=["h", "bucket"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_h).view(np.int64)), pa.array(np.concatenate(out_b))], names=["key", "bucket"])
 
     return run
 
@@ -163,21 +175,25 @@ def verified(records: DataFrame, topics: DataFrame, buckets: int = BUCKETS) -> D
     span = records.agg(F.percentile_approx(_at(records), [i / buckets for i in range(1, buckets)], 10_000).alias("edges"), (F.count(F.lit(1)) * 2).alias("n")).first()
     edges = sorted(set(span.edges or []))
     crowd = 1 + max((list(span.edges).count(e) for e in edges), default=buckets - 1)  # shares of the rows that lie in one bucket, if times are equal
-    stored = identifiers(records, topics).select("delivery_id", _bucket(F.col("at"), edges).cast("int").alias("bucket"), F.xxhash64("identifier").alias("h"), "identifier")
-    stored = cut(stored.sortWithinPartitions("bucket"))
     ranges = max(1, math.ceil(span.n / RANGE_KEYS), int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    packed = stored.select("h", "bucket").mapInArrow(_pack(ranges), "range int, bucket int, hashes binary")
+    h = F.xxhash64("identifier")
+    key = F.pmod(h, F.lit(ranges)) * F.lit(1 << FINGERPRINT) + F.shiftrightunsigned(h, 64 - FINGERPRINT)  # range and fingerprint
+    stored = identifiers(records, topics).select("delivery_id", _bucket(F.col("at"), edges).cast("int").alias("bucket"), key.alias("key"), "identifier")
+    stored = cut(stored.sortWithinPartitions("bucket"))
+    packed = stored.select("key", "bucket").mapInArrow(_pack(), "range int, bucket int, prints binary")
     expected = max(64, 2 * span.n * crowd // (ranges * buckets))
-    possible = cut(packed.repartition(ranges, "range").sortWithinPartitions("range", "bucket").mapInArrow(_screen(expected), "h long, bucket int").distinct())
+    possible = cut(packed.repartition(ranges, "range").sortWithinPartitions("range", "bucket").mapInArrow(_screen(expected), "key long, bucket int").distinct())
     met = possible.agg(F.count(F.lit(1)).alias("n"), F.collect_set("bucket").alias("buckets")).first()
     matching = stored.where(F.col("bucket").isin(sorted(met.buckets)))
-    held = cut(matching.join(F.broadcast(possible) if met.n <= BROADCAST_REPEATS else possible, ["h", "bucket"]).select("delivery_id", "bucket", "identifier"))
-    # a hot identifier is a row per bucket from here on, and its deliveries are spread over the buckets
-    parts = held.groupBy("identifier", "bucket").agg(F.min("delivery_id").alias("low"), F.max("delivery_id").alias("high"))
-    repeated = parts.groupBy("identifier").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("identifier", "low")
-    firsts = parts.select("identifier", "bucket").join(repeated, "identifier")
+    held = cut(matching.join(F.broadcast(possible) if met.n <= BROADCAST_REPEATS else possible, ["key", "bucket"]).select("delivery_id", "bucket", "identifier"))
+    repeated = cut(held.groupBy("identifier").agg(F.min("delivery_id").alias("low"), F.max("delivery_id").alias("high")).where("low <> high").select("identifier", "low"))
+    if repeated.count() <= BROADCAST_IDENTIFIERS:
+        shared = held.join(F.broadcast(repeated), "identifier")
+    else:  # a hot identifier's deliveries are spread over the buckets
+        firsts = held.select("identifier", "bucket").distinct().join(repeated, "identifier")
+        shared = held.join(firsts, ["identifier", "bucket"])
     # a delivery has two identifiers at most, so least and greatest are both
-    return held.join(firsts, ["identifier", "bucket"]).groupBy("delivery_id").agg(F.min("low").alias("low"), F.max("low").alias("high"))
+    return shared.groupBy("delivery_id").agg(F.min("low").alias("low"), F.max("low").alias("high"))
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

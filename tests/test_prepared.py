@@ -439,7 +439,7 @@ def test_copies_with_a_stray_date_and_a_hot_identifier(spark, topics):
     rows = []
     for i in range(900):
         at = datetime(1970, 1, 1) if i == 7 else None if i % 50 == 0 else datetime(2024, 1, 1) + timedelta(minutes=i // 3)
-        rows.append((i, 1, "t", 0, 5 if i % 3 == 0 else i, "k", None, '{"id": %d}' % i, at, "", "", "", ""))
+        rows.append((i, 1, "t", 0, 5 if i % 3 == 0 else i, None, '{"id": %d}' % i, at, "", "", "", ""))
     got = {tuple(r) for r in dedupe.copies(spark.createDataFrame(rows, SINK), topics).collect()}
     assert {(0, i) for i in range(3, 900, 3)} <= got
 
