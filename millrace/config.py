@@ -45,9 +45,23 @@ def _inlining(text: str) -> int | None:
     return _not_negative("data.inlining.row.limit")(text)
 
 
+def _catalog(text: str) -> str:
+    """The folder of the tables' logs; blank: with the data. Services that aren't folders are refused."""
+    return check_location(text) if text.strip() else ""
+
+
+def _nothing(why: str) -> Callable[[str], str]:
+    def read(text: str) -> str:
+        if text.strip():
+            raise ValueError(why)
+        return ""
+
+    return read
+
+
 #: option: (default, reader). None as default: required (fixed values).
 OPTIONS: dict[str, tuple[str | None, Callable]] = {
-    "catalog_uri": ("", str),
+    "catalog_uri": ("", _catalog),
     "data_path": (None, check_location),
     "data.inlining.row.limit": ("10000", _inlining),
     "topic2table.map": ("", str),
@@ -59,7 +73,7 @@ OPTIONS: dict[str, tuple[str | None, Callable]] = {
     "parallel.partition.flush": ("true", _flag),
     "max_retry_count": ("10", _not_negative("max_retry_count")),
     "spill.enabled": ("false", _flag),
-    "spill.directory": ("", str),
+    "spill.directory": ("", _nothing("spilled data goes to spark.local.dir; set that instead")),
     "s3.url_style": ("", str),
     "s3.use_ssl": ("", str),
     "s3.endpoint": ("", str),

@@ -61,12 +61,14 @@ def fits(value: object, t: T.DataType, logical: str | None = None) -> bool:
     return isinstance(value, str)
 
 
-def first_types(df: DataFrame, value: str, order: str, conflicts: set[str]) -> dict[str, T.DataType]:
-    """Type of each conflicting field as the first record by order that has it shows it."""
+def first_types(df: DataFrame, value: str, order: list[str], conflicts: set[str]) -> dict[str, T.DataType]:
+    """Type of each conflicting field as the first record by ``order`` that has it shows it. Records equal in all of ``order`` are
+    one place; of several there any counts."""
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first: dict[str, tuple[int, str]] = {}
+        first: dict[str, tuple[tuple, str]] = {}
         for pdf in it:
-            for at, text in zip(pdf["o"], pdf["v"], strict=True):
+            for text, *at in zip(pdf["v"], *[pdf[f"o{i}"] for i in range(len(order))], strict=True):
                 try:
                     record = json.loads(text) if text is not None else None
                 except (ValueError, RecursionError):
@@ -74,17 +76,19 @@ def first_types(df: DataFrame, value: str, order: str, conflicts: set[str]) -> d
                 if isinstance(record, dict):
                     for k in conflicts:
                         tree = infer.observe(record.get(k), k)
-                        if tree is not None and (k not in first or at < first[k][0]):
-                            first[k] = (at, json.dumps(tree))
-        yield pd.DataFrame([(k, a, t) for k, (a, t) in first.items()], columns=["k", "o", "tree"])
+                        if tree is not None and (k not in first or tuple(at) < first[k][0]):
+                            first[k] = (tuple(at), json.dumps(tree))
+        yield pd.DataFrame([(k, [int(x) for x in a], t) for k, (a, t) in first.items()], columns=["k", "o", "tree"])
 
     ship(df.sparkSession)
-    rows = df.select(F.col(order).cast("long").alias("o"), F.col(value).alias("v")).mapInPandas(run, "k string, o long, tree string")
+    kinds = dict(df.dtypes)
+    at = [(F.unix_micros(F.col(c)) if kinds[c] == "timestamp" else F.col(c).cast("long")) for c in order]
+    rows = df.select(F.col(value).alias("v"), *[F.coalesce(c, F.lit(-1)).alias(f"o{i}") for i, c in enumerate(at)]).mapInPandas(run, "k string, o array<long>, tree string")
     best = rows.groupBy("k").agg(F.min_by("tree", "o").alias("tree"))
     return {r.k: infer.resolve(json.loads(r.tree), r.k, strict=False) for r in registry_rows(best)}
 
 
-def wanted(df: DataFrame, value: str, order: str, stored: T.StructType | None) -> T.StructType:
+def wanted(df: DataFrame, value: str, order: str | list[str], stored: T.StructType | None) -> T.StructType:
     """The schema a batch is to have: fields that agree by the lattice, conflicting ones by the table or the first record."""
     tree = infer.schema_tree(df, value)
     if tree is None:
@@ -96,7 +100,7 @@ def wanted(df: DataFrame, value: str, order: str, stored: T.StructType | None) -
             agreed[name] = infer.resolve(t, name)
         except SchemaConflict:
             conflicts.add(name)
-    firsts = first_types(df, value, order, conflicts) if conflicts else {}
+    firsts = first_types(df, value, [order] if isinstance(order, str) else order, conflicts) if conflicts else {}
     fields = []
     for name in sorted([*agreed, *conflicts]):
         t = agreed.get(name) or firsts.get(name, T.StringType())
@@ -114,8 +118,14 @@ def wanted(df: DataFrame, value: str, order: str, stored: T.StructType | None) -
 
 def split(df: DataFrame, value: str, schema: T.StructType, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, bad): records whose fields all fit the schema, with the columns ``keep`` and the value; and the others with
-    ``error``, which names field, type and value. Null values are good (rows of nulls), malformed JSON and values that
-    aren't objects are bad."""
+    ``error``. Both come from :func:`checked`; to use both, persist that and take its parts."""
+    all_ = checked(df, value, schema, keep)
+    return all_.where("error is null").drop("error"), all_.where("error is not null")
+
+
+def checked(df: DataFrame, value: str, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, the value, and ``error``, which names field, type and value of what doesn't fit, else is null. Null
+    values fit (rows of nulls), malformed JSON and values that aren't objects don't."""
     fields = [(f.name, f.dataType, (f.metadata or {}).get("logical")) for f in schema.fields]
 
     def verdict(text: str | None) -> str | None:
@@ -138,8 +148,13 @@ def split(df: DataFrame, value: str, schema: T.StructType, keep: list[str]) -> t
 
     ship(df.sparkSession)
     src = df.select(*[c for c in keep if c != value], value)
-    checked = src.mapInPandas(run, T.StructType([*src.schema.fields, T.StructField("error", T.StringType())]))
-    return checked.where("error is null").drop("error"), checked.where("error is not null")
+    return src.mapInPandas(run, T.StructType([*src.schema.fields, T.StructField("error", T.StringType())]))
+
+
+def counts(marked: DataFrame, value: str) -> tuple[int, int, int]:
+    """(records, bad records, bytes) of what :func:`checked` gave, in one pass."""
+    r = marked.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("bad"), F.coalesce(F.sum(F.octet_length(value)), F.lit(0)).alias("size")).first()
+    return r.n, r.bad, r.size
 
 
 def offsets_sample(bad: DataFrame, most: int = 10) -> str:

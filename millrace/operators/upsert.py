@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import idents
@@ -30,10 +30,13 @@ def _all(conditions: list[Column]) -> Column:
 
 
 def last_wins(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the last by ``order``. Rows with a null in the key are all kept."""
+    """One row per key: the last by ``order`` (nulls first; of equal ones any). Rows with a null in the key are all kept. Rows are
+    combined before the shuffle, so that a hot key is no burden to one task."""
     whole = _all([_c(k).isNotNull() for k in keys])
-    ranked = batch.where(whole).withColumn("__rank", F.row_number().over(Window.partitionBy(*map(_c, keys)).orderBy(*[_c(o).desc_nulls_last() for o in order])))
-    return ranked.where("__rank = 1").drop("__rank").unionByName(batch.where(~whole))
+    row = F.struct(*[_c(c).alias(f"c{i}") for i, c in enumerate(batch.columns)])
+    best = batch.where(whole).groupBy(*map(_c, keys)).agg(F.max_by(row, F.struct(*map(_c, order))).alias("__row"))
+    fields = batch.schema.fields
+    return best.select(*[F.col("__row").getField(f"c{i}").alias(f.name, metadata=f.metadata or {}) for i, f in enumerate(fields)]).unionByName(batch.where(~whole))
 
 
 def require_unique(batch: DataFrame, keys: list[str]) -> None:
@@ -56,11 +59,12 @@ def _prepared(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.select(*[_c(c).alias(f"__n_{c}") for c in batch.columns], F.lit(True).alias("__hit"))
 
 
-def merge(base: DataFrame, batch: DataFrame, keys: list[str], now: Column | None = None, small: bool = False) -> DataFrame:
+def merge(base: DataFrame, batch: DataFrame, keys: list[str], now: Column | None = None, small: bool = False, matched: DataFrame | None = None) -> DataFrame:
     """The table after the upsert, with the base's columns, then new ones of the batch.
 
     ``small``: the batch's size was checked, so it is broadcast and the base isn't shuffled (a left join for the updates,
-    an anti join for the inserts); otherwise one full outer join, co-partitioned on the keys. With only key columns in the
+    an anti join for the inserts); otherwise one full outer join, co-partitioned on the keys. ``matched``: the batch's keys that
+    are in the base, where they were looked up already (columns __k0, __k1 and so on). With only key columns in the
     batch nothing is updated and this is an insert of unknown keys."""
     if not keys:
         raise ValueError("an upsert needs key columns")
@@ -96,7 +100,9 @@ def merge(base: DataFrame, batch: DataFrame, keys: list[str], now: Column | None
     if not small:
         return marked.join(n, on, "full_outer").withColumn("__old", F.coalesce("__old", F.lit(False))).select(*shaped(hit, True))
     updated = marked.join(F.broadcast(n), on, "left").select(*shaped(hit, True))
-    known = base.select(*[_c(lower[k.lower()]).alias(f"__k_{i}") for i, k in enumerate(keys)])
-    matched = known.join(F.broadcast(n.select(*[of_batch[k.lower()] for k in keys])), _all([F.col(f"__k_{i}") == _c(of_batch[k.lower()]) for i, k in enumerate(keys)]), "left_semi").distinct()
-    inserted = n.join(matched, _all([F.col(f"__k_{i}") == _c(of_batch[k.lower()]) for i, k in enumerate(keys)]), "left_anti")
+    same = _all([F.col(f"__k{i}") == _c(of_batch[k.lower()]) for i, k in enumerate(keys)])
+    if matched is None:
+        known = base.select(*[_c(lower[k.lower()]).alias(f"__k{i}") for i, k in enumerate(keys)])
+        matched = known.join(F.broadcast(n.select(*[of_batch[k.lower()] for k in keys])), same, "left_semi").distinct()
+    inserted = n.join(F.broadcast(matched), same, "left_anti")  # at most as many keys as the batch has
     return updated.unionByName(inserted.select(*shaped(F.lit(True), False)))

@@ -1,5 +1,9 @@
-"""Files of a table's log: read, list, create exactly once. Local paths go through the operating system, other schemes
-through Hadoop's file systems, whose rename doesn't replace."""
+"""Files of a table's log: read, list, create exactly once.
+
+Local paths go through the operating system (a link that fails where the name is taken), HDFS through a rename that doesn't
+replace. Object stores have no such rename, so the file is created under its own name on the condition that there is none:
+S3 by a conditional put, which the file system must support (it is asked for as a must, so that an older one refuses instead of
+racing), Google's store by its generation check, which is what creating without overwriting does there."""
 
 from __future__ import annotations
 
@@ -7,10 +11,14 @@ import os
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 #: Locations a table may lie in (fixed list of schemes).
 SCHEMES = ("s3", "s3a", "gs", "hdfs", "file")
+#: Hadoop's option of a conditional create, and what a failed condition is called (fixed values).
+CONDITIONAL = "fs.option.create.conditional.overwrite"
+TAKEN = ("FileAlreadyExistsException", "RemoteFileChangedException")
 
 
 def check_location(path: str) -> str:
@@ -80,6 +88,9 @@ class Store:
             finally:
                 os.unlink(part)
         fs, target = self._fs(self.at(name))
+        scheme = self.root.partition("://")[0]
+        if scheme in ("s3", "s3a", "gs"):
+            return self._create_if_absent(fs, target, content, conditional=scheme != "gs")
         if fs.exists(target):
             return False
         part = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{os.path.dirname(name)}/.{uuid.uuid4().hex}")
@@ -91,6 +102,28 @@ class Store:
         fs.delete(part, False)
         return False
 
+    @staticmethod
+    def _create_if_absent(fs, target, content: bytes, conditional: bool) -> bool:
+        """One request that fails where the object is there; it shows when the stream is closed."""
+        try:
+            if conditional:
+                out = fs.createFile(target).overwrite(False).must(CONDITIONAL, True).build()
+            else:
+                out = fs.create(target, False)
+            out.write(bytearray(content))
+            out.close()
+            return True
+        except Py4JJavaError as e:
+            cause, names = e.java_exception, []
+            while cause is not None:
+                names.append(cause.getClass().getSimpleName())
+                cause = cause.getCause()
+            if any(n in TAKEN for n in names):
+                return False
+            if "IllegalArgumentException" in names:
+                raise ValueError(f"the file system of {target} can't create a file on condition; commits there wouldn't be safe") from e
+            raise
+
     def tree(self, folder: str) -> list[tuple[str, int, float]]:
         """(path below the root, bytes, seconds since the epoch) of every data file below a folder."""
         out = []

@@ -34,6 +34,8 @@ CHECKPOINT = 20
 BROADCAST_ROWS = 100_000
 #: Rewritten files have about so many bytes; a batch's row counts as so many.
 FILE_BYTES = 128 << 20
+#: An upsert that rewrites at most so many bytes is written by one task, as one file.
+ONE_FILE_BYTES = 16 << 20
 ROW_BYTES = 100
 #: Directory of null and empty partition values (fixed name).
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -59,28 +61,41 @@ class State:
 
 
 class Table:
-    def __init__(self, spark: SparkSession, location: str, metrics: Metrics | None = None):
+    def __init__(self, spark: SparkSession, location: str, metrics: Metrics | None = None, log: str | None = None):
+        """``log``: where the log lies, if not with the data."""
         self.spark, self.store, self.metrics = spark, Store(spark, check_location(location)), metrics or Metrics()
+        self.log = Store(spark, check_location(log)) if log else self.store
+        self._known: dict[str, State] = {}
 
     # ------------------------------------------------------------------ log
 
     def state(self) -> State | None:
         """The current state, or None if the table doesn't exist."""
-        names = [n for n in self.store.names("_log") if n.endswith(".json")]
+        names = [n for n in self.log.names("_log") if n.endswith(".json")]
         if not names:
             return None
+        newest = max(n[:20] for n in names)
+        if newest not in self._known:
+            # what was read before is kept and only what came since is folded in
+            self._known = {newest: self._fold(names, max(self._known.values(), key=lambda s: s.version, default=None))}
+        return self._known[newest]
+
+    def _fold(self, names: list[str], known: State | None) -> State:
         whole = [n for n in names if n.endswith(".all.json")]
         files, batches, start, schema, parts = {}, {}, -1, None, ()
-        if whole:
+        if known and (not whole or int(whole[-1][:20]) <= known.version):
+            files, batches, start = dict(known.files), dict(known.batches), known.version
+            schema, parts = known.schema.jsonValue(), known.parts
+        elif whole:
             last = whole[-1]
-            d = json.loads(self.store.read(f"_log/{last}"))
+            d = json.loads(self.log.read(f"_log/{last}"))
             files, batches, start = d["files"], d["batches"], d["version"]
             schema, parts = d["schema"], tuple(d["parts"])
         version = start
         for n in names:
             if n.endswith(".all.json") or int(n[:20]) <= start:
                 continue
-            d = json.loads(self.store.read(f"_log/{n}"))
+            d = json.loads(self.log.read(f"_log/{n}"))
             version, schema, parts = d["version"], d["schema"], tuple(d["parts"])
             for p in d["remove"]:
                 files.pop(p, None)
@@ -90,7 +105,7 @@ class Table:
         return State(version, T.StructType.fromJson(schema), parts, files, batches)
 
     def exists(self) -> bool:
-        return any(n.endswith(".json") for n in self.store.names("_log"))
+        return any(n.endswith(".json") for n in self.log.names("_log"))
 
     def columns(self) -> dict[str, str]:
         """Stored type by lower-case column name."""
@@ -100,13 +115,13 @@ class Table:
     def _commit(self, at: State | None, schema: T.StructType, parts: tuple[str, ...], add: dict, remove: list[str], stream: str | None, batch: int | None) -> bool:
         version = at.version + 1 if at else 0
         entry = {"version": version, "time": time.time(), "schema": schema.jsonValue(), "parts": list(parts), "add": add, "remove": remove, "stream": stream, "batch": batch}
-        if not self.store.create(f"_log/{version:020d}.json", json.dumps(entry).encode()):
+        if not self.log.create(f"_log/{version:020d}.json", json.dumps(entry).encode()):
             return False
         if version and version % CHECKPOINT == 0:
             s = self.state()
             if s.version == version:
                 whole = {"version": version, "schema": s.schema.jsonValue(), "parts": list(s.parts), "files": s.files, "batches": s.batches}
-                self.store.create(f"_log/{version:020d}.all.json", json.dumps(whole).encode())
+                self.log.create(f"_log/{version:020d}.all.json", json.dumps(whole).encode())
         return True
 
     # ------------------------------------------------------------------ data definition
@@ -274,19 +289,24 @@ class Table:
                     if stream is not None and batch is not None and s.batches.get(stream, -1) >= batch:
                         return
                     stored = _as_stored(rows, s.schema)
-                    touched = self._touched(s, stored, keys, small, low, high)
-                    base = self.read(files=touched)
-                    if {c.lower() for c in stored.columns} <= {k.lower() for k in keys}:
-                        # only keys: nothing to update, so no file is rewritten; unknown keys are appended
-                        merged = project(up.unknown(base, stored, keys), s.schema).withColumn(mt.SYSTEM_COLUMN, ts.now())
-                        touched = []
-                    else:
-                        merged = project(up.merge(base, stored, keys, small=small), s.schema)
-                    # as many files as their size asks for, so that small upserts don't litter the table
-                    size = sum(s.files[f]["bytes"] for f in touched) + n * ROW_BYTES
-                    if not s.parts:
-                        merged = merged.coalesce(-(-size // FILE_BYTES))
-                    files = self._write(merged, s.parts, keys, max_records)
+                    only_keys = {c.lower() for c in stored.columns} <= {k.lower() for k in keys}
+                    touched, matched = self._touched(s, stored, keys, small, low, high)
+                    try:
+                        base = self.read(files=touched)
+                        if only_keys:
+                            # nothing to update, so no file is rewritten; unknown keys are appended
+                            merged = project(up.unknown(base, stored, keys), s.schema).withColumn(mt.SYSTEM_COLUMN, ts.now())
+                            touched = []
+                        else:
+                            merged = project(up.merge(base, stored, keys, small=small, matched=matched), s.schema)
+                        # a small result is one file, so that small upserts don't litter the table; a larger one is as many as its tasks
+                        size = sum(s.files[f]["bytes"] for f in touched) + n * ROW_BYTES
+                        if not s.parts and size <= ONE_FILE_BYTES:
+                            merged = merged.coalesce(1)
+                        files = self._write(merged, s.parts, keys, max_records)
+                    finally:
+                        if matched is not None:
+                            matched.unpersist()
                     if self._commit(s, s.schema, s.parts, files, touched, stream, batch):
                         self.metrics.records(n)
                         return
@@ -294,18 +314,22 @@ class Table:
                 kept.unpersist()
         raise CommitConflict(self.store.root)
 
-    def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool, low: object, high: object) -> list[str]:
-        """Files that may have to change: by the first key's bounds, then those that really hold a key of the batch."""
+    def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool, low: object, high: object) -> tuple[list[str], DataFrame | None]:
+        """(files that have to change, the batch's keys that are known): by the first key's bounds, then files that really hold a key
+        of the batch. The keys come for small batches only, from the same look at the table's key columns, and are to be unpersisted."""
         maybe = [f for f, m in s.files.items() if low is None or m.get("low") is None or not isinstance(low, type(m["low"])) or (m["high"] >= low and m["low"] <= high)]
         if not maybe or low is None:
-            return []
+            return [], None
         known = self.spark.read.schema(s.schema).parquet(*[self.store.at(f) for f in maybe])
-        mine = known.select(*[F.col(idents.column(k)).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("_metadata.file_path").alias("__file"))
-        theirs = rows.select(*[F.col(idents.column(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
-        hit = mine.join(F.broadcast(theirs) if small else theirs, [f"__k{i}" for i in range(len(keys))], "left_semi").select("__file").distinct()
+        names = [f"__k{i}" for i in range(len(keys))]
+        mine = known.select(*[F.col(idents.column(k)).alias(c) for c, k in zip(names, keys, strict=True)], F.col("_metadata.file_path").alias("__file"))
+        theirs = rows.select(*[F.col(idents.column(k)).alias(c) for c, k in zip(names, keys, strict=True)])
+        hit = mine.join(F.broadcast(theirs) if small else theirs, names, "left_semi")
+        if small:
+            hit = hit.persist()
         # at most one row per file of the log; paths come as URIs, the log has them as on disk
-        names = {unquote(r[0][r[0].rfind("/data/") + 1 :]) for r in hit.collect()}
-        return [f for f in maybe if f in names]
+        found = {unquote(r[0][r[0].rfind("/data/") + 1 :]) for r in hit.select("__file").distinct().collect()}
+        return [f for f in maybe if f in found], hit if small else None
 
     # ------------------------------------------------------------------ upkeep
 
@@ -369,13 +393,19 @@ def _as_stored(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class Catalog:
-    """Tables by name under one folder."""
+    """Tables by name: data under one folder, logs beside the data or under a folder of their own (``logs``), so that a catalog is
+    attached by naming both."""
 
-    def __init__(self, spark: SparkSession, location: str, metrics: Metrics | None = None):
+    def __init__(self, spark: SparkSession, location: str, metrics: Metrics | None = None, logs: str | None = None):
         self.spark, self.location, self.metrics = spark, check_location(location).rstrip("/"), metrics or Metrics()
+        self.logs = check_location(logs).rstrip("/") if logs else None
 
     def table(self, name: str) -> Table:
-        return Table(self.spark, f"{self.location}/{name}", self.metrics)
+        return Table(self.spark, f"{self.location}/{name}", self.metrics, f"{self.logs}/{name}" if self.logs else None)
 
     def exists(self, name: str) -> bool:
         return self.table(name).exists()
+
+    def names(self) -> list[str]:
+        """Tables that have a log."""
+        return [n for n in Store(self.spark, self.logs or self.location).names("") if self.exists(n)]

@@ -2,8 +2,13 @@
 
 A micro-batch is routed by topic. For each table its records are split by format (JSON text, Arrow payloads), checked
 against the wanted schema, and written as one commit that carries the query's name and the batch id, so that a replayed
-batch is a no-op. Offsets are committed by the checkpoint after the batch; a failure replays it. Buffering, spilling and
-flush timers are the engine's: trigger interval, admission limits of the source, and shuffle spill.
+batch is a no-op. Offsets are committed by the checkpoint after the batch; a failure replays it. Buffering and flush timers are
+the engine's: trigger interval, admission limits of the source. No file holds more than ``flush.size`` rows, whatever the source
+admits; why a table's part of a batch was due is counted in the metrics as ``flush.<reason>``. With ``spill.enabled`` a
+micro-batch is kept on disk only.
+
+Records are ordered by (timestamp, where the stream has it, partition, offset): offsets of different partitions say nothing about
+each other, so without timestamps the later partition's record counts as the later one. No two records have the same place.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from millrace.operators import dlq, infer
 from millrace.session import registry_rows
 from millrace.operators.upsert import last_wins
 from millrace.sources import arrow_ipc
-from millrace.sources.table import Catalog
+from millrace.sources.table import Catalog, Table
 
 #: Tables written at a time, unless the option ``threads`` says otherwise.
 MOST_TABLES = 8
@@ -41,11 +46,12 @@ def admission(config: Config, source: str, partitions: int = 1) -> dict[str, str
 
 def records(spark: SparkSession, source: str, path: str | None, options: dict[str, str] | None = None, config: Config | None = None) -> DataFrame:
     """A record stream: ``kafka`` where its connector is on the class path (topic, partition, offset, value), else a file
-    source of that format whose files have these columns. With ``config``, flush sizes bound each micro-batch."""
+    source of that format whose files have these columns (Kafka's has the record's timestamp too). With ``config``, flush sizes
+    bound each micro-batch."""
     options = {**(admission(config, source) if config else {}), **(options or {})}
     reader = spark.readStream.format(source).options(**options)
     if source == "kafka":
-        return reader.load().select("topic", "partition", "offset", "value")
+        return reader.load().select("topic", "partition", "offset", "value", "timestamp")
     return reader.schema(RECORD).load(path)
 
 
@@ -71,6 +77,11 @@ class Progress(StreamingQueryListener):
         pass
 
 
+def _order(rows: DataFrame) -> list[str]:
+    """The columns that order records."""
+    return [c for c in ("timestamp", "partition", "offset") if c in rows.columns]
+
+
 class Sink:
     """foreachBatch target. ``transform`` maps each table's typed rows before they are written."""
 
@@ -78,12 +89,13 @@ class Sink:
         self.spark, self.config, self.name, self.transform, self.dead_letters = spark, config, name, transform, dead_letters
         self.metrics = metrics or Metrics()
         self.routes = routing.parse(config["topic2table.map"])
-        self.catalog = Catalog(spark, str(config["data_path"]), self.metrics)
+        self.catalog = Catalog(spark, str(config["data_path"]), self.metrics, str(config["catalog_uri"]) or None)
+        self.level = StorageLevel.DISK_ONLY if config["spill.enabled"] else StorageLevel.MEMORY_AND_DISK
         for key, value in config.hadoop().items():
             spark._jsc.hadoopConfiguration().set(key, value)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(self.level)
         try:
             routed = batch.withColumn("__table", routing.route("topic", self.routes))
             names = [r[0] for r in registry_rows(routed.select("__table").distinct().orderBy("__table")) if r[0] is not None]
@@ -106,43 +118,53 @@ class Sink:
         payloads, texts = arrow_ipc.split_formats(rows, "value")
         options = self.config.table(name)
         table = self.catalog.table(name)
-        common = {"small": self.config["data.inlining.row.limit"] or 0, "keys": list(options.id_columns), "auto_create": options.auto_create, "partition_by": list(options.partition_by), "retries": self.config["max_retry_count"], "batch": batch_id}
+        common = {"small": self.config["data.inlining.row.limit"] or 0, "keys": list(options.id_columns), "auto_create": options.auto_create, "partition_by": list(options.partition_by), "retries": self.config["max_retry_count"], "max_records": self.config["flush.size"], "batch": batch_id}
         if not texts.isEmpty():
             self._write_texts(name, table, texts.withColumn("value", F.col("value").cast("string")), common)
         if not payloads.isEmpty():
-            typed = arrow_ipc.read(payloads, "value", keep={"offset": "__offset"}, row="__row")
-            keys = common["keys"]
-            if keys and {k.lower() for k in keys} <= {c.lower() for c in typed.columns}:
-                typed = last_wins(typed, keys, ["__offset", "__row"])  # as below; within a payload the last row
-            typed = typed.drop("__offset", "__row")
-            typed = self.transform(name, typed) if self.transform else typed
-            table.write(typed, stream=f"{self.name}/ipc", **common)
-
-    def _write_texts(self, name: str, table, texts: DataFrame, common: dict) -> None:
-        keep = ["topic", "partition", "offset"]
+            places = _order(payloads)
+            hidden = {c: f"__{c}" for c in places}
+            typed = arrow_ipc.read(payloads, "value", keep=hidden, row="__row")
+            self.finish(name, table, typed, [*hidden.values(), "__row"], common, f"{self.name}/ipc")  # within a payload the last row
+
+    def finish(self, name: str, table: Table, typed: DataFrame, places: list[str], common: dict, stream: str) -> None:
+        """Typed rows into the table: of several states of a key the last by their places, which are then dropped."""
+        keys = common["keys"]
+        if keys and {k.lower() for k in keys} <= {c.lower() for c in typed.columns}:
+            typed = last_wins(typed, keys, places)
+        typed = typed.drop(*places)
+        typed = self.transform(name, typed) if self.transform else typed
+        table.write(typed, stream=stream, **common)
+
+    def _write_texts(self, name: str, table: Table, texts: DataFrame, common: dict) -> None:
+        keep = [c for c in ("topic", "partition", "offset", "timestamp") if c in texts.columns]
         state = table.state()
         if state and state.batches.get(f"{self.name}/text", -1) >= common["batch"]:
             return
-        schema = dlq.wanted(texts, "value", "offset", state.schema if state else None)
-        good, bad = dlq.split(texts, "value", schema, keep)
-        bad = bad.persist()
+        places = _order(texts)
+        schema = dlq.wanted(texts, "value", places, state.schema if state else None)
+        marked = dlq.checked(texts, "value", schema, keep).persist(self.level)
         try:
-            if not bad.isEmpty():
+            n, n_bad, size = dlq.counts(marked, "value")
+            self.metrics.record(f"flush.{self.reason(n, size)}", n)
+            self.metrics.record("good-records", n - n_bad)
+            bad = marked.where("error is not null")
+            if n_bad:
                 if not self.dead_letters:
                     first = bad.select("error").first()[0]
                     raise dlq.SchemaConflict(f"{first} {dlq.offsets_sample(bad)}")
                 letters = self.catalog.table(f"{name}__dlq")
-                letters.write(bad.select(*keep, "value", "error"), auto_create=True, stream=f"{self.name}/text", batch=common["batch"])
-                self.metrics.record("dead-letters", bad.count())
+                letters.write(bad.select("topic", "partition", "offset", "value", "error"), auto_create=True, stream=f"{self.name}/text", batch=common["batch"])
+                self.metrics.record("dead-letters", n_bad)
+            good = marked.where("error is null").select("value", *[F.col(c).alias(f"__{c}") for c in places])
+            typed = infer.parse(good, "value", schema, [f"__{c}" for c in places])
+            self.finish(name, table, typed, [f"__{c}" for c in places], common, f"{self.name}/text")
         finally:
-            bad.unpersist()
-        typed = infer.parse(good.withColumnRenamed("offset", "__offset"), "value", schema, ["__offset"])
-        keys = common["keys"]
-        if keys and all(k in typed.columns for k in keys):
-            typed = last_wins(typed, keys, ["__offset"])  # of several states of a key the latest by offset
-        typed = typed.drop("__offset")
-        typed = self.transform(name, typed) if self.transform else typed
-        table.write(typed, stream=f"{self.name}/text", **common)
+            marked.unpersist()
+
+    def reason(self, n: int, size: int) -> str:
+        """Why a table's part of a micro-batch was due: what the trigger hadn't to wait for, or its time."""
+        return "record_count" if n >= self.config["flush.size"] else "file_size" if size >= self.config["file.size.bytes"] else "time"
 
     def typed(self, topic: str) -> Callable[[DataFrame, int], None]:
         """A foreachBatch target for a stream of typed rows of one topic (Parquet, ORC, Avro, schema-bearing decoders): no
