@@ -132,6 +132,44 @@ def schema_tree(df: DataFrame, value: str) -> dict | None:
     return _ordered(out)
 
 
+def _shape(tree: dict | None) -> object:
+    """A type tree without its samples."""
+    if tree is None:
+        return None
+    return {p: {n: _shape(t) for n, t in sorted(tree["s"].items())} if p == "s" else _shape(tree["a"]) if p == "a" else sorted(tree["k"]) for p in sorted(tree)}
+
+
+def signatures(df: DataFrame, value: str, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` and ``schema``: each record's own schema as text, equal for equal schemas; null for nulls, malformed
+    text and values that aren't objects."""
+    keep = keep or []
+    ship(df.sparkSession)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for text in pdf["__v"]:
+                try:
+                    record = json.loads(text) if text is not None else None
+                except (ValueError, RecursionError):
+                    record = None
+                out.append(json.dumps(_shape(observe(record))) if isinstance(record, dict) else None)
+            yield pdf[keep].assign(schema=pd.Series(out, dtype="object", index=pdf.index))
+
+    src = df.select(*[F.col(idents.column(c)) for c in keep], F.col(idents.column(value)).alias("__v"))
+    return src.mapInPandas(run, T.StructType([*src.schema.fields[:-1], T.StructField("schema", T.StringType())]))
+
+
+def samples(tree: dict | None, path: str = "") -> list[tuple[str, str, str]]:
+    """(field path, type, sample value) of every leaf of a folded tree: what an error about a conflict shows."""
+    if tree is None:
+        return []
+    out = [(path, k, v) for k, v in tree.get("k", {}).items()]
+    for n, t in tree.get("s", {}).items():
+        out += samples(t, f"{path}.{n}" if path else n)
+    return out + samples(tree.get("a"), f"{path}[]")
+
+
 def infer(df: DataFrame, value: str, strict: bool = True) -> T.StructType:
     """Schema of a column of JSON objects, fields sorted by name, structs without fields left out at the top.
 
@@ -150,19 +188,27 @@ def _raw(t: T.DataType) -> T.DataType:
         return T.ArrayType(_raw(t.elementType))
     if isinstance(t, T.MapType):
         return T.MapType(T.StringType(), _raw(t.valueType))
-    return T.StringType() if isinstance(t, (T.TimestampNTZType, T.TimestampType)) else t
-
-
-def _finish(c: Column, t: T.DataType) -> Column:
+    return T.StringType() if isinstance(t, (T.TimestampNTZType, T.TimestampType, T.DateType, T.BinaryType)) else t
+
+
+def _finish(c: Column, t: T.DataType, logical: str | None = None) -> Column:
+    if logical == "time":  # milliseconds of the day, or text
+        ms = c.try_cast("bigint")
+        parts = [F.lpad(F.floor(ms / n).cast("bigint").cast("string") if m is None else (F.floor(ms / n) % m).cast("bigint").cast("string"), w, "0") for n, m, w in ((3_600_000, None, 2), (60_000, 60, 2), (1000, 60, 2), (1, 1000, 3))]
+        return F.coalesce(F.concat(parts[0], F.lit(":"), parts[1], F.lit(":"), parts[2], F.lit("."), parts[3]), c)
+    if isinstance(t, T.DateType):
+        return F.coalesce(F.date_from_unix_date(c.try_cast("int")), c.try_cast("date"))
+    if isinstance(t, T.BinaryType):
+        return F.unbase64(c)
     if isinstance(t, T.StructType):
-        return F.when(c.isNotNull(), F.struct(*[_finish(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields])) if t.fields else c
+        return F.when(c.isNotNull(), F.struct(*[_finish(c.getField(f.name), f.dataType, (f.metadata or {}).get("logical")).alias(f.name) for f in t.fields])) if t.fields else c
     if isinstance(t, T.ArrayType):
         return F.transform(c, lambda x: _finish(x, t.elementType))
     if isinstance(t, T.MapType):
         return F.transform_values(c, lambda _, v: _finish(v, t.valueType))
     if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
         millis = F.coalesce(ts.epoch_millis(c), c.try_cast("bigint"))
-        return ts.from_micros(millis * 1000)
+        return ts.from_micros(F.try_multiply(millis, F.lit(1000)))
     return c
 
 
@@ -170,4 +216,4 @@ def parse(df: DataFrame, value: str, schema: T.StructType, keep: list[str] | Non
     """JSON objects as typed columns; a null, malformed or other value gives a row of nulls (no row is lost)."""
     keep = keep or []
     parsed = df.select(*[F.col(idents.column(c)) for c in keep], F.from_json(F.col(idents.column(value)), _raw(schema), {"mode": "PERMISSIVE"}).alias("__r"))
-    return parsed.select(*[F.col(idents.column(c)) for c in keep], *[_finish(F.col("__r").getField(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    return parsed.select(*[F.col(idents.column(c)) for c in keep], *[_finish(F.col("__r").getField(f.name), f.dataType, (f.metadata or {}).get("logical")).alias(f.name, metadata=f.metadata or {}) for f in schema.fields])

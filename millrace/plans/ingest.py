@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from millrace.functions import jsonx, partitions
 from millrace.functions import timestamps as ts
 from millrace.operators import consolidate, dlq, infer, unify, upsert
 from millrace.operators.evolve import evolve
-from millrace.session import read_table, shared_dir
+from millrace.session import read_table, scratch
 from millrace.sources import arrow_ipc
 from millrace.sources.table import Table
 from millrace.streaming.stream import Sink, records
@@ -35,7 +34,7 @@ def _query(sql: str | None = None):
 
 
 def _folder(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return scratch(spark, what)
 
 
 def _table(spark: SparkSession, what: str) -> Table:
@@ -88,9 +87,12 @@ def upsert_partial_columns(spark: SparkSession, sf: str) -> DataFrame:
 WITH b AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 < 7), n AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 >= 5)
 SELECT * FROM b UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)""")
 def upsert_insert_only(spark: SparkSession, sf: str) -> DataFrame:
-    """Every column is a key: nothing to update."""
+    """Every column is a key: nothing to update, unknown keys are appended to the table."""
     base, batch = _orders(spark, sf)
-    return upsert.merge(base.select("o_orderkey"), batch.select("o_orderkey"), ["o_orderkey"], small=False)
+    table = _table(spark, "keys")
+    table.write(base.select("o_orderkey"), keys=["o_orderkey"], auto_create=True)
+    table.write(batch.select("o_orderkey"), keys=["o_orderkey"])
+    return table.read().drop("_inserted_at")
 
 
 @_query("""
@@ -107,14 +109,15 @@ def upsert_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_query("""
-WITH b AS (SELECT nullif(c_custkey % 500, 0) AS k, c_name FROM customer WHERE c_custkey % 500 = 0 OR c_custkey BETWEEN 1 AND 100),
-     n AS (SELECT nullif(c_custkey % 500, 0) AS k, c_name FROM customer WHERE c_custkey % 500 = 0)
+WITH c AS (SELECT *, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey END AS k FROM customer),
+     b AS (SELECT k, c_name FROM c WHERE c_mktsegment <> 'BUILDING'),
+     n AS (SELECT k, c_name || '!' AS c_name FROM c WHERE c_acctbal > 0)
 SELECT * FROM n UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.k = b.k)""")
 def upsert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Null keys never match: these rows are inserted each time."""
-    c = read_table(spark, sf, "customer").select(F.expr("nullif(c_custkey % 500, 0)").alias("k"), "c_name", "c_custkey")
-    base = c.where("c_custkey % 500 = 0 OR c_custkey BETWEEN 1 AND 100").drop("c_custkey")
-    return upsert.merge(base, c.where("c_custkey % 500 = 0").drop("c_custkey"), ["k"])
+    """Null keys never match: their rows are inserted each time, beside rows that are updated and new ones."""
+    c = read_table(spark, sf, "customer").withColumn("k", F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey")))
+    batch = c.where("c_acctbal > 0").select("k", F.concat("c_name", F.lit("!")).alias("c_name"))
+    return upsert.merge(c.where("c_mktsegment <> 'BUILDING'").select("k", "c_name"), batch, ["k"])
 
 
 @_query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
@@ -203,15 +206,16 @@ def unify_promote_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return unify.union([o, n, r])
 
 
-@_query("""
-SELECT a, count(*) AS n FROM (SELECT DISTINCT event_type AS a, typeof(event_id) AS t FROM events) GROUP BY a""")
+@_query("SELECT event_type AS a, count(DISTINCT event_id % 5) AS n FROM events GROUP BY ALL")
 def distinct_schemas(spark: SparkSession, sf: str) -> DataFrame:
-    """Schemas per topic of a batch of JSON records."""
-    e = read_table(spark, sf, "events").select("event_type", F.to_json(F.struct("event_id", "value")).alias("v"))
-    shape = F.schema_of_variant(F.try_parse_json("v"))
-    shape = F.regexp_replace(shape, r"DECIMAL\(\d+,\s*\d+\)", "DECIMAL")
-    shape = F.regexp_replace(shape, "value: (DECIMAL|BIGINT|DOUBLE)", "value: NUMBER")
-    return e.select(F.col("event_type").alias("a"), shape.alias("s")).distinct().groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    """Schemas per topic of a batch of JSON records: key order and values don't count, types at any depth do."""
+    i = F.col("event_id").cast("string")
+    shapes = [F.concat(F.lit('{"a":'), i, F.lit(',"b":"x"}')), F.concat(F.lit('{"a":"'), i, F.lit('"}')), F.concat(F.lit('{"a":{"c":'), i, F.lit("}}")), F.concat(F.lit('{"a":{"c":['), i, F.lit(".5]}}")), F.lit('{"a":true}')]
+    text = shapes[0]
+    for k in range(1, 5):
+        text = F.when(F.col("event_id") % 5 == k, shapes[k]).otherwise(text)
+    e = read_table(spark, sf, "events").select("event_type", text.alias("v"))
+    return infer.signatures(e, "v", ["event_type"]).distinct().groupBy(F.col("event_type").alias("a")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------------------------------------- records
@@ -252,10 +256,9 @@ SELECT event_id, CASE event_id % 3 WHEN 0 THEN make_timestamp(epoch_us(ts) // 10
 def coerce_timestamp_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Raw values into a timestamp column: milliseconds, ISO text, and text that isn't one."""
     e = read_table(spark, sf, "events")
-    utc = F.col("ts").cast("timestamp")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     text = F.when(F.col("event_id") % 3 == 1, iso).otherwise(F.col("event_type"))
-    cell = F.when(F.col("event_id") % 3 == 0, ts.to_timestamp(F.unix_millis(utc), "bigint")).otherwise(ts.to_timestamp(text, "string"))
+    cell = F.when(F.col("event_id") % 3 == 0, ts.to_timestamp(F.floor(ts.micros("ts") / 1000), "bigint")).otherwise(ts.to_timestamp(text, "string"))
     return e.select("event_id", cell.alias("cell"))
 
 
@@ -317,10 +320,13 @@ def flush_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_query("""
-SELECT topic, CASE WHEN count(*) >= 3000 THEN 'record_count' WHEN sum(octet_length(encode(record_value))) >= 800000 THEN 'file_size' ELSE 'time' END AS reason FROM sink_records WHERE topic IS NOT NULL GROUP BY topic""")
+SELECT topic, CASE WHEN n >= 1000 THEN 'record_count' WHEN b >= 80000 THEN 'file_size' WHEN age >= 20000000000 THEN 'time' WHEN b > 50000 THEN 'memory_pressure' END AS reason
+FROM (SELECT topic, count(*) AS n, sum(octet_length(encode(record_value))) AS b, epoch_ms(max(delivered_at)) - epoch_ms(min(delivered_at)) AS age FROM sink_records WHERE topic IS NOT NULL GROUP BY topic)""")
 def flush_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    s = read_table(spark, sf, "sink_records").where("topic IS NOT NULL").groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("record_value")).alias("b"))
-    return s.select("topic", consolidate.flush_reason(F.col("n"), F.col("b"), F.lit(60_000), 3000, 800_000, 60_000).alias("reason"))
+    """Why each topic's buffer would be flushed: by its records, bytes and age, memory pressure last."""
+    at = ts.micros("delivered_at")
+    s = read_table(spark, sf, "sink_records").where("topic IS NOT NULL").groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("record_value")).alias("b"), (F.floor(F.max(at) / 1000) - F.floor(F.min(at) / 1000)).alias("age"))
+    return s.select("topic", consolidate.flush_reason(F.col("n"), F.col("b"), F.col("age"), 1000, 80_000, 20_000_000_000, F.col("b") > 50_000).alias("reason"))
 
 
 @_query("""
@@ -351,12 +357,12 @@ def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
     return typed.unionByName(bad.select("o", F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_bad")))
 
 
-@_query("SELECT count(*) AS n_rows, CAST(count(record_value) AS BIGINT) AS n_values, CAST(count(*) - count(record_value) AS BIGINT) AS n_null_rows FROM sink_records")
+@_query("""
+SELECT delivery_id, CASE WHEN json_valid(record_value) AND json_type(record_value) = 'OBJECT' AND json_type(record_value, '$.id') <> 'NULL' THEN json_extract_string(record_value, '$.id') END AS id FROM sink_records""")
 def null_records(spark: SparkSession, sf: str) -> DataFrame:
     """A null value is a row of nulls, not a delete; no row is lost."""
     s = read_table(spark, sf, "sink_records").select("delivery_id", "record_value")
-    rows = s.select(F.from_json("record_value", "struct<id:string>").alias("r"))
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count("r").alias("n_values"), F.count_if(F.col("r").isNull()).alias("n_null_rows"))
+    return infer.parse(s, "record_value", T.StructType([mt.field("id", "string")]), ["delivery_id"])
 
 
 # ---------------------------------------------------------------------------------------------- streams and formats
@@ -459,14 +465,15 @@ def range_pruned_read(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(ranges={"o_orderdate": (datetime(1995, 3, 1), datetime(1995, 9, 30))}).drop("_inserted_at")
 
 
-@_query("SELECT CAST(event_id % 3 = 0 AS INTEGER) AS batches, CAST(event_id % 3 <> 0 AS INTEGER) AS texts, count(*) AS n FROM events GROUP BY ALL")
+@_query("SELECT event_id, user_id, event_type FROM events")
 def mixed_formats(spark: SparkSession, sf: str) -> DataFrame:
-    """Records of both formats in one group: each goes its way, none is dropped."""
-    e = read_table(spark, sf, "events")
-    marker = F.when(F.col("event_id") % 3 == 0, F.unhex(F.lit("FFFFFFFF00"))).otherwise(F.to_json(F.struct("event_id")).cast("binary"))
-    yes, no = arrow_ipc.split_formats(e.select(marker.alias("v")), "v")
-    count = lambda df, a, b: df.agg(F.lit(a).alias("batches"), F.lit(b).alias("texts"), F.count(F.lit(1)).alias("n"))
-    return count(yes, 1, 0).unionByName(count(no, 0, 1))
+    """Records of both formats in one group: batches of rows and JSON texts are each decoded, none is dropped."""
+    e = read_table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    texts = e.where("event_id % 3 <> 0").select(F.to_json(F.struct("*")).cast("binary").alias("v"))
+    both = texts.union(arrow_ipc.pack(e.where("event_id % 3 = 0"), 100))
+    payloads, rest = arrow_ipc.split_formats(both, "v")
+    rest = rest.select(F.col("v").cast("string").alias("v"))
+    return unify.union([arrow_ipc.read(payloads, "v"), infer.parse(rest, "v", infer.infer(rest, "v"))])
 
 
 @_query("""

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import compaction, dedupe, drift, rejects, timenorm
 from millrace.plans import prepared_sql as sql
-from millrace.session import read_table, shared_dir
+from millrace.session import read_table, scratch
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +34,7 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Merges the small files into the shared folder; one row per merged file."""
-    target = f"{shared_dir(spark).rstrip('/')}/merged-{uuid.uuid4().hex}"
+    target = scratch(spark, "merged")
     done = compaction.compact(read_table(spark, sf, "data_files"), read_table(spark, sf, "sink_settings"), target)
     return done.select("topic", "kafka_partition", "shard", "group_no", "n_files", "n_records", "n_bytes")
 

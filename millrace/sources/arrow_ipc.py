@@ -175,12 +175,16 @@ def read(df: DataFrame, payload: str, schema: T.StructType | None = None, keep:
     return out.select(*[F.col(idents.column(f.name)).alias(f.name, metadata=f.metadata or {}) for f in [*schema.fields, *more]])
 
 
-def pack(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """The rows as IPC payloads of at most ``rows`` rows each: one binary column ``payload``."""
+def pack(df: DataFrame, rows: int = 1000, batch_rows: int | None = None) -> DataFrame:
+    """The rows as IPC payloads of at most ``rows`` rows each, in record batches of at most ``batch_rows`` (one batch if None): one
+    binary column ``payload``."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            parts = [encode(batch.slice(i, rows)) for i in range(0, batch.num_rows, rows)]
+            parts = []
+            for i in range(0, batch.num_rows, rows):
+                part = batch.slice(i, rows)
+                parts.append(encode(part if batch_rows is None else pa.Table.from_batches([part.slice(j, batch_rows) for j in range(0, part.num_rows, batch_rows)])))
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["payload"])
 
     ship(df.sparkSession)
