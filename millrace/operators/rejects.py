@@ -14,8 +14,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.functions import clock, fsm
+from millrace.functions import clock, fsm, idents
+from millrace.functions import timestamps as ts
 from millrace.session import registry_rows, ship
 
 _BITS = {"int8": 8, "int16": 16, "int32": 32, "int64": 64}
@@ -173,7 +175,10 @@ def registry(topics: DataFrame, fields: DataFrame) -> dict[str, tuple[str, str,
     out = {}
     for r in registry_rows(topics.select("topic", "value_format", "delimiter")):
         if r.value_format in ("csv", "json") and r.topic is not None:
-            out[r.topic] = (r.value_format, (r.delimiter or ",")[0], [f[1:] for f in sorted(by.get(r.topic, []))])
+            delimiter = r.delimiter or ","
+            if r.value_format == "csv" and (len(delimiter) != 1 or delimiter in '"\r\n' or ord(delimiter) > 0x7F):
+                raise ValueError(f"delimiter of topic {r.topic} must be one ASCII character that is no quote or line break, not {delimiter!r}")
+            out[r.topic] = (r.value_format, delimiter, [f[1:] for f in sorted(by.get(r.topic, []))])
     return out
 
 
@@ -212,13 +217,31 @@ def split(records: DataFrame, topics: DataFrame, fields: DataFrame, key: str = "
     return src.mapInPandas(run, _OUT)
 
 
-_CAST = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float32": "float", "float64": "double", "boolean": "boolean", "date": "date", "timestamp": "timestamp", "bytes": "binary"}
+_CAST = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float32": "float", "float64": "double", "boolean": "boolean", "date": "date", "bytes": "binary"}
 
 
 def typed(rows: DataFrame, topic: str, fields: list[Field]) -> DataFrame:
-    """Readable rows of one topic with one typed column per field."""
-    good = rows.where((rows.topic == topic) & rows.reason.isNull())
-    return good.selectExpr("line_id", *[f"try_cast(fields['{n}'] as {_CAST.get(k, 'string')}) as `{n}`" for n, k, _ in fields])
+    """Readable rows of one topic with one typed column per field; timestamps without zone, in UTC."""
+    good = rows.where((F.col("topic") == topic) & F.col("reason").isNull())
+    text = lambda n: F.element_at("fields", F.lit(n))
+    cells = [(ts.from_micros(ts.epoch_micros(text(n))) if k == "timestamp" else text(n).try_cast(_CAST.get(k, "string"))).alias(n) for n, k, _ in fields]
+    return good.select("line_id", *cells)
+
+
+def profile(rows: DataFrame, known: dict[str, tuple[str, str, list[Field]]]) -> DataFrame:
+    """Of the typed tables of all topics: topic, field_path, n_values, and the least and greatest value as text (timestamps as
+    microseconds, none of floats). ``rows`` is read once per topic: cut it first."""
+    out = None
+    for topic, (_, _, fields) in sorted(known.items()):
+        table = typed(rows, topic, fields)
+        cells = []
+        for n, k, _ in fields:
+            c = F.col(idents.column(n))
+            c = ts.micros(c) if k == "timestamp" else F.lit(None) if k.startswith("float") else c
+            cells.append(F.struct(F.lit(topic).alias("topic"), F.lit(n).alias("field_path"), F.count(idents.column(n)).alias("n_values"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high")))
+        one = table.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def found(records: DataFrame, topics: DataFrame, fields: DataFrame) -> DataFrame:

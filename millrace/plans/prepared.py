@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import compaction, dedupe, drift, rejects, timenorm
 from millrace.plans import prepared_sql as sql
-from millrace.session import read_table, scratch
+from millrace.session import cut, read_table, scratch
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,6 +28,12 @@ def p2_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where("reason is null").select("line_id", "topic", F.to_json("fields", {"ignoreNullFields": "false"}).alias("row"))
 
 
+def p2_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Values, least and greatest of every field of the typed tables of all topics."""
+    topics, fields = read_table(spark, sf, "sink_topics"), read_table(spark, sf, "topic_fields")
+    return rejects.profile(cut(rejects.split(read_table(spark, sf, "raw_records"), topics, fields)), rejects.registry(topics, fields))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return compaction.found(read_table(spark, sf, "data_files"), read_table(spark, sf, "sink_settings"))
 
@@ -58,10 +64,11 @@ def p5_kept(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("delivery_id", "topic", "kafka_partition", "kafka_offset")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p2_found, p2_rows, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p2_found, p2_rows, p2_typed, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
 
 ORACLES = {
     "p2_found": sql.REJECTS,
+    "p2_typed": sql.TYPED,
     "p4_found": sql.TIMES,
     "p4_status": f"""
 WITH t AS (

@@ -50,6 +50,29 @@ UNION ALL
 SELECT line_id, CASE WHEN NOT quoted THEN 'quoting' WHEN bad THEN 'columns' ELSE 'value' END
 FROM json LEFT JOIN json_cols USING (line_id) WHERE NOT quoted OR bad OR line_id IN (SELECT line_id FROM bad_cells)"""
 
+_CTES, _, _FAILED = REJECTS.rpartition("SELECT line_id, CASE WHEN NOT quoted THEN 'quoting' WHEN v = ''")
+TYPED = (
+    _CTES.rstrip()
+    + r""",
+failed AS (SELECT line_id, CASE WHEN NOT quoted THEN 'quoting' WHEN v = ''"""
+    + _FAILED
+    + r"""),
+shown AS (
+  SELECT c.topic, y.field_path, y.ty, CASE WHEN p LIKE '"%' THEN replace(p[2:-2], '""', '"') ELSE p END AS raw, true AS delimited
+  FROM (SELECT topic, unnest(parts) AS p, generate_subscripts(parts, 1) - 1 AS pos FROM csv WHERE line_id NOT IN (SELECT line_id FROM failed)) c
+  JOIN topic_fields z ON z.topic = c.topic AND z.field_pos = c.pos JOIN (SELECT topic, field_path, field_type AS ty FROM topic_fields) y ON y.topic = c.topic AND y.field_path = z.field_path
+  UNION ALL
+  SELECT j.topic, y.field_path, y.field_type, json_extract_string(v, '$."' || y.field_path || '"'), false
+  FROM json j JOIN topic_fields y ON y.topic = j.topic WHERE line_id NOT IN (SELECT line_id FROM failed)),
+clean AS (SELECT topic, field_path, ty, CASE WHEN ty = 'string' THEN CASE WHEN delimited THEN nullif(raw, '') ELSE raw END ELSE nullif(trim(raw, E' \t'), '') END AS t FROM shown)
+SELECT topic, field_path, count(t) AS n_values,
+  CASE WHEN ty LIKE 'int%' THEN CAST(min(CASE WHEN ty LIKE 'int%' THEN CAST(t AS BIGINT) END) AS VARCHAR) WHEN ty = 'timestamp' THEN CAST(min(CASE WHEN ty = 'timestamp' THEN epoch_us(CAST(CASE WHEN regexp_matches(t, '(Z|[+-][0-9]{2}:?[0-9]{2})$') THEN t ELSE t || 'Z' END AS TIMESTAMPTZ)) END) AS VARCHAR)
+    WHEN ty LIKE 'float%' THEN NULL WHEN ty = 'boolean' THEN min(lower(t)) ELSE min(t) END AS low,
+  CASE WHEN ty LIKE 'int%' THEN CAST(max(CASE WHEN ty LIKE 'int%' THEN CAST(t AS BIGINT) END) AS VARCHAR) WHEN ty = 'timestamp' THEN CAST(max(CASE WHEN ty = 'timestamp' THEN epoch_us(CAST(CASE WHEN regexp_matches(t, '(Z|[+-][0-9]{2}:?[0-9]{2})$') THEN t ELSE t || 'Z' END AS TIMESTAMPTZ)) END) AS VARCHAR)
+    WHEN ty LIKE 'float%' THEN NULL WHEN ty = 'boolean' THEN max(lower(t)) ELSE max(t) END AS high
+FROM clean GROUP BY topic, field_path, ty"""
+)
+
 TIMES = r"""
 WITH texts AS (
   SELECT row_id, topic, 'created_at' AS field_name, created_at AS raw FROM intake_rows WHERE created_at IS NOT NULL

@@ -1,7 +1,8 @@
 """The ingestion operators on their rules, with nulls, ties, repeats, empty input and odd names."""
 
 import json
-from datetime import date, datetime, time as clock_time
+from datetime import date, datetime, timezone
+from datetime import time as clock_time
 
 import pyarrow as pa
 import pytest
@@ -557,3 +558,130 @@ def test_metrics():
     assert s["query"]["count"] == 3 and s["schema"]["count"] == 1 and s["batch-size"]["total"] == 5
     m.close()
     assert m.snapshot() == {}
+
+
+# ------------------------------------------------------------------------------------------ zones, stores, schemas
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_times_are_utc_in_every_session_zone(spark, tmp_path, zone):
+    texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00", "2024-11-03T01:30:00.123456", "2024-11-03T01:30:00+0300", "2024-03-10T02:30:00", "nothing"]
+    df = spark.createDataFrame([(i, json.dumps({"at": t})) for i, t in enumerate(texts[:5])], "i int, v string")
+
+    def all_of():
+        cells = spark.createDataFrame([(t,) for t in texts], "s string")
+        millis = [r[0] for r in cells.select(ts.epoch_millis("s")).collect()]
+        parsed = sorted((r.i, str(r.at)) for r in infer.parse(df, "v", infer.infer(df, "v"), ["i"]).collect())
+        zoned = spark.range(1).select(F.timestamp_micros(F.lit(1_730_611_800_123_456)).alias("at"))
+        table = Table(spark, str(tmp_path / f"t{len(list(tmp_path.iterdir()))}"))
+        table.write(zoned, auto_create=True)
+        row = table.read().collect()[0]
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        assert abs((row["_inserted_at"] - now).total_seconds()) < 300
+        return millis, parsed, str(row["at"]), [str(r[0]) for r in unify.project(zoned, struct(at="timestamp")).collect()]
+
+    want = all_of()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert all_of() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert want[2] == "2024-11-03 05:30:00.123456" and want[0][2] == 1730597400123 and want[0][5] is None
+
+
+def test_conditional_create_refuses_what_is_there():
+    """The commit of an object store: one request with a condition, whose failure shows on closing."""
+    from py4j.protocol import Py4JJavaError
+
+    from millrace.sources.store import CONDITIONAL, Store
+
+    class Named:
+        def __init__(self, name, cause=None):
+            self.name, self.cause = name, cause
+
+        def getClass(self):  # noqa: N802
+            return self
+
+        def getSimpleName(self):  # noqa: N802
+            return self.name
+
+        def getCause(self):  # noqa: N802
+            return self.cause
+
+    class Failure(Py4JJavaError):
+        def __init__(self, *names):
+            cause = None
+            for n in reversed(names):
+                cause = Named(n, cause)
+            self.java_exception = cause
+
+    class Fs:
+        def __init__(self, error=None):
+            self.error, self.asked, self.written = error, [], b""
+
+        def createFile(self, _):  # noqa: N802
+            return self
+
+        def overwrite(self, yes):
+            self.asked.append(yes)
+            return self
+
+        def must(self, key, value):
+            self.asked.append((key, value))
+            return self
+
+        def build(self):
+            return self
+
+        def write(self, content):
+            self.written += bytes(content)
+
+        def close(self):
+            if self.error:
+                raise self.error
+
+    fs = Fs()
+    assert Store._create_if_absent(fs, "p", b"x", True) and fs.asked == [False, (CONDITIONAL, True)] and fs.written == b"x"
+    assert not Store._create_if_absent(Fs(Failure("IOException", "FileAlreadyExistsException")), "p", b"x", True)
+    assert not Store._create_if_absent(Fs(Failure("RemoteFileChangedException")), "p", b"x", True)
+    with pytest.raises(ValueError, match="condition"):
+        Store._create_if_absent(Fs(Failure("IllegalArgumentException")), "p", b"x", True)
+    with pytest.raises(Failure):
+        Store._create_if_absent(Fs(Failure("SocketTimeoutException")), "p", b"x", True)
+
+
+def test_typed_records_in_odd_cases(spark):
+    from millrace.operators import typed
+
+    field = lambda n, t, name=None: {"field": n, "type": t, "optional": True, **({"name": name} if name else {})}
+    one = {"type": "struct", "fields": [field("a", "int32"), field("t", "int32", "x.Time"), field("b", "bytes")]}
+    rows = [(1, json.dumps(one), '{"a":1,"t":3723004,"b":"aGk="}'), (2, json.dumps(one, indent=2), None), (3, json.dumps({**one, "fields": one["fields"][:1]}), '{"a":5,"extra":1}'), (4, None, '{"a":9}'), (5, '{"type":"string"}', "7"), (1, json.dumps(one), '{"a":1,"t":3723004,"b":"aGk="}')]
+    df = spark.createDataFrame(rows, "k int, s string, v string")
+    assert len(typed.schemas_of(df, "s")) == 2
+    got = sorted((r.k, r.a, r.t, bytes(r.b) if r.b is not None else None) for r in typed.decode(df, "s", "v", ["k"]).collect())
+    assert got[:2] == [(1, 1, "01:02:03.004", b"hi")] * 2 and got[2:4] == [(2, None, None, None), (3, 5, None, None)] and len(got) == 5
+    with pytest.raises(ValueError, match="No valid schemas"):
+        typed.decode(df.limit(0), "s", "v")
+    clash = spark.createDataFrame([(json.dumps({"type": "struct", "fields": [field("a", "string")]}), "{}"), (json.dumps(one), "{}")], "s string, v string")
+    with pytest.raises(unify.SchemaConflict):
+        typed.decode(clash, "s", "v")
+
+
+def test_last_of_a_key_across_partitions(spark, tmp_path):
+    """Without timestamps the later partition counts, with them the later record, whatever the offsets."""
+    for with_time, want in ((False, "p1"), (True, "p0")):
+        sink = Sink(spark, config.parse({"data_path": str(tmp_path / str(with_time)), "table.t.auto-create": "true", "table.t.id-columns": "id"}), "order")
+        rows = [("t", 0, 900, datetime(2024, 1, 2), '{"id":1,"v":"p0"}'), ("t", 1, 3, datetime(2024, 1, 1), '{"id":1,"v":"p1"}')]
+        df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, value string").withColumn("value", F.col("value").cast("binary"))
+        df = df if with_time else df.drop("timestamp")
+        sink(df.limit(0), 0)
+        sink(df, 1)
+        got = sink.catalog.table("t").read().collect()
+        assert [r.v for r in got] == [want]
+
+
+def test_quoting_in_columns_equals_quoting(spark):
+    names = ["a", "a b", "a`b", "", "9x", "_z9", "é"]
+    got = spark.createDataFrame([(n,) for n in [*names, None]], "n string").select("n", idents.quote_column("n").alias("q")).collect()
+    assert {r.n: r.q for r in got} == {**{n: idents.quote(n) for n in names}, None: None}

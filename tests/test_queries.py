@@ -6,10 +6,10 @@ import os
 import duckdb
 import pytest
 
-from millrace.plans import ingest, prepared
+from millrace.plans import engine, ingest, prepared
 
-QUERIES = {**ingest.QUERIES, **prepared.QUERIES}
-ORACLES = {**ingest.ORACLES, **prepared.ORACLES}
+QUERIES = {**ingest.QUERIES, **engine.QUERIES, **prepared.QUERIES}
+ORACLES = {**ingest.ORACLES, **engine.ORACLES, **prepared.ORACLES}
 
 
 def plain(v):
