@@ -13,11 +13,14 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,34 +55,52 @@ def json_kind(value: object, name: str) -> str:
     if isinstance(value, float):
         return "float"
     if isinstance(value, str):
-        return "timestamp" if len(value) < 64 and not _ID_LIKE.search(name) and clock.iso_micros(value) is not None else "string"
+        return "timestamp" if "T" in value and not _ID_LIKE.search(name) and clock.iso_micros(value) is not None else "string"
     return "array" if isinstance(value, list) else "object"
 
 
-def features(value: object) -> list[str]:
-    """Shapes of a value. An object counts by its keys and by its kinds of values, as the keys of a map say little."""
-    if isinstance(value, dict):
-        return [feature(value), "v" + ",".join(sorted({feature(v)[:1] for v in value.values()}))]
-    return [feature(value)]
+_WORD, _DIGITS, _RUN, _MIXED = re.compile(r"[^\W\d_]+"), re.compile(r"\d"), re.compile(r"9+"), re.compile(r"(?:a9|9a)[a9]*")
+#: Shapes are counted in so many places of a sketch; each is hashed whole, so that none is left out.
+PLACES = 1024
+#: Signs of a shape that are hashed together.
+BLOCK = 8
+
+
+def _place(shape: str) -> str:
+    return str(zlib.crc32(shape.encode("utf-8", "surrogatepass")) % PLACES)
+
+
+@lru_cache(maxsize=1 << 16)
+def _shape_places(shape: str, bits: int) -> tuple[str, ...]:
+    blocks = {f"s{shape[:BLOCK]}:{bits}"} | {f"+{shape[i : i + BLOCK]}" for i in range(BLOCK, len(shape), BLOCK)}
+    return tuple(sorted({_place(b) for b in blocks}))
+
+
+def _text_places(text: str) -> tuple[str, ...]:
+    shape = _RUN.sub("9", _WORD.sub("a", _DIGITS.sub("9", text)))
+    return _shape_places(_MIXED.sub("x", shape), len(text).bit_length())
 
 
-def feature(value: object, depth: int = 0) -> str:
-    """A coarse shape of a value out of a bounded set; fields of one meaning share their distribution of shapes."""
+_short_text_places = lru_cache(maxsize=1 << 16)(_text_places)
+
+
+def features(value: object) -> tuple[str, ...]:
+    """The shape of a whole value, as places of the sketch: a text's runs of letters, digits and other signs in blocks, the first
+    with its length; a number's magnitude; every element of a list; an object's keys, and its kinds of values, as the keys of a map
+    say little. Fields of one meaning share their distribution of shapes."""
+    if isinstance(value, str):
+        return _short_text_places(value) if len(value) <= 64 else _text_places(value)
     if isinstance(value, bool):
-        return f"b{value}"
+        return (_place(f"b{value}"),)
     if isinstance(value, (int, float)):
-        mag = 0 if value == 0 or value != value else min(40, max(-20, math.floor(math.log2(abs(value)) if math.isfinite(value) else 40)))
-        return f"n{mag // 2}"
-    if isinstance(value, str):
-        t = value[:256]
-        shape = re.sub(r"9+", "9", re.sub(r"[^\W\d_]+", "a", re.sub(r"\d", "9", t)))
-        shape = re.sub(r"(?:a9|9a)[a9]*", "x", shape)
-        return f"s{shape[:8]}:{min(len(value), 255).bit_length()}"
+        mag = 0 if value == 0 or value != value else math.floor(math.log2(abs(value))) if abs(value) < math.inf else 2000
+        return (_place(f"n{mag // 2}"),)
     if isinstance(value, list):
-        return "l" + (feature(value[0], depth + 1) if value and depth < 3 else "")
+        return tuple({_place("l")} | {_place("l" + f) for v in value for f in features(v)})
     if isinstance(value, dict):
-        return "o" + ",".join(sorted(map(str, value))[:6])
-    return "0"
+        kinds = sorted({type(v).__name__ for v in value.values()})
+        return (_place("o" + "\0".join(sorted(value))), _place("v" + ",".join(kinds)))
+    return (_place("0"),)
 
 
 def _schema_paths(schema: dict, registered: dict, prefix: str, out: list) -> None:
@@ -96,11 +117,24 @@ def _schema_paths(schema: dict, registered: dict, prefix: str, out: list) -> Non
 
 
 def _observe(registry: dict):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        paths_of: dict[tuple, list] = {}
-        for pdf in it:
+    """Facts of records, counted per Arrow batch: records by the text of their schema, fields of others by kind, values by shape."""
+
+    def paths_of(topic: str, schema: str) -> list | None:
+        found: list = []
+        try:
+            _schema_paths(json.loads(schema), registry[topic], "", found)
+        except (ValueError, RecursionError, AttributeError):
+            return None
+        return found
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_paths: dict[tuple, list | None] = {}
+        for batch in it:
             facts: Counter = Counter()
-            for batch, topic, schema, value in zip(pdf["batch_id"], pdf["topic"], pdf["value_schema"], pdf["record_value"], strict=True):
+            schemas: Counter = Counter()
+            kinds: dict[tuple, Counter] = {}
+            shapes: dict[tuple, Counter] = {}
+            for number, topic, schema, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 registered = registry.get(topic)
                 if registered is None or value is None:
                     continue
@@ -109,41 +143,53 @@ def _observe(registry: dict):
                 except (ValueError, RecursionError):
                     record = None
                 if not isinstance(record, dict):
-                    facts[batch, topic, "unreadable", "", "", "", ""] += 1
+                    facts[number, topic, "unreadable", "", "", "", ""] += 1
                     continue
                 origin = "json"
                 if schema is not None:
-                    if (topic, schema) not in paths_of:
-                        found: list = []
-                        try:
-                            _schema_paths(json.loads(schema), registered, "", found)
-                        except (ValueError, RecursionError, AttributeError):
-                            found = None
-                        if len(paths_of) > 50_000:
-                            paths_of.clear()
-                        paths_of[topic, schema] = found
-                    if paths_of[topic, schema] is not None:
+                    if (topic, schema) not in known_paths:
+                        if len(known_paths) > 50_000:
+                            known_paths.clear()
+                        known_paths[topic, schema] = paths_of(topic, schema)
+                    if known_paths[topic, schema] is not None:
                         origin = "schema"
-                        for parent, name, kind in paths_of[topic, schema]:
-                            spelled = name.lower() if parent + name.lower() in registered else name
-                            facts[batch, topic, origin, parent, spelled, kind, ""] += 1
+                        schemas[number, topic, schema] += 1
                 todo = [("", record)]
-                while todo:
-                    parent, obj = todo.pop()
+                for parent, obj in todo:
+                    if origin == "json":
+                        seen = kinds.get((number, topic, parent))
+                        if seen is None:
+                            seen = kinds[number, topic, parent] = Counter()
                     for name, v in obj.items():
                         low = name.lower()
                         known = registered.get(parent + low)
                         spelled = low if known else name
                         if origin == "json":
-                            facts[batch, topic, origin, parent, spelled, json_kind(v, low), ""] += 1
-                        if v is not None:
-                            for shape in features(v):
-                                facts[None if known else batch, topic, "value", parent, spelled, origin, shape] += 1
+                            seen[spelled, json_kind(v, low)] += 1
+                        if v is None:
+                            continue
+                        at = (None if known else number, topic, parent, spelled, origin)
+                        shape = shapes.get(at)
+                        if shape is None:
+                            shape = shapes[at] = Counter()
+                        for f in features(v):
+                            shape[f] += 1
                         if known and known[1] == "struct" and isinstance(v, dict):
                             todo.append((f"{parent}{low}.", v))
-            out = pd.DataFrame([(*k, n) for k, n in facts.items()], columns=["batch_id", "topic", "origin", "parent", "name", "kind", "feature", "n"])
-            out["batch_id"] = out["batch_id"].astype("Int64")
-            yield out
+            for (number, topic, schema), n in schemas.items():
+                registered = registry[topic]
+                for parent, name, kind in known_paths.get((topic, schema)) or paths_of(topic, schema) or ():
+                    spelled = name.lower() if parent + name.lower() in registered else name
+                    facts[number, topic, "schema", parent, spelled, kind, ""] += n
+            for (number, topic, parent), seen in kinds.items():
+                for (spelled, kind), n in seen.items():
+                    facts[number, topic, "json", parent, spelled, kind, ""] += n
+            for (number, topic, parent, spelled, origin), shape in shapes.items():
+                for f, n in shape.items():
+                    facts[number, topic, "value", parent, spelled, origin, f] += n
+            rows = list(zip(*facts, strict=True)) or [()] * 7
+            cols = [pa.array(rows[0], pa.int64()), *[pa.array(r, pa.string()) for r in rows[1:]], pa.array(list(facts.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in FACTS.split(", ")])
 
     return run
 
@@ -153,7 +199,7 @@ def observe(records: DataFrame, fields: DataFrame) -> DataFrame:
     fields' values per topic. Rows with null record_value don't count, nor do topics without registered fields."""
     ship(records.sparkSession)
     src = records.select(F.col("batch_id").cast("long"), "topic", "value_schema", "record_value")
-    raw = src.mapInPandas(_observe(fields_of(fields)), FACTS)
+    raw = src.mapInArrow(_observe(fields_of(fields)), FACTS)
     keys = ["batch_id", "topic", "origin", "parent", "name", "kind", "feature"]
     return raw.groupBy(*keys).agg(F.sum("n").alias("n"))
 
@@ -352,9 +398,9 @@ def report(records: DataFrame, fields: DataFrame, least: float = LEAST_SCORE) ->
     facts = cut(facts)  # the Python pass over all records is not repeated
     baseline: dict = {}
     shapes = facts.where((F.col("origin") == "value") & F.col("batch_id").isNull())
-    top = shapes.groupBy("topic", "parent", "name", "kind").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "feature")), asc=False), 1, 64).alias("top"))
-    for r in registry_rows(top):  # bounded by the registered fields
-        baseline[r.topic, r.parent + r.name, r.kind] = {x.feature: int(x.n) for x in r.top}
+    sketch = shapes.groupBy("topic", "parent", "name", "kind").agg(F.collect_list(F.struct("n", "feature")).alias("places"))
+    for r in registry_rows(sketch):  # bounded by the registered fields, each of PLACES entries at most
+        baseline[r.topic, r.parent + r.name, r.kind] = {x.feature: int(x.n) for x in r.places}
     batches = facts.where(F.col("batch_id").isNotNull()).select("batch_id", "topic", "origin", "parent", "name", "kind", "feature", "n")
     diffs = cut(batches.repartition("batch_id", "topic").sortWithinPartitions("batch_id", "topic").mapInPandas(_diff(registry), _DIFF))
     gone = diffs.where("change = 'removed'").select("batch_id", "topic", "parent").distinct().withColumn("gone", F.lit(True))
@@ -438,20 +484,50 @@ def project(records: DataFrame, fields: DataFrame, topic: str, changes: DataFram
     return rows.select("batch_id", "delivery_id", *[cell.alias(path.replace(".", "_")) for path, _, cell in cells], F.array_compact(F.array(*failed)).alias("failed_casts"))
 
 
+#: Renames of so many batches are broadcast, of more joined by shuffle.
+BROADCAST_BATCHES = 200_000
+
+
+def _with_renames(records: DataFrame, changes: DataFrame) -> DataFrame:
+    """batch_id, delivery_id, topic, v (variant) and renames of every record."""
+    renames = cut(_renames(changes))
+    if renames.count() <= BROADCAST_BATCHES:
+        renames = F.broadcast(renames)
+    return records.select("batch_id", "delivery_id", "topic", F.expr("try_parse_json(record_value)").alias("v")).join(renames, ["batch_id", "topic"], "left")
+
+
+def _by_topic(fields: DataFrame, changes: DataFrame, shown) -> F.Column | None:
+    """One expression for all topics: of each row only its own topic's branch is evaluated. ``shown`` maps a topic's cells."""
+    names, out = _new_names(changes), None
+    for topic, registered in sorted(fields_of(fields).items()):
+        here, branch = F.col("topic") == topic, shown(list(_cells(registered, names.get(topic, {}))))
+        out = F.when(here, branch) if out is None else out.when(here, branch)
+    return out
+
+
+def table_rows(records: DataFrame, fields: DataFrame) -> DataFrame:
+    """The consistent tables of all registered topics in one: batch_id, delivery_id, topic, row (the typed columns of
+    :func:`project` as JSON text, nulls left out, times of UTC), failed_casts. One row per record, also of null values."""
+    changes = cut(report(records, fields))
+
+    def shown(cells: list) -> F.Column:
+        row = F.to_json(F.struct(*[c.alias(path.replace(".", "_")) for path, _, c in cells]), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+        failed = F.array_compact(F.array(*[F.when(text.isNotNull() & c.isNull(), F.lit(path)) for path, text, c in cells]))
+        return F.struct(row.alias("row"), failed.alias("failed_casts"))
+
+    both = _by_topic(fields, changes, shown)
+    if both is None:
+        return records.sparkSession.createDataFrame([], "batch_id long, delivery_id long, topic string, row string, failed_casts array<string>")
+    rows = _with_renames(records, changes).select(F.col("batch_id").cast("long").alias("batch_id"), "delivery_id", "topic", both.alias("t"))
+    return rows.where("t is not null").select("batch_id", "delivery_id", "topic", "t.row", "t.failed_casts")
+
+
 def cast_report(records: DataFrame, fields: DataFrame) -> DataFrame:
-    """Per topic and field: rows, values and failed casts of the consistent tables of all registered topics, in one scan."""
+    """Per topic and field: rows, values and failed casts of the consistent tables of all registered topics, in one scan; counts
+    are combined before their shuffle."""
     changes = cut(report(records, fields))
-    names = _new_names(changes)
-    rows = records.select("batch_id", "topic", F.expr("try_parse_json(record_value)").alias("v")).join(_renames(changes), ["batch_id", "topic"], "left")
-    sums, cells = [], []
-    for topic, registered in sorted(fields_of(fields).items()):
-        here = F.col("topic") == topic
-        n = f"n{len(sums)}"
-        sums.append(F.count_if(here).alias(n))
-        for path, text, cell in _cells(registered, names.get(topic, {})):
-            v, f = f"v{len(sums)}", f"f{len(sums)}"
-            sums += [F.count(F.when(here, cell)).alias(v), F.count_if(here & text.isNotNull() & cell.isNull()).alias(f)]
-            cells.append(F.struct(F.lit(topic).alias("topic"), F.lit(path).alias("field_path"), F.col(n).alias("n_rows"), F.col(v).alias("n_values"), F.col(f).alias("n_failed")))
-    if not cells:
+    entries = _by_topic(fields, changes, lambda cells: F.array(*[F.struct(F.lit(path).alias("field_path"), text.isNotNull().alias("there"), c.isNotNull().alias("read")) for path, text, c in cells]))
+    if entries is None:
         return records.sparkSession.createDataFrame([], "topic string, field_path string, n_rows long, n_values long, n_failed long")
-    return rows.agg(*sums).select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("n_rows > 0")
+    cells = _with_renames(records, changes).select("topic", F.explode(entries).alias("c"))
+    return cells.groupBy("topic", "c.field_path").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("c.read").alias("n_values"), F.count_if(F.col("c.there") & ~F.col("c.read")).alias("n_failed"))

@@ -18,6 +18,11 @@ def p1_casts(spark: SparkSession, sf: str) -> DataFrame:
     return drift.cast_report(read_table(spark, sf, "sink_records"), read_table(spark, sf, "topic_fields"))
 
 
+def p1_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The consistent tables: every record's typed row."""
+    return drift.table_rows(read_table(spark, sf, "sink_records"), read_table(spark, sf, "topic_fields"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return rejects.found(read_table(spark, sf, "raw_records"), read_table(spark, sf, "sink_topics"), read_table(spark, sf, "topic_fields"))
 
@@ -64,7 +69,7 @@ def p5_kept(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("delivery_id", "topic", "kafka_partition", "kafka_offset")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p2_found, p2_rows, p2_typed, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p1_rows, p2_found, p2_rows, p2_typed, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
 
 ORACLES = {
     "p2_found": sql.REJECTS,

@@ -120,6 +120,28 @@ def test_drift_projection(spark, fields):
     assert got[0].person_firstName == "A" and json.loads(got[0].tags) == ["x"]
 
 
+def test_features_read_whole_values():
+    """Values that differ late only, in a long text, in the last element, the last key, have other shapes; all in few places."""
+    f = drift.features
+    assert f("ab " * 400 + "7") != f("ab " * 400 + "x") and f([1, 1, 1]) != f([1, 1, 900]) and f({k: 1 for k in "abcdefgh"}) != f({k: 1 for k in "abcdefgi"})
+    assert f("2024-01-02T03:04:05Z") == f("1999-12-31T23:59:59Z") and f("x") != f(1) != f(True) and f([]) != f({}) != f("")
+    values = ["y" * 70_000, 1e308, float("inf"), 10**30, -5, 0, None, [[[[["deep"]]]]], {"a": {"b": None}}, "\ud800"]
+    assert all(0 <= int(p) < drift.PLACES for v in values for p in f(v))
+
+
+def test_table_rows_undo_renames(spark):
+    fields = spark.createDataFrame([("t", 0, "id", "int64", False), ("t", 1, "status", "string", True), ("t", 2, "at", "timestamp", True)], "topic string, field_pos int, field_path string, field_type string, is_optional boolean")
+    rows = [(i, b, "t", None, json.dumps({"id": i, "status" if b == 1 else "state": ["open", "closed"][i % 2], "at": "2024-01-01T00:00:00"})) for i, b in [(i, 1 + i % 2) for i in range(60)]]
+    rows += [(100, 1, "t", None, '{"id":"x","status":null,"at":"2024-01-01T00:00:00"}'), (101, 1, "t", None, None), (102, 1, "t", None, "{"), (103, 1, "other", None, "{}")]
+    df = spark.createDataFrame(rows, "delivery_id long, batch_id long, topic string, value_schema string, record_value string")
+    got = {r.delivery_id: r for r in drift.table_rows(df, fields).collect()}
+    assert len(got) == 63 and json.loads(got[1].row) == {"id": 1, "status": "closed", "at": "2024-01-01T00:00:00.000000"}
+    assert got[100].failed_casts == ["id"] and json.loads(got[101].row) == {} and json.loads(got[102].row) == {}
+    report = {r.field_path: r for r in drift.cast_report(df, fields).collect()}
+    assert (report["id"].n_rows, report["id"].n_values, report["id"].n_failed) == (63, 60, 1) and report["status"].n_values == 60
+    assert drift.table_rows(df.limit(0), fields).count() == 0 and drift.table_rows(df, fields.limit(0)).count() == 0
+
+
 # -------------------------------------------------------------------------------------------------- 2
 
 
