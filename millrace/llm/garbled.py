@@ -1,22 +1,25 @@
 """Text decoded with the wrong encoding: find the stretches, restore what can be restored.
 
-A hidden Markov model labels text with one clean state and one state per pair (encoding it was written in, encoding it was
-read with; read twice counts as a pair of its own). A state emits units: the characters that one original character turns
-into. The clean state emits single characters. What a unit costs is what its original costs as clean text (rarity of the
-character, fit with its neighbours), so a state explains a stretch better than the clean state exactly if the original is
-the more ordinary text. Entering and leaving a garbled state costs extra, so that a lone odd pair stays as it is while many
-small gains add up. Only words with characters beyond ASCII can gain; words are scored once per state and remembered: a
-Viterbi path over the units of a word says which of them are clean and which of the state. The outer path runs over the
-words of a text. Each labelled span gets its state's inverse transform; what was replaced by
-U+FFFD on the way is beyond repair and is left so.
-
-The clean state's character costs are trained on the corpus itself, by Viterbi training: all texts are labelled with the
-initial costs, the characters of the words labelled clean are counted over all texts, and the costs become those of an
-even mixture of the initial and the counted distribution. Garbled words don't train the clean state.
+A hidden Markov model labels the characters of a text with one clean state, one state per pair (encoding it was written in,
+encoding it was read with; read twice counts as a pair of its own), and one for characters that were lost (U+FFFD). A state
+emits units: the characters that one original character turns into; the clean state emits single characters. What a unit costs
+is what its original costs as clean text (rarity of the character, fit with its neighbours), so a state explains a stretch
+better than the clean state exactly if the original is the more ordinary text. Transitions cost what they are rare, and
+staying in a garbled state costs a little per unit, so that many small gains over sound text don't add up.
+
+ASCII is alike in all states and not observed, so blanks part a text into words that share nothing but the state they are
+entered and left in. A word's best paths by these two states are exact Viterbi paths over its characters; they are remembered,
+and the path of a text is joined from them. Every labelled span gets its state's inverse transform, also several within a word;
+what was replaced by U+FFFD on the way is beyond repair and is left so.
+
+The model is trained on the corpus itself, by rounds of Viterbi training: all texts are labelled, the characters labelled clean
+and their neighbours, and the transitions, are counted over all texts, and every distribution becomes an even mixture of its
+initial and its counted form. Garbled stretches don't train the clean state.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import unicodedata
 from collections import Counter
@@ -29,24 +32,26 @@ from pyspark.sql import DataFrame
 
 from millrace.session import registry_rows, ship, spread
 
-#: Costs in nats of entering and leaving a garbled state: what a stretch must gain over the clean state in all.
-ENTER, LEAVE = 7.0, 1.0
-#: A word counts as explained better or worse from this difference on.
-DOUBT = 2.5
-#: The same for pairs of two older encodings, which are rarer.
-ENTER_OLD = 10.0
-#: Costs within a word: of changing between clean and garbled, and of a clean character amid garbled ones.
-SWITCH, ODD = 4.0, 3.0
+#: Costs in nats of entering a garbled state and of leaving it, before training; of pairs of two older encodings, which are rarer,
+#: entering costs more.
+ENTER, ENTER_OLD, LEAVE = 7.0, 10.0, 2.0
+#: Cost of a clean character amid a garbled state.
+ODD = 3.0
+#: What a transition amid the characters of a word costs more than one between words.
+INSIDE = 3.0
+#: What two ways to the same place can still differ by, as the classes of their last characters differ.
+SLACK = 15.0
 LOST = "�"
 #: Cost of U+FFFD as clean text and as a lost character.
 LOST_CLEAN, LOST_GARBLED = 24.0, 6.0
 #: Letters of Russian text by falling frequency (fixed value); the cost follows Zipf's law over the ranks.
 _CYRILLIC = "оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё"
 _OFTEN = "éèàùâêîôûçëïüöäßñáíóúãõ"
-#: Share of the counted distribution in the trained one, and what an unseen character's cost grows by.
+#: Share of the counted distribution in the trained one, what an unseen character's cost grows by, and rounds of training.
 TRAINED_SHARE = 0.5
+ROUNDS = 2
 MIX_COST = -math.log(1 - TRAINED_SHARE)
-#: Words of more characters are scored but not remembered; so many are remembered at most.
+#: Words of more characters are labelled but not remembered; so many are remembered at most.
 LONGEST_KEPT, MOST_KEPT = 120, 100_000
 
 
@@ -89,6 +94,18 @@ def kind(c: str) -> str:
     return "s"
 
 
+def _common(c: str) -> bool:
+    """Whether a han character is among the few thousand common ones, as the first levels of two national sets have them."""
+    for encoding, low, high in (("gb2312", 0xB0A1, 0xD7F9), ("cp932", 0x889F, 0x9872)):
+        try:
+            raw = c.encode(encoding)
+        except UnicodeEncodeError:
+            continue
+        if low <= int.from_bytes(raw, "big") <= high:
+            return True
+    return False
+
+
 @lru_cache(maxsize=1 << 16)
 def rarity(c: str) -> float:
     """What a character costs as such in clean text, before training."""
@@ -104,9 +121,11 @@ def rarity(c: str) -> float:
     if k in "cC":
         rank = _CYRILLIC.find(low)
         return (2.1 + 0.11 * rank if rank >= 0 else 8.0) + (2.0 if k == "C" else 0.0)
+    if k == "H":
+        return 7.0 if _common(c) else 9.5
     if k == "p" and c in "’‘“”–—…«»„¿¡·•":
         return 4.0
-    return {"g": 6.0, "G": 7.0, "K": 4.0, "H": 7.5, "F": 4.0, "p": 7.0, "s": 4.5 if ord(c) < 0x100 or c == "€" else 7.5, "b": 6.0, "e": 9.0, "x": 14.0, "u": 8.0, "r": LOST_CLEAN}[k]
+    return {"g": 6.0, "G": 7.0, "K": 4.0, "F": 4.0, "p": 7.0, "s": 4.5 if ord(c) < 0x100 or c == "€" else 7.5, "b": 6.0, "e": 9.0, "x": 14.0, "u": 8.0, "r": LOST_CLEAN}[k]
 
 
 _SCRIPT = {"a": "l", "A": "l", "l": "l", "L": "l", "c": "c", "C": "c", "g": "g", "G": "g", "K": "k", "H": "k", "u": "u"}
@@ -130,6 +149,8 @@ def _fit(a: str, b: str) -> float:
         return 1.5
     if sa and b == "b" or a == "b" and sb:
         return 4.0
+    if (a == "o" and b == "b") or (a == "b" and b == "o"):
+        return 2.0
     if a in "sp" and b in "sp":
         return 2.5
     if (a == "b" and b in "spF") or (b == "b" and a in "spF"):
@@ -153,21 +174,6 @@ class Costs(dict):
         return out
 
 
-def cost(text: str, costs: Costs, before: str = " ", after: str = " ") -> float:
-    """Cost of ``text`` as clean text between its neighbours."""
-    total, kinds = 0.0, [kind(before), *map(kind, text), kind(after)]
-    for i, c in enumerate(text, 1):
-        k = kinds[i]
-        total += costs[c] + _fit(kinds[i - 1], k)
-        if k == "l" and kinds[i - 1] == "l" and i > 1 and kinds[i - 2] == "l":
-            total += 1.5  # the third accented letter in a row and on
-        elif k == "L" and kinds[i - 1] in "AL":
-            total -= 1.5  # a capital among capitals
-        if k in _ALONE and _SCRIPT.get(kinds[i - 1]) != _SCRIPT[k] != _SCRIPT.get(kinds[i + 1]):
-            total += _ALONE[k]  # a letter by itself
-    return total + _fit(kinds[-2], kinds[-1])
-
-
 def _bytes_of(encoding: str) -> dict[str, int]:
     """Character -> byte of a single-byte encoding; bytes it leaves undefined stay control characters, as readers do."""
     out = {}
@@ -217,7 +223,7 @@ def _decoded(raw: bytes, encoding: str) -> str | None:
         t = raw.decode(encoding)
     except UnicodeDecodeError:
         return None
-    return t if len(t) == 1 and ord(t) >= 128 and t != LOST else None
+    return t if len(t) == 1 and ord(t) >= 128 and t != LOST and not "\ue000" <= t <= "\uf8ff" else None  # no private use
 
 
 def _unit(state: State, word: str, at: int, times: int) -> tuple[str, int] | None:
@@ -269,22 +275,6 @@ def _unit(state: State, word: str, at: int, times: int) -> tuple[str, int] | Non
     return (t, 1) if t else None
 
 
-def _greedy(state: State, word: str) -> tuple[str, float, int]:
-    """(original, extra cost, units) of a word taken as garbled throughout."""
-    out, extra, units, i = [], 0.0, 0, 0
-    while i < len(word):
-        u = _unit(state, word, i, state.times) if word[i] >= "\x80" else None
-        if u is None:
-            out.append(word[i])
-            extra += ODD if word[i] >= "\x80" else 0.0
-            i += 1
-        else:
-            out.append(u[0])
-            units += 1
-            i += u[1]
-    return "".join(out), extra, units
-
-
 @lru_cache(maxsize=1 << 16)
 def _encoded(c: str, encoding: str) -> bytes | None:
     try:
@@ -326,101 +316,187 @@ def _sequences(raw: bytes, rest: int) -> tuple[str, bytes, int] | None:
     return out, b"", rest
 
 
-def _path(state: State, word: str, costs: Costs) -> tuple[str, float, int] | None:
-    """(original, extra cost, units) along the Viterbi path over a word's units, each clean or of the state; the path takes the
-    state at least once. None: no such path.
-
-    Modes: 0 clean so far, 2 clean again, else (bytes of an unfinished character, bytes of a lost one to come) within the state."""
-    inside = (b"", 0)
-    ways: list[dict] = [{} for _ in range(len(word) + 1)]  # mode -> (cost, kind before, extra, units, lost, link)
-    ways[0] = {0: (0.0, "w", 0.0, 0, 0, None), inside: (0.0, "w", 0.0, 0, 0, None)}
-
-    def go(at: int, mode: object, way: tuple, text: str, extra: float = 0.0, units: int = 0, lost: int = 0) -> None:
-        total, k = way[0] + extra, way[1]
-        for c in text:
-            nxt = kind(c)
-            total += LOST_GARBLED if lost else costs[c] + _fit(k, nxt)
-            k = nxt
-        if mode not in ways[at] or total < ways[at][mode][0]:
-            ways[at][mode] = (total, k, way[2] + extra, way[3] + units, way[4] + lost, (way[5], text) if text else way[5])
-
-    for i, c in enumerate(word):
+#: Number of the state of lost characters, and of the clean state; the others are places in STATES.
+GONE, SOUND = -2, -1
+
+
+def name_of(state: int) -> str:
+    return "lost" if state == GONE else STATES[state].name
+
+
+class Model:
+    """Costs of characters, of neighbours by class, and of transitions, by state."""
+
+    def __init__(self, trained: dict | None = None):
+        trained = trained or {}
+        self.costs = Costs(trained.get("chars"))
+        self.fits = trained.get("fits", {})
+        states = [GONE, *range(len(STATES))]
+        self.enter = {n: trained.get("enter", {}).get(n, ENTER if n < 0 or STATES[n].written == "utf-8" else ENTER_OLD) for n in states}
+        self.leave = {n: trained.get("leave", {}).get(n, LEAVE) for n in states}
+        self.stay = {n: -math.log(1 - math.exp(-c)) for n, c in self.leave.items()}
+        self.steps: dict[str, float] = {}
+
+    def step(self, before: str, k: str) -> float:
+        """What it costs that a character of class ``k`` follows two of classes ``before``, whatever the character."""
+        key = before + k
+        known = self.steps.get(key)
+        if known is None:
+            a, b = before
+            known = self.fits.get(b + k, _fit(b, k))
+            if k == "l" and b == "l" and a == "l":
+                known += 1.5  # the third accented letter in a row and on
+            elif k == "L" and b in "AL":
+                known -= 1.5  # a capital among capitals
+            if b in _ALONE and _SCRIPT.get(a) != _SCRIPT[b] != _SCRIPT.get(k):
+                known += _ALONE[b]  # a letter by itself
+            self.steps[key] = known
+        return known
+
+    def emit(self, before: str, c: str) -> tuple[float, str]:
+        k = kind(c)
+        return self.step(before, k) + (self.costs[c] if c >= "\x80" else 0.0), before[1] + k
+
+
+def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]:
+    """Best ways through a word from a state: state at its end -> (cost, spans), a span being (state, offset, length, original).
+
+    A mode is a state, the classes of the last two characters, and in a wide state the bytes of an unfinished character and the
+    number of a lost one's to come. A mode that costs more than the clean one, entering its state anew and SLACK is given up, as
+    nothing is lost by that."""
+    ways: list[dict | None] = [None] * (len(word) + 1)  # mode -> (cost, link)
+    ways[0] = {(start, "ww", b"", 0): (0.0, None)}
+    enter, leave, stay, emit = model.enter, model.leave, model.stay, model.emit
+
+    def go(at: int, mode: tuple, total: float, link: tuple | None) -> None:
+        there = ways[at]
+        if there is None:
+            there = ways[at] = {}
+        if mode not in there or total < there[mode][0]:
+            there[mode] = (total, link)
+
+    i, n = 0, len(word)
+    first = next((j for j, c in enumerate(word) if c >= "\x80"), n)
+    while i < n:
+        inside = INSIDE if i > first else 0.0
         here = ways[i]
-        if i and c >= "\x80":
-            for mode, way in list(here.items()):
-                if mode in (0, 2):
-                    go(i, inside, way, "", SWITCH)
-                elif not mode[0]:
-                    go(i, 2, way, "", SWITCH)
-        for mode, way in here.items():
-            if mode in (0, 2):
-                go(i + 1, mode, way, c)
-            elif c < "\x80":
-                if not mode[0]:
-                    go(i + 1, inside, way, c)
-            elif not state.wide:
-                u = _unit(state, word, i, state.times)
-                if u is None:
-                    go(i + 1, inside, way, c, ODD)
-                else:
-                    go(i + u[1], inside, way, u[0], 0.0, 1)
+        if here is None:
+            i += 1
+            continue
+        ways[i] = None
+        c = word[i]
+        # transitions: to the clean state from any that is between two units, and from there on into others
+        for (s, before, part, _), (total, link) in list(here.items()):
+            if s != SOUND and not part:
+                sound, out = (SOUND, before, b"", 0), total + leave[s] + inside
+                if sound not in here or out < here[sound][0]:
+                    here[sound] = (out, link)
+        base = min((w[0] for m, w in here.items() if m[0] == SOUND), default=None)
+        if base is not None:
+            for mode in [m for m, w in here.items() if w[0] >= base + SLACK + (enter[m[0]] if m[0] != SOUND else 0.0)]:
+                del here[mode]
+        if c < "\x80":
+            end = i + 1
+            while end < n and word[end] < "\x80":
+                end += 1
+            tail = kind(word[end - 2]) + kind(word[end - 1]) if end - i > 1 else None
+            for (s, before, part, _), (total, link) in here.items():
+                if s != SOUND and part:
+                    continue  # a character broken off
+                for x in word[i : min(end, i + 2)]:  # from the third on the classes before are the same in all modes
+                    more, before = emit(before, x)
+                    total += more
+                go(end, (s, tail or before, b"", 0), total, link)
+            i = end
+            continue
+        others = (*((GONE,) if c == LOST else ()), *_entered(word, i))
+        if others:
+            for (s, before, _, _), (total, link) in list(here.items()):
+                if s == SOUND:
+                    for o in others:
+                        mode = (o, before, b"", 0)
+                        if mode not in here or total + enter[o] + inside < here[mode][0]:
+                            here[mode] = (total + enter[o] + inside, link)
+        for (s, before, part, rest), (total, link) in here.items():
+            if s == SOUND:
+                more, after = emit(before, c)
+                go(i + 1, (s, after, b"", 0), total + more, link)
+            elif s == GONE:
+                if c == LOST:
+                    go(i + 1, (s, before[1] + "r", b"", 0), total + LOST_GARBLED, (link, s, i, 1, LOST))
+            elif not STATES[s].wide:
+                u = _unit(STATES[s], word, i, STATES[s].times)
+                if u is not None:
+                    more, after = emit(before, u[0])
+                    go(i + u[1], (s, after, b"", 0), total + more + stay[s], (link, s, i, u[1], u[0]))
+                more, after = emit(before, c)
+                go(i + 1, (s, after, b"", 0), total + more + ODD, link)
             elif c == LOST:
-                rest = _length(mode[0][0]) - len(mode[0]) - 1 if mode[0] else mode[1] - 1 if mode[1] else 2
-                go(i + 1, (b"", rest), way, LOST, 0.0, 0, 1)
-            elif (raw := _encoded(c, state.read)) is not None and (read := _sequences(mode[0] + raw, mode[1])) is not None:
-                go(i + 1, read[1:], way, read[0], 0.0, sum(x >= "\x80" for x in read[0]))
-        ways[i] = {}
-    ends = [w for m, w in ways[-1].items() if m == 2 or m != 0 and not m[0]]
-    ends = [w for w in ends if w[3] and w[3] >= w[4]]  # more is known of the original than lost
-    if not ends:
-        return None
-    _, _, extra, units, _, link = min(ends, key=lambda w: w[0])
+                rest = _length(part[0]) - len(part) - 1 if part else rest - 1 if rest else 2
+                go(i + 1, (s, before[1] + "r", b"", rest), total + LOST_GARBLED, (link, s, i, 1, LOST))
+            elif (raw := _encoded(c, STATES[s].read)) is not None and (read := _sequences(part + raw, rest)) is not None:
+                for x in read[0]:
+                    more, before = emit(before, x)
+                    total += more + stay[s]
+                go(i + 1, (s, before, read[1], read[2]), total, (link, s, i, 1, read[0]))
+        i += 1
+    out: dict[int, tuple[float, tuple | None]] = {}
+    for (s, before, part, _), (total, link) in (ways[n] or {}).items():
+        total += model.step(before, "w")
+        if not part and (s not in out or total < out[s][0]):
+            out[s] = (total, link)
+    for s, (total, link) in list(out.items()):
+        if s != SOUND and (SOUND not in out or total + leave[s] < out[SOUND][0]):
+            out[SOUND] = (total + leave[s], link)
+    return {s: (total, _spans(link)) for s, (total, link) in out.items() if s == SOUND or total < out[SOUND][0] + enter[s]}
+
+
+@lru_cache(maxsize=1 << 16)
+def _entering(piece: str) -> tuple[int, ...]:
     out = []
+    for n, s in enumerate(STATES):
+        if not s.wide:
+            if _unit(s, piece, 0, s.times) is not None:
+                out.append(n)
+        elif piece[0] != LOST and (raw := _encoded(piece[0], s.read)) is not None and _sequences(raw, 0) is not None:
+            out.append(n)
+    return tuple(out)
+
+
+def _entered(word: str, at: int) -> tuple[int, ...]:
+    """States that can have emitted a unit here; none of them looks further than the longest unit."""
+    return _entering(word[at : at + LONGEST_UNIT])
+
+
+def _spans(link: tuple | None) -> tuple:
+    """Units of a path as spans: units of one state that touch are one span. Spans of which more is lost than known are lost."""
+    units = []
     while link is not None:
-        link, text = link
-        out.append(text)
-    return "".join(reversed(out)), extra, units
-
-
-def explain(state: State, word: str, costs: Costs) -> tuple[float, str] | None:
-    """(cost, original) of a word under a garbled state; None if no unit of it fits. Stretches the state can't have emitted, or
-    that are likelier as they are, are taken as clean and left so, at a price: ODD a character or SWITCH at each of their ends."""
-    tries = []
-    if not state.wide:
-        whole = _greedy(state, word)
-        if not whole[2]:
-            return None
-        tries.append(whole)
-        if not whole[1] and state.written == "utf-8":  # nothing in it could be clean
-            return cost(whole[0], costs), whole[0]
-    if (way := _path(state, word, costs)) is not None:
-        tries.append(way)
-    price = lambda t: cost(t.replace(LOST, ""), costs) + LOST_GARBLED * t.count(LOST) if state.wide else cost(t, costs)
-    return min(((price(t) + extra, t) for t, extra, _ in tries), default=None)
+        link, *unit = link
+        units.append(unit)
+    out: list[list] = []
+    for s, at, length, text in reversed(units):
+        if out and out[-1][0] == s and out[-1][1] + out[-1][2] == at:
+            out[-1][2] += length
+            out[-1][3] += text
+        else:
+            out.append([s, at, length, text])
+    return tuple(tuple(x) for x in out)
 
 
 class Words(dict):
-    """word -> (clean cost, {state number: (cost, original)}) of the states that can explain the word about as well as clean
-    text. Differences of less than DOUBT don't count either way, so that they can't add up over many odd but sound words."""
+    """(word, state it is entered in) -> its paths."""
 
-    def __init__(self, costs: Costs | None = None):
+    def __init__(self, model: Model | None = None):
         super().__init__()
-        self.costs = Costs() if costs is None else costs
-
-    def __missing__(self, word: str):
-        clean = cost(word, self.costs)
-        better: dict[int, tuple[float, str]] = {}
-        if LOST in word:
-            better[-1] = (cost(word.replace(LOST, ""), self.costs) + LOST_GARBLED * word.count(LOST), word)
-        for n, s in enumerate(STATES):
-            e = explain(s, word, self.costs)
-            if e is not None and e[0] < clean + 2 * DOUBT:
-                better[n] = e
-        out = (clean, better)
-        if len(word) <= LONGEST_KEPT:
+        self.model = Model() if model is None else model
+
+    def __missing__(self, key: tuple[str, int]):
+        out = paths(*key, self.model)
+        if len(key[0]) <= LONGEST_KEPT:
             if len(self) >= MOST_KEPT:
                 self.clear()
-            self[word] = out
+            self[key] = out
         return out
 
 
@@ -438,45 +514,23 @@ def words_of(text: str) -> list[tuple[int, str]]:
     return out
 
 
-def label(text: str, scores: Words) -> list[tuple[str, int, int, str]]:
-    """Garbled words of a text: (state, offset, length, original), from the Viterbi path over its words."""
-    words = words_of(text)
-    if not words:
-        return []
-    found = [(at, w, scores[w]) for at, w in words]
-    states = sorted({s for _, _, (clean, better) in found for s, (c, _) in better.items() if clean - c >= DOUBT})
-    if not states:
-        return []
-    # gains over the all-clean labelling; clean is the path of gain 0
-    enter = {s: ENTER if s < 0 or STATES[s].written == "utf-8" else ENTER_OLD for s in states}
-    best: dict[int | None, float] = {None: 0.0} | {s: -enter[s] for s in states}
-    back: list[dict] = []
-    for _, _, (clean, better) in found:
-        top = max(best, key=lambda s: best[s])
-        step, new = {}, {}
-        for s in best:
-            stay = best[s]
-            move = best[top] - (LEAVE if s is None else enter[s])
-            came = s if stay >= move or top == s else top
-            gain = 0.0 if s is None or s not in better or abs(clean - better[s][0]) < DOUBT else max(0.0, clean - better[s][0])
-            new[s] = max(stay, move if top != s else stay) + gain
-            step[s] = came
-        back.append(step)
-        best = new
-    s = max(best, key=lambda x: best[x])
-    path = []
-    for step in reversed(back):
-        path.append(s)
-        s = step[s]
-    path.reverse()
-    sure = [s is not None and s in better and clean - better[s][0] >= DOUBT for (_, _, (clean, better)), s in zip(found, path, strict=True)]
-    out = []
-    for i, ((at, w, (_, better)), s) in enumerate(zip(found, path, strict=True)):
-        # a doubtful word goes with its neighbours if both are garbled alike
-        beside = 0 < i < len(path) - 1 and sure[i - 1] and sure[i + 1] and path[i - 1] == s == path[i + 1]
-        if s is not None and s in better and (sure[i] or beside):
-            out.append(("lost" if s < 0 else STATES[s].name, at, len(w), better[s][1]))
-    return out
+def label(text: str, words: Words) -> list[tuple[str, int, int, str]]:
+    """Garbled spans of a text: (state, offset, length, original), from the Viterbi path over its characters."""
+    enter = words.model.enter
+    best: dict[int, tuple[float, tuple | None]] = {SOUND: (0.0, None)}
+    for at, w in words_of(text):
+        new: dict[int, tuple[float, tuple | None]] = {}
+        for s, (total, link) in best.items():
+            for end, (more, spans) in words[w, s].items():
+                if end not in new or total + more < new[end][0]:
+                    new[end] = (total + more, (link, at, spans) if spans else link)
+        low = new[SOUND][0]
+        best = {s: w for s, w in new.items() if s == SOUND or w[0] < low + enter[s]}
+    link, out = min(best.values(), key=lambda w: w[0])[1], []
+    while link is not None:
+        link, at, spans = link
+        out += [(name_of(s), at + p, n, t) for s, p, n, t in reversed(spans)]
+    return out[::-1]
 
 
 def restore(text: str, labels: list[tuple[str, int, int, str]]) -> str:
@@ -487,88 +541,165 @@ def restore(text: str, labels: list[tuple[str, int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-_SCORES: dict[int, Words] = {}
-
-
-@dataclass
-class _Sent:
-    value: dict
-
-    @property
-    def id(self) -> int:
-        return hash(frozenset(self.value.items())) or 1
-
-
-def _scores(sent: _Sent | None) -> Words:
-    """This worker's word scores under the sent costs (None: the initial ones)."""
-    key = 0 if sent is None else sent.id
-    if key not in _SCORES:
-        for old in [k for k in _SCORES if k]:  # scores of earlier trainings
-            del _SCORES[old]
-        _SCORES[key] = Words(None if sent is None else Costs(sent.value))
-    return _SCORES[key]
-
-
-def trained(counts: dict[str, int]) -> dict[str, float]:
-    """Costs from the counts of all characters of clean words with characters beyond ASCII."""
-    total = sum(counts.values())
-    return {c: -math.log((1 - TRAINED_SHARE) * math.exp(-rarity(c)) + TRAINED_SHARE * n / total) for c, n in counts.items() if ord(c) >= 128 and c != LOST} if total else {}
-
-
-def train(docs: DataFrame, text: str = "text") -> dict[str, float]:
-    """One round of Viterbi training over all texts. Counts are summed in every task before the shuffle; what reaches the
-    driver is a row per distinct character, of which there are fewer than the registry limit."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, counts = _scores(None), Counter()
-        words: Counter = Counter()
-        for batch in it:
-            for t in batch.column(0).to_pylist():
-                if t and not t.isascii():
-                    bad = {at for _, at, _, _ in label(t, scores)}
-                    words.update(w for at, w in words_of(t) if at not in bad)
-            if len(words) > MOST_KEPT:
-                _add(counts, words)
-        _add(counts, words)
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["c", "n"])
+_WORDS: dict[str, Words] = {}
+
+
+def _words(sent) -> Words:
+    """This worker's remembered words under a sent model (None: the initial one)."""
+    text = "" if sent is None else sent.value
+    if text not in _WORDS:
+        _WORDS.clear()
+        _WORDS[text] = Words(Model(_read(text) if text else None))
+    return _WORDS[text]
+
+
+def _read(text: str) -> dict:
+    d = json.loads(text)
+    return {k: {int(n): c for n, c in v.items()} if k in ("enter", "leave") else v for k, v in d.items()}
+
+
+def _mixed(initial: float, share: float) -> float:
+    """Cost of an even mixture of an initial and a counted probability."""
+    return -math.log((1 - TRAINED_SHARE) * math.exp(-initial) + TRAINED_SHARE * min(1.0, share))
+
+
+def trained(counts: dict[tuple[str, str], int]) -> dict:
+    """Model parameters from counts: ``c`` characters of clean stretches in words beyond ASCII, ``p`` pairs of classes there, and per
+    state ``e`` entered, ``u`` units emitted, ``l`` left."""
+    of: dict[str, dict[str, int]] = {w: {} for w in "cpeul"}
+    for (what, x), n in counts.items():
+        of[what][x] = n
+    total = sum(of["c"].values())
+    if not total:
+        return {}
+    first, second = Counter(), Counter()
+    for pair, n in of["p"].items():
+        first[pair[0]] += n
+        second[pair[1]] += n
+    pairs = sum(first.values())
+    plain = Model()
+    return {
+        "chars": {c: _mixed(rarity(c), n / total) for c, n in of["c"].items() if ord(c) >= 128 and c != LOST},
+        # how much likelier two classes are side by side than apart; classes that are ASCII both are alike in all states
+        "fits": {a + b: _mixed(_fit(a, b), of["p"].get(a + b, 0) * pairs / (first[a] * second[b])) for a in first for b in second if not (a in _PLAIN and b in _PLAIN)},
+        "enter": {n: _mixed(c, of["e"].get(str(n), 0) / total) for n, c in plain.enter.items()},
+        "leave": {n: _mixed(c, of["l"].get(str(n), 0) / of["u"][str(n)]) for n, c in plain.leave.items() if of["u"].get(str(n))},
+    }
+
+
+_PLAIN = "aAdwo"
+
+
+def count(text: str, words: Words, counts: Counter, clean: Counter) -> None:
+    """Adds a text's path to the counts; words that are clean throughout go to ``clean``, to be counted once with their number."""
+    spans: dict[int, list] = {}
+    starts = words_of(text)
+    labels = label(text, words)
+    at = 0
+    for s, p, n, t in labels:
+        while at + 1 < len(starts) and starts[at + 1][0] <= p:
+            at += 1
+        spans.setdefault(at, []).append((s, p - starts[at][0], n, t))
+    last, end = None, -1
+    for s, p, n, t in labels:
+        number = str(_NUMBERS[s])
+        if s != last or not text[end:p].isascii():
+            counts["e", number] += 1
+            counts["l", number] += 1
+        counts["u", number] += len(t)
+        last, end = s, p + n
+    for i, (_, w) in enumerate(starts):
+        if i not in spans:
+            clean[w] += 1
+            continue
+        p = 0
+        for _, q, n, _ in [*spans[i], (None, len(w), 0, None)]:
+            _characters(w[p:q], 1, counts)
+            p = q + n
+
+
+def _characters(stretch: str, n: int, counts: Counter) -> None:
+    """A clean stretch's characters, and pairs of classes within it."""
+    if stretch.isascii():
+        return
+    before = None
+    for c in stretch:
+        counts["c", c] += n
+        k = kind(c)
+        if before is not None:
+            counts["p", before + k] += n
+        before = k
+
+
+def _add(counts: Counter, clean: Counter) -> None:
+    for w, n in clean.items():
+        _characters(f" {w} ", n, counts)
+        counts["c", " "] -= 2 * n  # the blanks are there for the pairs
+    clean.clear()
+
+
+_NUMBERS = {name_of(n): n for n in (GONE, *range(len(STATES)))}
+LONGEST_UNIT = max(4**s.times if s.written == "utf-8" else 2 for s in STATES)
+
+
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> dict:
+    """Viterbi training over all texts. Counts are summed in every task before the shuffle; what reaches the driver is a row per
+    distinct character, pair of classes and state, of which there are fewer than the registry limit."""
+
+    def run_with(sent):
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, counts, clean = _words(sent), Counter(), Counter()
+            for batch in it:
+                for t in batch.column(0).to_pylist():
+                    if t and not t.isascii():
+                        count(t, words, counts, clean)
+                if len(clean) > MOST_KEPT:
+                    _add(counts, clean)
+            _add(counts, clean)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["what", "x", "n"])
+
+        return run
 
     ship(docs.sparkSession)
-    rows = spread(docs.select(text)).mapInArrow(run, "c string, n long").groupBy("c").sum("n").toDF("c", "n")
-    return trained({r.c: r.n for r in registry_rows(rows)})
+    out: dict = {}
+    for _ in range(rounds):
+        rows = spread(docs.select(text)).mapInArrow(run_with(_sent(docs, out)), "what string, x string, n long").groupBy("what", "x").sum("n").toDF("what", "x", "n")
+        out = trained({(r.what, r.x): r.n for r in registry_rows(rows) if r.n > 0})
+        if not out:
+            break
+    return out
 
 
-def _add(counts: Counter, words: Counter) -> None:
-    for w, n in words.items():
-        for c in w:
-            counts[c] += n
-    words.clear()
+def _sent(docs: DataFrame, parameters: dict):
+    """The model's parameters as a broadcast: a number per distinct character, pair of classes and state."""
+    return docs.sparkSession.sparkContext.broadcast(json.dumps(parameters)) if parameters else None
 
 
-OUT = "`{key}` {kind}, n_words int, states array<string>, whole boolean, restored string"
+OUT = "`{key}` {kind}, n_spans int, states array<string>, whole boolean, restored string"
 
 
 def repair(docs: DataFrame, key: str = "doc_id", text: str = "text", training: bool = True) -> DataFrame:
-    """A row per garbled text: key, n_words (garbled words), states (encoding pairs met), whole (nothing of it is lost),
+    """A row per garbled text: key, n_spans (garbled spans), states (encoding pairs met), whole (nothing of it is lost),
     restored (the text with every span's inverse transform applied).
 
     Null, empty and ASCII texts have no row. Whole texts are read, of any length; rows repeat as they come; other columns
     aren't read. The model is trained on the same texts first, unless ``training`` is off."""
     k = dict(docs.dtypes)[key]
-    costs = train(docs, text) if training else {}
-    sent = docs.sparkSession.sparkContext.broadcast(costs) if costs else None  # a cost per distinct character
+    sent = _sent(docs, train(docs, text) if training else {})
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _scores(_Sent(sent.value) if sent is not None else None)
+        words = _words(sent)
         for batch in it:
             rows = []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                if t and not t.isascii() and (labels := label(t, scores)):
+                if t and not t.isascii() and (labels := label(t, words)):
                     fixed = restore(t, labels)
                     rows.append((i, len(labels), sorted({x[0] for x in labels}), LOST not in fixed, fixed))
             take = pa.array([r[0] for r in rows], pa.int64())
             cols = [pa.array([r[j] for r in rows], kind_) for j, kind_ in ((1, pa.int32()), (2, pa.list_(pa.string())), (3, pa.bool_()), (4, pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), *cols], names=[key, "n_words", "states", "whole", "restored"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), *cols], names=[key, "n_spans", "states", "whole", "restored"])
 
+    ship(docs.sparkSession)
     return spread(docs.select(key, text)).mapInArrow(run, OUT.format(key=key, kind=k))
 
 

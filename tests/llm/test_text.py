@@ -224,23 +224,103 @@ def test_repair_column(spark):
     assert garbled.found(df.limit(0)).collect() == []
 
 
-def test_training_counts_clean_words_only(spark):
+def test_training_counts_what_is_clean(spark):
     bad = misread(CLEAN[0], "utf-8", "cp1252")
     rows = [(i, t) for i, t in enumerate([*CLEAN * 5, bad, None, ""])]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    costs = garbled.train(df)
-    counts = defaultdict(int)
+    model = garbled.train(df, rounds=1)
+    counts, pairs = defaultdict(int), defaultdict(int)
     for t in CLEAN * 5:
         for _, w in garbled.words_of(t):
             for c in w:
                 counts[c] += 1
-    assert costs == pytest.approx(garbled.trained(counts))
-    assert "Ÿ" not in costs and costs["ö"] < garbled.rarity("ö") + garbled.MIX_COST
+            for x, y in zip(f" {w}", f"{w} ", strict=True):
+                pairs[garbled.kind(x) + garbled.kind(y)] += 1
+    of_pairs = {("c", c): n for c, n in counts.items()} | {("p", p): n for p, n in pairs.items()}
+    want = garbled.trained(of_pairs)
+    assert model["chars"] == pytest.approx(want["chars"], rel=1e-3)
+    assert "Ÿ" not in model["chars"] and model["chars"]["ö"] < garbled.rarity("ö") + garbled.MIX_COST
+    written = [n for n, s in enumerate(garbled.STATES) if s.name == "utf-8>cp1252"][0]
+    other = [n for n, s in enumerate(garbled.STATES) if s.name == "utf-8>cp850"][0]
+    assert model["enter"][written] < model["enter"][other] and written in model["leave"] and other not in model["leave"]
     for training in (True, False):
         assert [r.doc_id for r in garbled.repair(df, training=training).collect()] == [len(CLEAN) * 5]
     assert garbled.train(df.limit(0)) == {} and garbled.train(df.where("text = ''")) == {}
 
 
+def fixed(text):
+    return garbled.restore(text, garbled.label(text, garbled.Words()))
+
+
+@pytest.mark.parametrize(
+    ("bad", "good"),
+    [
+        ("Ã©té_été", "été_été"),  # one garbled letter among accents, in a word
+        ("été_dÃ©jÃ\xa0_été", "été_déjà_été"),
+        (misread("Größe", "utf-8", "cp1252") + "/" + misread("загрузка", "utf-8", "cp1251"), "Größe/загрузка"),  # two encodings in a word
+        (misread("проверка", "utf-8", "cp1251") + "," + misread("この設定", "utf-8", "cp1252") + ",naïve", "проверка,この設定,naïve"),
+        ("使われていない設定を削除。" + misread("二つ目の分岐にはまだテスト", "utf-8", "cp1252") + "。使われていない設定", "使われていない設定を削除。二つ目の分岐にはまだテスト。使われていない設定"),  # no blanks at all
+        ("Gr��e" + misread("Größe", "utf-8", "cp1252"), "Gr��eGröße"),
+    ],
+)
+def test_spans_are_cut_at_characters(bad, good):
+    assert fixed(bad) == good and fixed(good) == good
+
+
+def test_paths_are_exact():
+    """Against all labellings of short words, one by one."""
+    from itertools import product
+
+    model = garbled.Model()
+    states = [garbled.SOUND, *(n for n, s in enumerate(garbled.STATES) if s.name in ("utf-8>cp1252", "cp1251>cp1252"))]
+
+    def brute(word):
+        best = {}
+
+        def walk(at, state, before, total, out):
+            if at == len(word):
+                total += model.step(before, "w")
+                key = state
+                if key not in best or total < best[key][0]:
+                    best[key] = (total, out)
+                return
+            c, first = word[at], next(j for j, x in enumerate(word) if x >= "\x80")
+            if c < "\x80":
+                more, after = model.emit(before, c)
+                walk(at + 1, state, after, total + more, out + c)
+                return
+            inside = garbled.INSIDE if at > first else 0.0
+            for s in states:
+                move = 0.0
+                if s != state:
+                    move += (model.leave[state] + inside if state != garbled.SOUND else 0.0) + (model.enter[s] + inside if s != garbled.SOUND else 0.0)
+                u = garbled._unit(garbled.STATES[s], word, at, 1) if s != garbled.SOUND else None
+                if s != garbled.SOUND and s != state and u is None:
+                    continue
+                more, after = model.emit(before, c)
+                walk(at + 1, s, after, total + move + more + (garbled.ODD if s != garbled.SOUND else 0.0), out + c)
+                if u is not None:
+                    more, after = model.emit(before, u[0])
+                    walk(at + u[1], s, after, total + move + more + model.stay[s], out + u[0])
+
+        walk(0, garbled.SOUND, "ww", 0.0, "")
+        return min(best.values())
+
+    alphabet = ["Ã©", "é", "x", "ï", "Ñ", "Ã", "¼"]
+    for k in (1, 2, 3, 4):
+        for parts in product(alphabet, repeat=k):
+            word = "".join(parts)
+            if word.isascii() or len(word) > 5:
+                continue
+            found = {s: w for s, w in garbled.paths(word, garbled.SOUND, model).items()}
+            shown = [p for w in found.values() for p in w[1]]
+            if any(s not in states for s, *_ in shown):
+                continue  # explained by a state that isn't among the three
+            total, text = brute(word)
+            mine, spans = min(found.values())
+            assert mine <= total + 1e-9 and garbled.restore(word, [("", p, n, t) for _, p, n, t in spans]) == text, word
+
+
 def test_queries_run(spark, sf):
     from millrace.llm import queries
 
