@@ -336,6 +336,7 @@ class Model:
         self.leave = {n: trained.get("leave", {}).get(n, LEAVE) for n in states}
         self.stay = {n: -math.log(1 - math.exp(-c)) for n, c in self.leave.items()}
         self.steps: dict[str, float] = {}
+        self.emitted: dict[tuple[str, str], tuple[float, str]] = {}
 
     def step(self, before: str, k: str) -> float:
         """What it costs that a character of class ``k`` follows two of classes ``before``, whatever the character."""
@@ -354,16 +355,26 @@ class Model:
         return known
 
     def emit(self, before: str, c: str) -> tuple[float, str]:
-        k = kind(c)
-        return self.step(before, k) + (self.costs[c] if c >= "\x80" else 0.0), before[1] + k
+        """Cost of a character after two of classes ``before``, and the classes for the next one."""
+        known = self.emitted.get((before, c))
+        if known is None:
+            if len(self.emitted) >= MOST_KEPT:
+                self.emitted.clear()
+            k = kind(c)
+            known = self.emitted[before, c] = (self.step(before, k) + (self.costs[c] if c >= "\x80" else 0.0), before[1] + k)
+        return known
+
+    def least(self, c: str) -> float:
+        """What a character costs at least, whatever it follows."""
+        return max(0.0, self.costs[c] - 1.5)
 
 
 def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]:
     """Best ways through a word from a state: state at its end -> (cost, spans), a span being (state, offset, length, original).
 
     A mode is a state, the classes of the last two characters, and in a wide state the bytes of an unfinished character and the
-    number of a lost one's to come. A mode that costs more than the clean one, entering its state anew and SLACK is given up, as
-    nothing is lost by that."""
+    number of a lost one's to come. A mode is given up if it costs more than the clean one, entering its state anew and SLACK, or
+    if with the least that the rest of the word can cost it ends above the clean path and entering its state after the word."""
     ways: list[dict | None] = [None] * (len(word) + 1)  # mode -> (cost, link)
     ways[0] = {(start, "ww", b"", 0): (0.0, None)}
     enter, leave, stay, emit = model.enter, model.leave, model.stay, model.emit
@@ -377,6 +388,30 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
 
     i, n = 0, len(word)
     first = next((j for j, c in enumerate(word) if c >= "\x80"), n)
+    units: list[dict | None] = [_units(word, j) if c >= "\x80" else None for j, c in enumerate(word)]
+    wide = any(u is not None and any(STATES[o].wide for o in u) for u in units)
+    rest_of = [0.0] * (n + 1)
+    for j in range(n - 1, -1, -1):
+        if units[j] is None:
+            rest_of[j] = rest_of[j + 1]
+        else:
+            c = word[j]
+            low = min(model.least(c), 1.0) if wide or c == LOST else model.least(c)
+            rest_of[j] = min([low + rest_of[j + 1], *(model.least(u[0]) + rest_of[j + u[1]] for u in units[j].values() if u is not None)])
+    limit, before = model.leave[start] if start != SOUND else 0.0, "ww"
+    for c in word:
+        more, before = emit(before, c)
+        limit += more
+    limit += model.step(before, "w") + 1e-9
+    # a path in one state throughout bounds the clean end as well
+    for s in {o for u in units if u for o, x in u.items() if x is not None} if limit > ENTER else ():
+        total, before, j = leave[s] + 1e-9 + (0.0 if s == start else enter[s] + (leave[start] if start != SOUND else 0.0)), "ww", 0
+        while j < n and total < limit:
+            u = units[j].get(s) if units[j] is not None else None
+            more, after = emit(before, u[0] if u else word[j])
+            total += more + (stay[s] if u else ODD if units[j] is not None else 0.0)
+            before, j = after, j + (u[1] if u else 1)
+        limit = min(limit, total + model.step(before, "w")) if j >= n else limit
     while i < n:
         inside = INSIDE if i > first else 0.0
         here = ways[i]
@@ -393,7 +428,8 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
                     here[sound] = (out, link)
         base = min((w[0] for m, w in here.items() if m[0] == SOUND), default=None)
         if base is not None:
-            for mode in [m for m, w in here.items() if w[0] >= base + SLACK + (enter[m[0]] if m[0] != SOUND else 0.0)]:
+            low = min(base + SLACK, limit - rest_of[i])
+            for mode in [m for m, w in here.items() if w[0] > low + (enter[m[0]] if m[0] != SOUND else 0.0)]:
                 del here[mode]
         if c < "\x80":
             end = i + 1
@@ -409,14 +445,13 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
                 go(end, (s, tail or before, b"", 0), total, link)
             i = end
             continue
-        others = (*((GONE,) if c == LOST else ()), *_entered(word, i))
-        if others:
-            for (s, before, _, _), (total, link) in list(here.items()):
-                if s == SOUND:
-                    for o in others:
-                        mode = (o, before, b"", 0)
-                        if mode not in here or total + enter[o] + inside < here[mode][0]:
-                            here[mode] = (total + enter[o] + inside, link)
+        found = units[i]
+        for (s, before, _, _), (total, link) in list(here.items()):
+            if s == SOUND:
+                for o in (*((GONE,) if c == LOST else ()), *found):
+                    mode, into = (o, before, b"", 0), total + enter[o] + inside
+                    if into + rest_of[i] < limit + enter[o] and (mode not in here or into < here[mode][0]):
+                        here[mode] = (into, link)
         for (s, before, part, rest), (total, link) in here.items():
             if s == SOUND:
                 more, after = emit(before, c)
@@ -425,7 +460,7 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
                 if c == LOST:
                     go(i + 1, (s, before[1] + "r", b"", 0), total + LOST_GARBLED, (link, s, i, 1, LOST))
             elif not STATES[s].wide:
-                u = _unit(STATES[s], word, i, STATES[s].times)
+                u = found.get(s)
                 if u is not None:
                     more, after = emit(before, u[0])
                     go(i + u[1], (s, after, b"", 0), total + more + stay[s], (link, s, i, u[1], u[0]))
@@ -451,21 +486,29 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
     return {s: (total, _spans(link)) for s, (total, link) in out.items() if s == SOUND or total < out[SOUND][0] + enter[s]}
 
 
-@lru_cache(maxsize=1 << 16)
-def _entering(piece: str) -> tuple[int, ...]:
-    out = []
+#: Number of the state of each pair, read once, twice and three times.
+_DEEPER = {n: tuple(m for m, t in enumerate(STATES) if (t.written, t.read) == (s.written, s.read) and t.times > 1) for n, s in enumerate(STATES) if s.times == 1 and not s.wide}
+
+
+@lru_cache(maxsize=1 << 17)
+def _plain_units(piece: str) -> dict[int, tuple[str, int] | None]:
+    """State -> unit (original character, characters taken) at the start of a piece; for wide states, whose units depend on what
+    came before, None."""
+    out: dict[int, tuple[str, int] | None] = {}
     for n, s in enumerate(STATES):
-        if not s.wide:
-            if _unit(s, piece, 0, s.times) is not None:
-                out.append(n)
-        elif piece[0] != LOST and (raw := _encoded(piece[0], s.read)) is not None and _sequences(raw, 0) is not None:
-            out.append(n)
-    return tuple(out)
+        if s.wide:
+            if piece[0] != LOST and (raw := _encoded(piece[0], s.read)) is not None and _sequences(raw, 0) is not None:
+                out[n] = None
+        elif s.times == 1 and (u := _unit(s, piece, 0, 1)) is not None:
+            out[n] = u
+    return out
 
 
-def _entered(word: str, at: int) -> tuple[int, ...]:
-    """States that can have emitted a unit here; none of them looks further than the longest unit."""
-    return _entering(word[at : at + LONGEST_UNIT])
+def _units(word: str, at: int) -> dict[int, tuple[str, int] | None]:
+    """The same at a place of a word, with states of texts read twice and more: these need a unit of the text read once."""
+    plain = _plain_units(word[at : at + 4])
+    deeper = {m: u for n in plain for m in _DEEPER.get(n, ()) if (u := _unit(STATES[m], word, at, STATES[m].times)) is not None}
+    return {**plain, **deeper} if deeper else plain
 
 
 def _spans(link: tuple | None) -> tuple:
@@ -639,7 +682,6 @@ def _add(counts: Counter, clean: Counter) -> None:
 
 
 _NUMBERS = {name_of(n): n for n in (GONE, *range(len(STATES)))}
-LONGEST_UNIT = max(4**s.times if s.written == "utf-8" else 2 for s in STATES)
 
 
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> dict:
