@@ -4,7 +4,8 @@ Files smaller than both sizes in force at their flush are candidates. Candidates
 records) count once, also where one of the two is merged already. The rest is assigned, longest first, to a fixed number of groups per topic and partition with a
 least-loaded heap. Only file ids and sizes take part in that; a topic partition of very many files is planned in hashed
 shards, so that no task holds an unbounded list. Groups are streamed into Parquet by pyarrow, every attempt under its own
-name, and one manifest that lists what was verified is published by an atomic rename: readers see all or nothing.
+name in a folder of the job's, read back and compared with their sources group by group. One manifest per job lists what was
+verified and appears whole or not at all; jobs on one target don't overwrite each other's.
 """
 
 from __future__ import annotations
@@ -84,18 +85,28 @@ def _records(content: str = "file_content") -> F.Column:
     return F.filter(F.split(F.coalesce(content, F.lit("")), r"\r\n|\n|\r"), lambda x: x.rlike(r"\S"))
 
 
+def _low(record: F.Column) -> F.Column:
+    return F.xxhash64(record).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _high(record: F.Column) -> F.Column:
+    return F.shiftrightunsigned(F.xxhash64(record), 32)
+
+
 def live(files: DataFrame, settings: DataFrame, check: bool = False, merged: bool = True) -> DataFrame:
     """One row per live file: its sizes, limits, ``small`` (below both limits) and ``duplicate_of``: the smallest file_id of
     the same flush (same topic, partition, offsets and records; null for the first), or with ``merged`` the live file that holds
     its records since the flush's other copy was merged. The contents are read once, here, and for ``merged`` those of replaced
-    files. ``check`` adds a hash of the records that doesn't depend on their order."""
+    files. ``check`` adds the sum of the records' hashes, in two halves: it doesn't depend on their order, and equal records don't
+    cancel out."""
     ship(files.sparkSession)
     sized = measured(files, settings)
     digest = F.md5(F.array_join(_records(), "\n"))
     is_small = (F.col("true_records") < F.col("limit_records")) & (F.col("true_bytes") < F.col("limit_bytes"))
     sized = sized.withColumn("digest", digest).withColumn("small", is_small)
     if check:
-        sized = sized.withColumn("check", F.aggregate(_records(), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x))))
+        none = F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"))
+        sized = sized.withColumn("check", F.aggregate(_records(), none, lambda acc, x: F.struct((acc["low"] + _low(x)).alias("low"), (acc["high"] + _high(x)).alias("high"))))
     sized = cut(sized.drop("file_content"))
     first = sized.groupBy(*[F.col(c).alias(f"f_{c}") for c in _FLUSH]).agg(F.min("file_id").alias("first_file"))
     same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in _FLUSH]
@@ -204,7 +215,7 @@ def _write(target: str):
                 if key != current:
                     if writer is not None:
                         yield close()
-                    current, state = key, {"path": f"{base}/data/{uuid.uuid4().hex}.parquet", "n_files": 0, "n_records": 0, "n_bytes": 0}
+                    current, state = key, {"path": f"{base}/{uuid.uuid4().hex}.parquet", "n_files": 0, "n_records": 0, "n_bytes": 0}
                     writer = pq.ParquetWriter(state["path"], _FILE, filesystem=fs, compression="zstd")
                 lines = _lines(row["file_content"])
                 size = sum(len(x.encode()) + 1 for x in lines)
@@ -223,40 +234,58 @@ def _write(target: str):
     return run
 
 
-def compact(files: DataFrame, settings: DataFrame, target: str) -> DataFrame:
+def _mismatches(todo: DataFrame, marked: DataFrame, written: DataFrame, folder: str) -> int:
+    """Groups whose merged file, as read back from storage, isn't what their sources hold: files, records, sum of hashes."""
+    keys = ["topic", "kafka_partition", "shard", "group_no"]
+    of_files = marked.select(F.col("file_id").alias("c_file"), "check")
+    want = todo.join(of_files, F.col("file_id") == F.col("c_file")).groupBy(*keys).agg(F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r"), F.sum("check.low").alias("low"), F.sum("check.high").alias("high"))
+    name = lambda c: F.element_at(F.split(c, "/"), -1).alias("name")
+    back = todo.sparkSession.read.schema("record string").parquet(folder).select(name("_metadata.file_path"), "record")
+    back = back.groupBy("name").agg(F.count(F.lit(1)).alias("b_r"), F.sum(_low(F.col("record"))).alias("b_low"), F.sum(_high(F.col("record"))).alias("b_high"))
+    have = written.select(*[F.col(k).alias(f"w_{k}") for k in keys], name("path"), "n_files").join(back, "name", "left")
+    both = want.join(have, [F.col(k).eqNullSafe(F.col(f"w_{k}")) for k in keys], "full_outer")
+    same = (F.col("f") == F.col("n_files")) & (F.col("r") == F.coalesce("b_r", F.lit(0))) & (F.col("low") == F.coalesce("b_low", F.lit(0))) & (F.col("high") == F.coalesce("b_high", F.lit(0)))
+    return both.where(~F.coalesce(same, F.lit(False))).count()
+
+
+def compact(files: DataFrame, settings: DataFrame, target: str, job: str | None = None) -> DataFrame:
     """Merges all small files into ``target`` (a URI or path all executors share) and returns the manifest's rows.
 
-    The manifest lists the merged files and every file they replace; repeated flushes are retired whatever their size, so
-    that merged and remaining files hold each record once.
+    The manifest, ``manifest-<job>.json``, lists the merged files and every file they replace; repeated flushes are retired
+    whatever their size, so that merged and remaining files hold each record once. ``job`` is a name of its own for every job, made
+    up if not given; one that is published already is refused.
 
-    Every group is written by one task, a file's records at a time. Before ``manifest.json`` appears, the merged files are read
-    back and their records compared with the sources' (count and an order-free hash); without it nothing counts as written."""
+    Every group is written by one task, a file's records at a time, below ``data/<job>``. Before the manifest appears, every merged
+    file is read back and compared with its sources; without it nothing counts as written. Files of failed attempts are deleted."""
+    job = job or uuid.uuid4().hex
     uri = target if "://" in target or target.startswith("file:") else f"file://{os.path.abspath(target)}"
     uri = uri.replace("file:///", "file:/", 1).replace("file:/", "file:///", 1)
     fs, base = pafs.FileSystem.from_uri(uri)
-    fs.create_dir(f"{base}/data", recursive=True)
+    published = f"{base}/manifest-{job}.json"
+    if fs.get_file_info(published).type != pafs.FileType.NotFound:
+        raise FileExistsError(f"job {job} is published already")
+    fs.create_dir(f"{base}/data/{job}", recursive=True)
     marked = cut(live(files, settings, check=True))
     todo = cut(plan(files, settings, marked).where("duplicate_of is null"))
     keys = ["topic", "kafka_partition", "shard", "group_no"]
-    sums = [F.count(F.lit(1)).alias("f"), F.sum("true_records").alias("r"), F.bit_xor("check").alias("x")]
-    want = marked.where("small and duplicate_of is null").agg(*sums).first()
     ids = todo.select(*keys, "file_id")
     # with a plan of checked size the contents are shuffled once, to their groups; beyond it they are joined by shuffle first
-    rows = files.select("file_id", "file_content").join(F.broadcast(ids) if want.f <= BROADCAST_FILES else ids, "file_id")
-    written = cut(rows.select(*keys, "file_id", "file_content").repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(uri), _WRITTEN))
-    # what is on storage is read again, only files of finished attempts, and compared with the sources: files, records, hash
-    name = lambda c: F.element_at(F.split(c, "/"), -1).alias("name")
-    back = files.sparkSession.read.schema("record string").parquet(f"{uri}/data").select("record", name("_metadata.file_path"))
-    back = back.join(written.select(name("path")), "name", "left_semi").agg(F.count(F.lit(1)).alias("r"), F.bit_xor(F.xxhash64("record")).alias("x")).first()
-    n_files = written.agg(F.sum("n_files")).first()[0] or 0
-    if (want.f, want.r or 0, want.x or 0) != (n_files, back.r, back.x or 0):
-        raise OSError(f"planned {want.f} files and {want.r} records, wrote {n_files} and {back.r}, or their records differ")
-    published = f"{base}/manifest.json"
-    part = f"{base}/.manifest-{uuid.uuid4().hex}"
+    rows = files.select("file_id", "file_content").join(F.broadcast(ids) if todo.count() <= BROADCAST_FILES else ids, "file_id")
+    written = cut(rows.select(*keys, "file_id", "file_content").repartition(*keys).sortWithinPartitions(*keys, "file_id").mapInArrow(_write(f"{uri}/data/{job}"), _WRITTEN))
+    if not todo.isEmpty() and (n := _mismatches(todo, marked, written, f"{uri}/data/{job}")):
+        raise OSError(f"{n} merged files aren't what their sources hold; nothing was published")
+    # an object appears when it is closed; elsewhere a file is written aside and renamed
+    part = published if fs.type_name in ("s3", "gcs", "abfs") else f"{base}/.manifest-{uuid.uuid4().hex}"
+    names = set()
     with fs.open_output_stream(part) as out:
         for r in written.orderBy(*keys).toLocalIterator():  # a row per output file, streamed
+            names.add(r.path.rpartition("/")[2])
             out.write((json.dumps(r.asDict()) + "\n").encode())
         for r in marked.where("small or duplicate_of is not null").select("file_id", "duplicate_of").orderBy("file_id").toLocalIterator():
             out.write((json.dumps({"retired": r.file_id, "duplicate_of": r.duplicate_of}) + "\n").encode())
-    fs.move(part, published)
+    if part != published:
+        fs.move(part, published)
+    for left in fs.get_file_info(pafs.FileSelector(f"{base}/data/{job}")):
+        if left.base_name not in names and left.is_file:
+            fs.delete_file(left.path)
     return written

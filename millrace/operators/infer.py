@@ -1,6 +1,6 @@
 """Schema inference for schemaless records.
 
-Every task folds the types of its records into one tree; the trees are distinct few and are folded on the driver. The fold
+Every task folds the types of its records into one tree, a few tasks fold these, and the driver the last few. The fold
 follows the unification lattice, is associative and commutative, and keeps one sample value per field and type, so that a
 conflict can be shown. Whole numbers are int32 where they fit, else int64; fractions float64; text that is an ISO time is a
 timestamp unless its field's name is like an identifier's; null-valued fields and empty arrays have no type.
@@ -22,9 +22,11 @@ from millrace.functions import clock, idents
 from millrace.functions import timestamps as ts
 from millrace.functions.jsonx import describe
 from millrace.operators.unify import SchemaConflict
-from millrace.session import registry_rows, ship
+from millrace.session import ship
 
 _ID_LIKE = re.compile(ts.ID_LIKE)
+#: Trees that are folded on the driver; those of the tasks are folded into so many before.
+LAST_TREES = 16
 _NUMBER_RANK = ("boolean", "int32", "int64", "float64")
 
 
@@ -124,10 +126,18 @@ def schema_tree(df: DataFrame, value: str) -> dict | None:
         if out is not None:
             yield pd.DataFrame({"tree": [json.dumps(_ordered(out))]})
 
+    def again(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = None
+        for pdf in it:
+            for tree in pdf["tree"]:
+                out = fold(out, json.loads(tree))
+        if out is not None:
+            yield pd.DataFrame({"tree": [json.dumps(_ordered(out))]})
+
     ship(df.sparkSession)
-    trees = df.select(F.col(idents.column(value)).alias("v")).mapInPandas(run, "tree string").distinct()
+    trees = df.select(F.col(idents.column(value)).alias("v")).mapInPandas(run, "tree string")
     out = None
-    for r in registry_rows(trees):  # at most one tree per task
+    for r in trees.repartition(LAST_TREES).mapInPandas(again, "tree string").collect():  # so many rows at most
         out = fold(out, json.loads(r.tree))
     return _ordered(out)
 

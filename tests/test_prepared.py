@@ -281,7 +281,7 @@ def test_compaction_keeps_every_record_once(spark, lake, tmp_path):
 
     files, settings_ = lake
     done = compaction.compact(files, settings_, str(tmp_path / "out")).collect()
-    entries = [json.loads(x) for x in (tmp_path / "out/manifest.json").read_text().splitlines()]
+    entries = [json.loads(x) for x in next((tmp_path / "out").glob("manifest-*.json")).read_text().splitlines()]
     manifest = [m for m in entries if "path" in m]
     assert {(m["retired"], m["duplicate_of"]) for m in entries if "retired" in m} == {(i, None) for i in (1, 3, 6, 7, 8, 9, 10, 11)} | {(5, 1), (13, 2)}
     assert {r.path for r in done} == {m["path"] for m in manifest}
@@ -318,10 +318,33 @@ def test_compaction_of_a_flush_merged_under_another_id(spark, lake, tmp_path):
     assert {r.file_id for r in compaction.found(files, settings_).collect()} == set(dup)
     done = compaction.compact(files.where("file_id <= 6"), settings_, str(tmp_path / "out")).collect()
     assert sorted(x for r in done for x in pq.read_table(r.path)["record"].to_pylist()) == sorted(line(1, 2, 3, 4, 4).split())
-    retired = {m["retired"]: m["duplicate_of"] for m in map(json.loads, (tmp_path / "out/manifest.json").read_text().splitlines()) if "retired" in m}
+    retired = {m["retired"]: m["duplicate_of"] for m in map(json.loads, next((tmp_path / "out").glob("manifest-*.json")).read_text().splitlines()) if "retired" in m}
     assert retired == {4: 6, 5: 6, 6: None}
 
 
+def test_jobs_on_one_target_and_a_fault(spark, lake, tmp_path):
+    """Two jobs leave two manifests, a published job isn't repeated, and a pair lost for another pair written twice is seen."""
+    import pyarrow.parquet as pq
+
+    files, settings_ = lake
+    target = str(tmp_path / "out")
+    for job in ("one", "two"):
+        compaction.compact(files, settings_, target, job)
+    assert sorted(p.name for p in (tmp_path / "out").glob("manifest-*")) == ["manifest-one.json", "manifest-two.json"]
+    with pytest.raises(FileExistsError):
+        compaction.compact(files, settings_, target, "one")
+    two = spark.createDataFrame([(1, "z", 0, 0, 3, None, None, 1, None, None, "a\na\nb\nb\n", "d", 1)], FILES)
+    marked = compaction.live(two, settings_, check=True)
+    todo = compaction.plan(two, settings_, marked)
+    compaction.compact(two, settings_, str(tmp_path / "z"), "z")
+    path = next((tmp_path / "z/data/z").glob("*.parquet"))
+    written = spark.createDataFrame([("z", 0, 0, 0, str(path), 1, 4, 8)], compaction._WRITTEN)
+    assert compaction._mismatches(todo, marked, written, str(tmp_path / "z/data/z")) == 0
+    t = pq.read_table(path)
+    pq.write_table(t.set_column(2, "record", [["a", "a", "a", "a"]]), path)
+    assert compaction._mismatches(todo, marked, written, str(tmp_path / "z/data/z")) == 1
+
+
 # -------------------------------------------------------------------------------------------------- 4
 
 
