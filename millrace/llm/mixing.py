@@ -2,7 +2,7 @@
 
 The size of a mix is cut into blocks of equal tokens. Sainte-Lague apportionment gives each block to the source of highest
 quotient, so that sources get integer numbers of blocks; the same rule then shares a source's blocks among its shards, hash
-ranges of its documents, which bound what any task orders. Within a shard the documents stand in an order drawn from the
+ranges of its documents, which bound what any task orders; very many shards are dealt theirs in two steps. Within a shard the documents stand in an order drawn from the
 seed: each is taken as often as the whole shard fits into its quota, and those first in the order once more for the rest.
 """
 
@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import heapq
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut, registry_rows
+from millrace.session import cut, registry_rows, ship
 
 #: Blocks of a mix; the size of a mix is met to about one part in this.
 BLOCKS = 10_000
-#: Documents of one shard, about, and shards of one source at most.
+#: Documents of one shard, about. Shards are dealt their quotas by the driver in at most so many parts; where there are more shards,
+#: each part deals its own among them, in tasks.
 SHARD_DOCS = 50_000
-MOST_SHARDS = 4096
+MOST_PARTS = 4096
+#: Blocks per shard when a part deals its quota.
+FINE = 8
 
 
 def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None) -> list[int]:
@@ -87,26 +91,56 @@ def quotas(targets: list, totals: dict[str, dict[int, int]], corpus_tokens: int,
     return out
 
 
-def choose(counts: DataFrame, targets: DataFrame, seed: int = 0, blocks: int = BLOCKS, shard_docs: int = SHARD_DOCS) -> tuple[DataFrame, DataFrame]:
+def deal(tokens: list[int], quota: int, repeats: int) -> list[int]:
+    """A part's quota among its shards, by the same rule, in blocks of about an eighth of a shard's share; none gets more than its
+    tokens times ``repeats``."""
+    if quota >= repeats * sum(tokens):
+        return [t * repeats for t in tokens]
+    block = max(1, quota // (FINE * len(tokens)))
+    caps = [-(-t * repeats // block) for t in tokens]
+    return [min(b * block, t * repeats) for b, t in zip(sainte_lague(tokens, quota // block, caps), tokens, strict=True)]
+
+
+_PLAN = "mix_name string, source string, shard int, quota long, max_repeats int, shard_tokens long"
+
+
+def _dealt(usable: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan of parts as one of shards."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("shard").reset_index(drop=True)
+        quota = deal([int(t) for t in pdf["t"]], int(pdf["quota"][0]), int(pdf["max_repeats"][0]))
+        return pdf[["mix_name", "source", "shard"]].assign(quota=quota, max_repeats=pdf["max_repeats"], shard_tokens=pdf["t"])
+
+    per_shard = usable.groupBy("source", "part", "shard").agg(F.sum("n_tokens").alias("t"))
+    parts = plan.withColumnRenamed("shard", "part").drop("shard_tokens")
+    return per_shard.join(F.broadcast(parts), ["source", "part"]).groupBy("mix_name", "source", "part").applyInPandas(one, _PLAN).where("quota > 0")  # the plan has at most MOST_PARTS rows a mix and source
+
+
+def choose(counts: DataFrame, targets: DataFrame, seed: int = 0, blocks: int = BLOCKS, shard_docs: int = SHARD_DOCS, most_parts: int = MOST_PARTS) -> tuple[DataFrame, DataFrame]:
     """(chosen, shares) from counts (doc_id, source, n_tokens).
 
     chosen: mix_name, source, doc_id, n_tokens, repeats (1 to max_repeats). shares: a row per mix and source: target_share,
     target_tokens, available_tokens, actual_tokens, actual_share (of what was drawn), reached. Documents without source
     or without tokens are never drawn but count to the corpus; sources without documents get a row with nothing drawn."""
     spark = counts.sparkSession
+    ship(spark)
     n_docs, corpus = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    n_shards = max(1, min(MOST_SHARDS, -(-n_docs // shard_docs)))
+    n_shards = max(1, -(-n_docs // shard_docs))
+    n_parts = min(n_shards, most_parts)
+    n_shards = -(-n_shards // n_parts) * n_parts  # as many in each part
     wanted = registry_rows(targets.select("mix_name", "corpus_ratio", "source", "target_share", "max_repeats"))
     shard = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(n_shards)).cast("int")
     sources = sorted({r.source for r in wanted if r.source is not None})
-    usable = counts.where((F.col("n_tokens") > 0) & F.col("source").isin(sources)).withColumn("shard", shard)
+    usable = counts.where((F.col("n_tokens") > 0) & F.col("source").isin(sources)).withColumn("shard", shard).withColumn("part", F.pmod("shard", F.lit(n_parts)))
     totals: dict[str, dict[int, int]] = {}
-    per_shard = usable.groupBy("source", "shard").agg(F.sum("n_tokens").alias("t"))
-    for r in registry_rows(per_shard, MOST_SHARDS * max(1, len(sources))):  # at most shards times sources rows
-        totals.setdefault(r.source, {})[r.shard] = r.t
+    per_part = usable.groupBy("source", "part").agg(F.sum("n_tokens").alias("t"))
+    for r in registry_rows(per_part, most_parts * max(1, len(sources))):  # at most parts times sources rows
+        totals.setdefault(r.source, {})[r.part] = r.t
     rows = quotas(wanted, totals, corpus, blocks)
-    schema = "mix_name string, source string, shard int, quota long, max_repeats int, shard_tokens long"
-    plan = spark.createDataFrame([(m, s, h, q, k, totals[s][h]) for m, s, h, q, k, _ in rows if q > 0], schema)
+    plan = spark.createDataFrame([(m, s, h, q, k, totals[s][h]) for m, s, h, q, k, _ in rows if q > 0], _PLAN)
+    if n_shards > n_parts:
+        plan = cut(_dealt(usable, plan))
     drawn = usable.join(plan, ["source", "shard"])
     order = Window.partitionBy("mix_name", "source", "shard").orderBy(F.xxhash64(F.lit(seed), "mix_name", "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = F.sum("n_tokens").over(order)

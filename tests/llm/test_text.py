@@ -150,6 +150,23 @@ def test_mix_meets_its_shares(spark):
     assert other != again
 
 
+def test_parts_deal_to_shards(spark):
+    """Two steps meet the targets as one does, and no document comes too often."""
+    import random
+
+    assert mixing.deal([10, 20, 30], 60, 1) == [10, 20, 30] and mixing.deal([10, 10], 100, 2) == [20, 20]
+    assert sum(mixing.deal([100, 300, 600], 500, 1)) == pytest.approx(500, rel=0.05)
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice(["a", "a", "a", "b"]), rnd.randint(1, 50)) for i in range(4000)]
+    counts = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("m", 0.5, "a", 0.3, 1), ("m", 0.5, "b", 0.7, 2)], MIX)
+    for parts in (4096, 4):
+        chosen, shares = mixing.choose(counts, targets, shard_docs=100, most_parts=parts)
+        assert all(abs(r.actual_tokens - r.target_tokens) < 0.03 * r.target_tokens for r in shares.collect()), parts
+        got = chosen.collect()
+        assert len({r.doc_id for r in got}) == len(got) and max(r.repeats for r in got) <= 2
+
+
 def test_mix_of_nothing(spark):
     counts = spark.createDataFrame([], "doc_id bigint, source string, n_tokens bigint")
     targets = spark.createDataFrame([("a", 0.5, "big", 1.0, 1), ("n", None, "big", None, None)], MIX)
