@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,11 +15,12 @@ from pyspark.util import inheritable_thread_target
 from millrace import config, routing
 from millrace import types as mt
 from millrace.functions import idents
+from millrace.functions import timestamps as ts
 from millrace.metrics import Metrics
 from millrace.operators import dlq, infer, typed, unify
 from millrace.operators.evolve import IncompatibleType
-from millrace.session import read_table, scratch
-from millrace.sources import arrow_ipc
+from millrace.session import read_table, scratch, ship
+from millrace.sources import arrow_ipc, avro
 from millrace.sources.store import check_location
 from millrace.sources.table import Catalog, Table, TableMissing
 from millrace.streaming.stream import Sink, admission, records
@@ -62,6 +65,26 @@ def typed_records(spark: SparkSession, sf: str) -> DataFrame:
     return typed.decode(rows, "s", "v")
 
 
+_EVENT = json.dumps({"type": "record", "name": "Event", "fields": [
+    {"name": "event_id", "type": "long"}, {"name": "user_id", "type": ["null", "long"]}, {"name": "ts", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+    {"name": "event_type", "type": {"type": "enum", "name": "Kind", "symbols": ["click", "view", "purchase", "signup", "error"]}}, {"name": "value", "type": ["double", "null"]}]})
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, ts, event_type, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events")
+def avro_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows to Avro records and back, framed, with nulls in unions."""
+    e = read_table(spark, sf, "events")
+    rows = e.select("event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"), ts.micros("ts").alias("ts"), "event_type", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
+
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = avro._resolved(json.loads(_EVENT), {})
+        for batch in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\0\0\0\0\1" + avro.encode(r, schema) for r in batch.to_pylist()], pa.binary())], names=["v"])
+
+    ship(spark)
+    return avro.decode(rows.mapInArrow(pack, "v binary"), "v", _EVENT, framed=True)
+
+
 @_query("SELECT * FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('user_id', 'bigint'), ('event_type', 'string'), ('value', 'double'), ('props', 'string')) t(name, type)")
 def ipc_derived_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The schema of payloads from their own headers."""

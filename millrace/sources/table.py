@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -34,6 +35,8 @@ CHECKPOINT = 20
 BROADCAST_ROWS = 100_000
 #: Rewritten files have about so many bytes; a batch's row counts as so many.
 FILE_BYTES = 128 << 20
+#: Footers read at a time.
+READERS = 16
 #: An upsert that rewrites at most so many bytes is written by one task, as one file.
 ONE_FILE_BYTES = 16 << 20
 ROW_BYTES = 100
@@ -197,9 +200,7 @@ class Table:
         return df.select(*cols)
 
     def _write(self, df: DataFrame, parts: tuple[str, ...], keys: list[str], max_records: int = 0) -> dict:
-        """Writes rows under a folder of their own; returns the files' entries, with the key's bounds from the footers."""
-        import pyarrow.parquet as pq
-
+        """Writes rows under a folder of their own; returns the files' entries, with their rows and the first key's bounds."""
         folder = f"data/{uuid.uuid4().hex}"
         parsed = partitions.parse(list(parts))
         out = df.select("*", *[p.expression().alias(p.hidden) for p in parsed])
@@ -209,19 +210,31 @@ class Table:
         if max_records:
             w = w.option("maxRecordsPerFile", max_records)
         (w.partitionBy(*[p.hidden for p in parsed]) if parsed else w).parquet(self.store.at(folder))
-        files = {}
+        entries = {}
         for path, size, _ in self.store.tree(folder):
-            values = {k: unquote(v) for k, _, v in (x.partition("=") for x in path.split("/")) if k.startswith("__p_")}
-            entry = {"bytes": size, "parts": values}
-            if self.store.local is not None:
+            entries[path] = {"bytes": size, "parts": {k: unquote(v) for k, _, v in (x.partition("=") for x in path.split("/")) if k.startswith("__p_")}}
+        known = self._bounds(entries, folder, df, keys)
+        return {path: {**e, **known[path]} for path, e in entries.items() if known.get(path, {}).get("rows")}
+
+    def _bounds(self, entries: dict, folder: str, df: DataFrame, keys: list[str]) -> dict[str, dict]:
+        """Rows of new files and the first key's bounds: from the footers of local files, a few at a time, elsewhere by a job that reads
+        that column alone."""
+        if self.store.local is not None:
+            import pyarrow.parquet as pq
+
+            def one(path: str) -> tuple[str, dict]:
                 meta = pq.ParquetFile(f"{self.store.local}/{path}").metadata
-                entry["rows"] = meta.num_rows
-                if not meta.num_rows:
-                    continue
-                if keys:
-                    entry["low"], entry["high"] = _bounds(meta, keys[0])
-            files[path] = entry
-        return files
+                low, high = _bounds(meta, keys[0]) if keys and meta.num_rows else (None, None)
+                return path, {"rows": meta.num_rows, "low": low, "high": high}
+
+            with ThreadPoolExecutor(READERS) as pool:
+                return dict(pool.map(one, entries))
+        rows = self.spark.read.schema(df.schema).parquet(self.store.at(folder))
+        first = F.col(idents.column(keys[0])) if keys else F.lit(None)
+        found = rows.select(F.col("_metadata.file_path").alias("f"), first.alias("k")).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
+        plain = lambda v: v if isinstance(v, (int, str)) and not isinstance(v, bool) else None
+        # a row per file just written, as the listing above
+        return {unquote(r.f[r.f.rfind("/data/") + 1 :]): {"rows": r.n, "low": plain(r.low), "high": plain(r.high)} for r in found.collect()}
 
     def write(self, df: DataFrame, keys: list[str] | None = None, auto_create: bool = False, partition_by: str | list[str] | None = None, stream: str | None = None, batch: int | None = None, mode: str = "last_wins", order: list[str] | None = None, retries: int = 10, max_records: int = 0, small: int = 0) -> str:
         """Appends or upserts a batch: upsert only with key columns and into a table that was there before. Returns what was

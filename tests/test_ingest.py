@@ -685,3 +685,28 @@ def test_quoting_in_columns_equals_quoting(spark):
     names = ["a", "a b", "a`b", "", "9x", "_z9", "é"]
     got = spark.createDataFrame([(n,) for n in [*names, None]], "n string").select("n", idents.quote_column("n").alias("q")).collect()
     assert {r.n: r.q for r in got} == {**{n: idents.quote(n) for n in names}, None: None}
+
+
+def test_avro_round_trip_and_refusals(spark):
+    from millrace.sources import avro
+
+    point = {"type": "record", "name": "P", "fields": [{"name": "x", "type": "int"}, {"name": "tags", "type": {"type": "array", "items": ["null", "string"]}}]}
+    schema = json.dumps({"type": "record", "name": "R", "fields": [
+        {"name": "p", "type": point}, {"name": "q", "type": ["null", "P"]}, {"name": "m", "type": {"type": "map", "values": "float"}}, {"name": "b", "type": "bytes"}, {"name": "f", "type": {"type": "fixed", "name": "F", "size": 2}},
+        {"name": "d", "type": {"type": "int", "logicalType": "date"}}, {"name": "t", "type": {"type": "int", "logicalType": "time-millis"}}, {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}}, {"name": "ok", "type": "boolean"}, {"name": "s", "type": "string"}, {"name": "n", "type": "long"}]})
+    row = {"p": {"x": -3, "tags": ["a", None]}, "q": None, "m": {"k": 1.5}, "b": b"hi", "f": b"zz", "d": 19723, "t": 3723004, "at": -1, "ok": True, "s": "é" * 5000, "n": -(1 << 62)}
+    data = avro.encode(row, schema)
+    empty = avro.encode({**row, "p": {"x": 0, "tags": []}, "m": {}, "s": "", "q": {"x": 9, "tags": ["c"]}}, schema)
+    df = spark.createDataFrame([(1, data), (2, None), (3, empty), (1, data)], "k int, v binary")
+    got = sorted(avro.decode(df, "v", schema, ["k"]).collect(), key=lambda r: r.k)
+    r = got[0]
+    assert len(got) == 4 and r.p.x == -3 and r.p.tags == ["a", None] and r.q is None and r.m == {"k": 1.5} and bytes(r.b) == b"hi" and bytes(r.f) == b"zz"
+    assert r.d == date(2024, 1, 1) and r.t == "01:02:03.004" and r["at"] == datetime(1969, 12, 31, 23, 59, 59, 999000) and r.ok and r.s == "é" * 5000 and r.n == -(1 << 62)
+    assert all(v is None for v in got[2][1:]) and got[3].q.x == 9 and got[3].p.tags == [] and got[3].m == {}
+    for bad in (data[:-1], data + b"x", b""):
+        with pytest.raises(Exception, match="record ends early|after a record"):
+            avro.decode(spark.createDataFrame([(bytearray(bad),)], "v binary"), "v", schema).collect()
+    for wrong in ('"int"', '{"type":"record","name":"R","fields":[{"name":"a","type":["int","string"]}]}', '{"type":"record","name":"R","fields":[{"name":"a","type":["null","R"]}]}', '{"type":"record","name":"R","fields":[{"name":"a","type":{"type":"bytes","logicalType":"decimal","precision":4}}]}'):
+        with pytest.raises(ValueError):
+            avro.spark_schema(wrong)
+    assert avro.decode(df.limit(0), "v", schema).count() == 0
