@@ -50,6 +50,12 @@ def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("topic", "kafka_partition", "shard", "group_no", "n_files", "n_records", "n_bytes")
 
 
+def p3_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Files, records and bytes in the merged files of each topic and partition."""
+    done = p3_groups(spark, sf).groupBy("topic", "kafka_partition")
+    return done.agg(F.sum("n_files").alias("n_files"), F.sum("n_records").alias("n_records"), F.sum("n_bytes").alias("n_bytes"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return timenorm.found(read_table(spark, sf, "intake_rows"), read_table(spark, sf, "sink_topics"))
 
@@ -69,7 +75,7 @@ def p5_kept(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("delivery_id", "topic", "kafka_partition", "kafka_offset")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p1_rows, p2_found, p2_rows, p2_typed, p3_found, p3_groups, p4_found, p4_status, p5_found, p5_kept)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_casts, p1_rows, p2_found, p2_rows, p2_typed, p3_found, p3_groups, p3_merged, p4_found, p4_status, p5_found, p5_kept)}
 
 ORACLES = {
     "p2_found": sql.REJECTS,
@@ -86,21 +92,6 @@ SELECT topic, field_name, CASE WHEN utc_us IS NOT NULL THEN 'normalised'
 FROM t LEFT JOIN f USING (row_id, field_name) GROUP BY ALL""",
     "p5_found": sql.COPIES + " SELECT * FROM copies",
     "p5_kept": sql.COPIES + " SELECT delivery_id, topic, kafka_partition, kafka_offset FROM sink_records WHERE delivery_id NOT IN (SELECT copy_id FROM copies)",
-    "p3_found": r"""
-WITH live AS (
-  SELECT file_id, topic, flushed_at,
-         len(regexp_extract_all(coalesce(file_content, ''), '[^ \t\x0B\f\r\n][^\r\n]*')) AS n,
-         coalesce(octet_length(encode(file_content)), 0) AS b
-  FROM data_files WHERE end_snapshot IS NULL),
-s AS (
-  SELECT l.file_id, x.setting_name, arg_max(x.setting_id, (x.valid_from, x.setting_id)) AS setting_id
-  FROM live l JOIN sink_settings x ON x.topic = l.topic AND x.valid_from <= l.flushed_at
-  WHERE x.setting_name IN ('flush.size', 'file.size.bytes') GROUP BY ALL),
-v AS (
-  SELECT s.file_id, s.setting_name, try_cast(trim(x.setting_value, E' \t\r\n') AS BIGINT) AS v
-  FROM s JOIN sink_settings x USING (setting_id))
-SELECT l.file_id FROM live l
-LEFT JOIN v f ON f.file_id = l.file_id AND f.setting_name = 'flush.size'
-LEFT JOIN v z ON z.file_id = l.file_id AND z.setting_name = 'file.size.bytes'
-WHERE l.n < coalesce(f.v, 1000000) AND l.b < coalesce(z.v, 268435456)""",
+    "p3_found": sql.SMALL,
+    "p3_merged": sql.MERGED,
 }

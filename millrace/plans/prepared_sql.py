@@ -1,4 +1,4 @@
-"""The longer SQL of problems 2, 4 and 5: what the operators find, said again in plain SQL."""
+"""The longer SQL of problems 2 to 5: what the operators find, said again in plain SQL."""
 
 REJECTS = r"""
 WITH r AS (
@@ -73,6 +73,53 @@ SELECT topic, field_path, count(t) AS n_values,
 FROM clean GROUP BY topic, field_path, ty"""
 )
 
+SMALL = r"""
+WITH live AS (
+  SELECT file_id, topic, flushed_at,
+         len(regexp_extract_all(coalesce(file_content, ''), '[^ \t\x0B\f\r\n][^\r\n]*')) AS n,
+         coalesce(octet_length(encode(file_content)), 0) AS b
+  FROM data_files WHERE end_snapshot IS NULL),
+s AS (
+  SELECT l.file_id, x.setting_name, arg_max(x.setting_id, (x.valid_from, x.setting_id)) AS setting_id
+  FROM live l JOIN sink_settings x ON x.topic = l.topic AND x.valid_from <= l.flushed_at
+  WHERE x.setting_name IN ('flush.size', 'file.size.bytes') GROUP BY ALL),
+v AS (
+  SELECT s.file_id, s.setting_name, try_cast(trim(x.setting_value, E' \t\r\n') AS BIGINT) AS v
+  FROM s JOIN sink_settings x USING (setting_id))
+SELECT l.file_id FROM live l
+LEFT JOIN v f ON f.file_id = l.file_id AND f.setting_name = 'flush.size'
+LEFT JOIN v z ON z.file_id = l.file_id AND z.setting_name = 'file.size.bytes'
+WHERE l.n < coalesce(f.v, 1000000) AND l.b < coalesce(z.v, 268435456)"""
+
+MERGED = (
+    "WITH small AS ("
+    + SMALL
+    + r"""),
+f AS (
+  SELECT *, list_filter(string_split_regex(coalesce(file_content, ''), '\r\n|\n|\r'), lambda x: regexp_matches(x, '[^ \t\x0B\f\r\n]')) AS recs FROM data_files),
+alive AS (SELECT * FROM f WHERE end_snapshot IS NULL),
+firsts AS (SELECT topic, kafka_partition, first_offset, last_offset, recs, min(file_id) AS first_file FROM alive GROUP BY ALL),
+gone AS (SELECT topic, kafka_partition, first_offset, last_offset, recs, min(end_snapshot) AS merged_at FROM f WHERE end_snapshot IS NOT NULL GROUP BY ALL),
+twins AS (
+  SELECT a.file_id, a.topic, a.kafka_partition, a.first_offset, a.last_offset, a.recs, g.merged_at FROM alive a JOIN gone g
+  ON a.topic IS NOT DISTINCT FROM g.topic AND a.kafka_partition IS NOT DISTINCT FROM g.kafka_partition AND a.first_offset = g.first_offset AND a.last_offset = g.last_offset AND a.recs = g.recs
+  WHERE len(a.recs) > 0),
+pairs AS (
+  SELECT t.file_id, h.file_id AS held_by, t.recs, h.recs AS held FROM twins t JOIN alive h
+  ON h.topic IS NOT DISTINCT FROM t.topic AND h.kafka_partition IS NOT DISTINCT FROM t.kafka_partition AND h.first_offset <= t.first_offset AND h.last_offset >= t.last_offset AND h.file_id <> t.file_id
+  WHERE (h.begin_snapshot IS NULL OR h.begin_snapshot >= t.merged_at)
+    AND (h.first_offset < t.first_offset OR h.last_offset > t.last_offset OR len(h.recs) > len(t.recs) OR h.file_id NOT IN (SELECT file_id FROM twins) OR h.file_id < t.file_id)),
+mine AS (SELECT file_id, held_by, r, count(*) AS n FROM (SELECT file_id, held_by, unnest(recs) AS r FROM pairs) GROUP BY ALL),
+theirs AS (SELECT file_id, held_by, r, count(*) AS n FROM (SELECT file_id, held_by, unnest(held) AS r FROM pairs) GROUP BY ALL),
+held AS (
+  SELECT file_id, min(held_by) AS held_by FROM (
+    SELECT m.file_id, m.held_by FROM mine m LEFT JOIN theirs t ON t.file_id = m.file_id AND t.held_by = m.held_by AND t.r = m.r
+    GROUP BY m.file_id, m.held_by HAVING bool_and(coalesce(t.n, 0) >= m.n)) GROUP BY file_id)
+SELECT a.topic, a.kafka_partition, count(*) AS n_files, CAST(sum(len(a.recs)) AS BIGINT) AS n_records, CAST(sum(coalesce(list_sum(list_transform(a.recs, lambda x: strlen(x) + 1)), 0)) AS BIGINT) AS n_bytes
+FROM alive a JOIN firsts s ON a.topic IS NOT DISTINCT FROM s.topic AND a.kafka_partition IS NOT DISTINCT FROM s.kafka_partition AND a.first_offset IS NOT DISTINCT FROM s.first_offset AND a.last_offset IS NOT DISTINCT FROM s.last_offset AND a.recs = s.recs
+WHERE a.file_id IN (SELECT file_id FROM small) AND a.file_id = s.first_file AND a.file_id NOT IN (SELECT file_id FROM held) GROUP BY ALL"""
+)
+
 TIMES = r"""
 WITH texts AS (
   SELECT row_id, topic, 'created_at' AS field_name, created_at AS raw FROM intake_rows WHERE created_at IS NOT NULL
