@@ -290,7 +290,8 @@ class Table:
         if mode == "strict":
             up.require_unique(rows, keys)
         with self.metrics.timer("upsertWithMergeInto"):
-            kept = rows = rows.persist()
+            kept = None if known else rows.persist()  # what was counted is kept already
+            rows = kept or rows
             try:
                 n, low, high = known or rows.agg(F.count(F.lit(1)), F.min(idents.column(keys[0])), F.max(idents.column(keys[0]))).first()
                 small = n <= BROADCAST_ROWS
@@ -303,7 +304,8 @@ class Table:
                         return
                     stored = _as_stored(rows, s.schema)
                     only_keys = {c.lower() for c in stored.columns} <= {k.lower() for k in keys}
-                    touched, matched = self._touched(s, stored, keys, small, low, high)
+                    maybe = self._maybe(s, low, high)
+                    touched, matched = self._touched(s, maybe, stored, keys, small)
                     try:
                         base = self.read(files=touched)
                         if only_keys:
@@ -324,14 +326,20 @@ class Table:
                         self.metrics.records(n)
                         return
             finally:
-                kept.unpersist()
+                if kept is not None:
+                    kept.unpersist()
         raise CommitConflict(self.store.root)
 
-    def _touched(self, s: State, rows: DataFrame, keys: list[str], small: bool, low: object, high: object) -> tuple[list[str], DataFrame | None]:
-        """(files that have to change, the batch's keys that are known): by the first key's bounds, then files that really hold a key
-        of the batch. The keys come for small batches only, from the same look at the table's key columns, and are to be unpersisted."""
-        maybe = [f for f, m in s.files.items() if low is None or m.get("low") is None or not isinstance(low, type(m["low"])) or (m["high"] >= low and m["low"] <= high)]
-        if not maybe or low is None:
+    def _maybe(self, s: State, low: object, high: object) -> list[str]:
+        """Files whose first key's bounds meet the batch's; none if its keys are null."""
+        if low is None:
+            return []
+        return [f for f, m in s.files.items() if m.get("low") is None or not isinstance(low, type(m["low"])) or (m["high"] >= low and m["low"] <= high)]
+
+    def _touched(self, s: State, maybe: list[str], rows: DataFrame, keys: list[str], small: bool) -> tuple[list[str], DataFrame | None]:
+        """(files that really hold a key of the batch, the batch's keys that are known). The keys come for small batches only, from the
+        same look at the table's key columns, and are to be unpersisted."""
+        if not maybe:
             return [], None
         known = self.spark.read.schema(s.schema).parquet(*[self.store.at(f) for f in maybe])
         names = [f"__k{i}" for i in range(len(keys))]
