@@ -65,6 +65,12 @@ def flush_batches(df: DataFrame, partition: Column, order: str, size: int, stret
     return _join(rows.withColumn("__within", within), offsets, ["p", "__s"]).withColumn("b", F.floor((F.col("__before") + F.col("__within")) / size)).drop("__s", "__within", "__before")
 
 
+def buffers(df: DataFrame, topic: str, partition: Column, value: str) -> DataFrame:
+    """What each topic and partition has gathered: topic, p, n (records), n_bytes of their values; nulls are a partition and a topic of
+    their own, null values have no bytes. Combined before the shuffle, so that a hot partition is a row per task."""
+    return df.groupBy(F.col(topic).alias("topic"), partition.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(value)), F.lit(0)).cast("bigint").alias("n_bytes"))
+
+
 def flush_reason(n: Column, size: Column, age: Column, limit_n: int, limit_size: int, limit_age: int, pressure: Column | None = None) -> Column:
     """Why a buffer is flushed: record count, then size, then time; memory pressure only where nothing else is due."""
     out = F.when(n >= limit_n, "record_count").when(size >= limit_size, "file_size").when(age >= limit_age, "time")

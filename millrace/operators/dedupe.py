@@ -171,7 +171,7 @@ def verified(records: DataFrame, topics: DataFrame, buckets: int = BUCKETS) -> D
 
     Records are read twice: their times, for the edges of the buckets, and once whole."""
     ship(records.sparkSession)
-    buckets = min(buckets, BUCKETS)
+    buckets = min(max(2, buckets), BUCKETS)
     span = records.agg(F.percentile_approx(_at(records), [i / buckets for i in range(1, buckets)], 10_000).alias("edges"), (F.count(F.lit(1)) * 2).alias("n")).first()
     edges = sorted(set(span.edges or []))
     crowd = 1 + max((list(span.edges).count(e) for e in edges), default=buckets - 1)  # shares of the rows that lie in one bucket, if times are equal

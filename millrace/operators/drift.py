@@ -66,6 +66,7 @@ PLACES = 1024
 BLOCK = 8
 
 
+@lru_cache(maxsize=1 << 16)
 def _place(shape: str) -> str:
     return str(zlib.crc32(shape.encode("utf-8", "surrogatepass")) % PLACES)
 
@@ -127,13 +128,20 @@ def _observe(registry: dict):
             return None
         return found
 
+    def named(topic: str, parent: str, name: str) -> tuple[str, str, bool, str | None]:
+        """(name as counted, in lower case, whether it is registered, what precedes the paths below it if it is a struct)."""
+        low = name.lower()
+        known = registry[topic].get(parent + low)
+        return (low, low, True, f"{parent}{low}." if known[1] == "struct" else None) if known else (name, low, False, None)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_paths: dict[tuple, list | None] = {}
+        names: dict[tuple, dict[str, tuple]] = {}
         for batch in it:
             facts: Counter = Counter()
             schemas: Counter = Counter()
             kinds: dict[tuple, Counter] = {}
-            shapes: dict[tuple, Counter] = {}
+            shapes: dict[tuple, dict[str, dict]] = {}
             for number, topic, schema, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 registered = registry.get(topic)
                 if registered is None or value is None:
@@ -160,22 +168,33 @@ def _observe(registry: dict):
                         seen = kinds.get((number, topic, parent))
                         if seen is None:
                             seen = kinds[number, topic, parent] = Counter()
+                    told = names.get((topic, parent))
+                    if told is None or len(told) > 50_000:
+                        told = names[topic, parent] = {}
+                    of_known = shapes.setdefault((None, topic, parent, origin), {})
+                    of_new = None
                     for name, v in obj.items():
-                        low = name.lower()
-                        known = registered.get(parent + low)
-                        spelled = low if known else name
+                        place = told.get(name)
+                        if place is None:
+                            place = told[name] = named(topic, parent, name)
+                        spelled, low, known, below = place
                         if origin == "json":
                             seen[spelled, json_kind(v, low)] += 1
                         if v is None:
                             continue
-                        at = (None if known else number, topic, parent, spelled, origin)
-                        shape = shapes.get(at)
+                        if known:
+                            group = of_known
+                        else:
+                            if of_new is None:
+                                of_new = shapes.setdefault((number, topic, parent, origin), {})
+                            group = of_new
+                        shape = group.get(spelled)
                         if shape is None:
-                            shape = shapes[at] = Counter()
+                            shape = group[spelled] = {}
                         for f in features(v):
-                            shape[f] += 1
-                        if known and known[1] == "struct" and isinstance(v, dict):
-                            todo.append((f"{parent}{low}.", v))
+                            shape[f] = shape.get(f, 0) + 1
+                        if below is not None and isinstance(v, dict):
+                            todo.append((below, v))
             for (number, topic, schema), n in schemas.items():
                 registered = registry[topic]
                 for parent, name, kind in known_paths.get((topic, schema)) or paths_of(topic, schema) or ():
@@ -184,9 +203,10 @@ def _observe(registry: dict):
             for (number, topic, parent), seen in kinds.items():
                 for (spelled, kind), n in seen.items():
                     facts[number, topic, "json", parent, spelled, kind, ""] += n
-            for (number, topic, parent, spelled, origin), shape in shapes.items():
-                for f, n in shape.items():
-                    facts[number, topic, "value", parent, spelled, origin, f] += n
+            for (number, topic, parent, origin), group in shapes.items():
+                for spelled, shape in group.items():
+                    for f, n in shape.items():
+                        facts[number, topic, "value", parent, spelled, origin, f] += n
             rows = list(zip(*facts, strict=True)) or [()] * 7
             cols = [pa.array(rows[0], pa.int64()), *[pa.array(r, pa.string()) for r in rows[1:]], pa.array(list(facts.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in FACTS.split(", ")])

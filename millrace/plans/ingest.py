@@ -306,8 +306,7 @@ def partition_pruned_read(spark: SparkSession, sf: str) -> DataFrame:
 @_query("SELECT event_type, CAST(user_id % 4 AS INTEGER) AS p, count(*) AS n, CAST(sum(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY ALL")
 def group_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and bytes by topic and partition."""
-    e = read_table(spark, sf, "events")
-    return e.groupBy("event_type", (F.col("user_id") % 4).cast("int").alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("props")).cast("bigint").alias("n_bytes"))
+    return consolidate.buffers(read_table(spark, sf, "events"), "event_type", (F.col("user_id") % 4).cast("int"), "props").withColumnRenamed("topic", "event_type")
 
 
 @_query("""

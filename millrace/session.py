@@ -50,9 +50,11 @@ def registry_rows(df: DataFrame, limit: int = MAX_REGISTRY_ROWS) -> list:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan of fewer partitions than half the cluster's cores (small inputs only); larger ones stay as read. For
-    plans of scans without shuffles, as only those have their partitions before they run."""
+    """Repartition a scan of fewer partitions than half the cluster's cores (small inputs only); larger ones stay as read, and
+    so do results of shuffles, which have their partitions only as they run: their plans have an adaptive root."""
     ship(df.sparkSession)
+    if df._jdf.queryExecution().executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 

@@ -235,6 +235,34 @@ def test_rejects_typed_and_empty(spark, topics, fields):
     assert rejects.found(df.limit(0), topics, fields).collect() == []
 
 
+@pytest.mark.parametrize("delimiter", ["||", "§", '"', "\n"])
+def test_delimiters_that_are_no_ascii_character_are_refused(spark, delimiter):
+    topics_ = spark.createDataFrame([("c", "c", None, "csv", delimiter, None, None)], TOPICS)
+    fields = spark.createDataFrame([("c", 0, "a", "string", True)], "topic string, field_pos int, field_path string, field_type string, is_optional boolean")
+    with pytest.raises(ValueError, match="delimiter of topic c"):
+        rejects.registry(topics_, fields)
+
+
+def test_typed_rows_are_in_utc(spark):
+    """Whatever the session's zone; the profile has a row per field, also of topics without readable rows."""
+    rows = [(1, "c", '7,2024-01-01T00:00:00,"x ""y"""'), (2, "c", "8,2024-01-01T00:00:00+0100,"), (3, "c", "x,,"), (3, "c", "x,,")]
+    df = spark.createDataFrame(rows, "line_id bigint, topic string, record_value string")
+    topics_ = spark.createDataFrame([("c", "c", None, "csv", ",", None, None), ("e", "e", None, "json", None, None, None)], TOPICS)
+    spec = [("c", 0, "a", "int32", False), ("c", 1, "at", "timestamp", True), ("c", 2, "s", "string", True), ("e", 0, "f", "float64", True)]
+    fields = spark.createDataFrame(spec, "topic string, field_pos int, field_path string, field_type string, is_optional boolean")
+    known = rejects.registry(topics_, fields)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        split = rejects.split(df, topics_, fields)
+        got = sorted((r.line_id, r.a, str(r["at"]), r.s) for r in rejects.typed(split, "c", known["c"][2]).collect())
+        profile = {(r.topic, r.field_path): (r.n_values, r.low, r.high) for r in rejects.profile(split, known).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [(1, 7, "2024-01-01 00:00:00", 'x "y"'), (2, 8, "2023-12-31 23:00:00", None)]
+    assert profile == {("c", "a"): (2, "7", "8"), ("c", "at"): (2, "1704063600000000", "1704067200000000"), ("c", "s"): (1, 'x "y"', 'x "y"'), ("e", "f"): (0, None, None)}
+
+
 # -------------------------------------------------------------------------------------------------- 3
 
 FILES = "file_id bigint, topic string, kafka_partition int, first_offset bigint, last_offset bigint, n_records int, n_bytes bigint, begin_snapshot bigint, end_snapshot bigint, flushed_at timestamp_ntz, file_content string, digest string, shards int"
