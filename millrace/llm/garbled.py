@@ -35,8 +35,8 @@ from millrace.session import registry_rows, ship, spread
 #: Costs in nats of entering a garbled state and of leaving it, before training; of pairs of two older encodings, which are rarer,
 #: entering costs more.
 ENTER, ENTER_OLD, LEAVE = 7.0, 10.0, 2.0
-#: Cost of a clean character amid a garbled state.
-ODD = 3.0
+#: Costs of a clean character amid a garbled state: of one the state can't have emitted, and of one it can have.
+ODD, ODD_UNIT = 3.0, 5.0
 #: What a transition amid the characters of a word costs more than one between words.
 INSIDE = 3.0
 #: What two ways to the same place can still differ by, as the classes of their last characters differ.
@@ -465,7 +465,7 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
                     more, after = emit(before, u[0])
                     go(i + u[1], (s, after, b"", 0), total + more + stay[s], (link, s, i, u[1], u[0]))
                 more, after = emit(before, c)
-                go(i + 1, (s, after, b"", 0), total + more + ODD, link)
+                go(i + 1, (s, after, b"", 0), total + more + (ODD if u is None else ODD_UNIT), link)
             elif c == LOST:
                 rest = _length(part[0]) - len(part) - 1 if part else rest - 1 if rest else 2
                 go(i + 1, (s, before[1] + "r", b"", rest), total + LOST_GARBLED, (link, s, i, 1, LOST))

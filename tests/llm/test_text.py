@@ -315,7 +315,7 @@ def test_paths_are_exact():
                 if s != garbled.SOUND and s != state and u is None:
                     continue
                 more, after = model.emit(before, c)
-                walk(at + 1, s, after, total + move + more + (garbled.ODD if s != garbled.SOUND else 0.0), out + c)
+                walk(at + 1, s, after, total + move + more + (0.0 if s == garbled.SOUND else garbled.ODD if u is None else garbled.ODD_UNIT), out + c)
                 if u is not None:
                     more, after = model.emit(before, u[0])
                     walk(at + u[1], s, after, total + move + more + model.stay[s], out + u[0])
