@@ -26,7 +26,7 @@ from millrace.session import ship
 
 _ID_LIKE = re.compile(ts.ID_LIKE)
 #: Trees that are folded on the driver; those of the tasks are folded into so many before.
-LAST_TREES = 16
+LAST_TREES = 8
 _NUMBER_RANK = ("boolean", "int32", "int64", "float64")
 
 
