@@ -284,6 +284,28 @@ def test_spans_are_cut_at_characters(bad, good):
     assert fixed(bad) == good and fixed(good) == good
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["‘one’ “two” — three… ", "„eins“ – zwei‚ ‘drei’ ", "α β Γ π Σ σ µ τ Φ Θ Ω δ φ ε ", "±5 ×18 ÷2 ½ ¼ ² ³ 20 °C § 3 ", "Šest žen, „šuma“ i „žito“, što je još ", "PREMIÈRE ÉTAPE À REVOIR, ÇA ÔTE ", "à é è ó ", "안녕하세요 세계 이번 변경은 ", "此次修改只影響設定，刪除沒有使用的選項。", "• item † note ‡ other ‰ ™ "],
+)
+def test_sound_texts_rich_in_odd_characters_stay(text):
+    """Small gains over many characters don't add up to a garbled stretch."""
+    assert garbled.label(text * 300, garbled.Words()) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "written", "read"),
+    [("이번 변경은 설정만 수정합니다. 테스트가 아직 없습니다", "euc_kr", "cp1252"), ("此次修改只影響設定，刪除沒有使用的選項。", "big5", "latin-1"), ("此次修改只影响配置，删除没有使用的选项。", "gbk", "cp1252")],
+)
+def test_more_pairs_are_restored(text, written, read):
+    assert fixed(misread(text, written, read)) == text
+
+
+def test_cyrillic_misread_twice():
+    text = "Исправлена ошибка в модуле"
+    assert fixed(misread(misread(text, "utf-8", "cp1251"), "utf-8", "cp1251")) == text
+
+
 def test_paths_are_exact():
     """Against all labellings of short words, one by one."""
     from itertools import product
