@@ -438,13 +438,14 @@ def paths(word: str, start: int, model: Model) -> dict[int, tuple[float, tuple]]
                 del here[mode]
         if c < "\x80":
             end = i + 1
-            while end < n and word[end] < "\x80":
+            while end < n and word[end] < "\x80" and ways[end] is None:  # a unit may end amid ASCII, which its second byte can be
                 end += 1
-            tail = kind(word[end - 2]) + kind(word[end - 1]) if end - i > 1 else None
+            last = end == n or word[end] >= "\x80"
+            tail = kind(word[end - 2]) + kind(word[end - 1]) if last and end - i > 1 else None
             for (s, before, part, _), (total, link) in here.items():
                 if s != SOUND and part:
                     continue  # a character broken off
-                for x in word[i : min(end, i + 2)]:  # from the third on the classes before are the same in all modes
+                for x in word[i : min(end, i + 2) if last else end]:  # from the third on the classes before are the same in all modes
                     more, before = emit(before, x)
                     total += more
                 go(end, (s, tail or before, b"", 0), total, link)

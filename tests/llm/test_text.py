@@ -380,3 +380,32 @@ def test_garbled_text_joined_to_clean(read):
         assert fixed(garbage + after) == alone + after
         assert fixed(before + garbage + after) == before + alone + after
     assert fixed(before + after) == before + after
+
+
+@pytest.mark.parametrize(
+    ("text", "written", "read"),
+    [("温度±5以内、誤差±12以内", "cp932", "latin-1"), ("再起動しても同じ結果になる。#2581", "cp932", "cp1252"), ("設定ソ123と表456を確認", "cp932", "latin-1"), ("設定の表1234と再起動の表5678を確認、能力10と20", "cp932", "cp1252"), ("資料庫功能異常123功456", "big5", "cp1252")],
+)
+def test_units_that_end_amid_ascii(text, written, read):
+    """The second byte of a character can be ASCII, and more ASCII can follow it."""
+    bad = misread(text, written, read)
+    assert garbled.restore(bad, garbled.label(bad, garbled.Words())) == text
+
+
+def test_every_word_has_a_clean_end():
+    """From any state, also where ASCII follows a unit's second byte; the path in that state costs no more than its units."""
+    from itertools import product
+
+    model = garbled.Model()
+    state = next(n for n, s in enumerate(garbled.STATES) if s.name == "cp932>latin-1")
+    for parts in product(["\x81}", "\x95\\", "}", "54", "é"], repeat=3):
+        word = "".join(parts)
+        if word.isascii():
+            continue
+        for start in (garbled.SOUND, garbled.GONE, *range(len(garbled.STATES))):
+            assert garbled.SOUND in garbled.paths(word, start, model), (word, start)
+    total, before = 0.0, "ww"
+    for c in "±54":
+        more, before = model.emit(before, c)
+        total += more + (model.stay[state] if c == "±" else 0.0)
+    assert garbled.paths("\x81}54", state, model)[state][0] <= total + model.step(before, "w") + 1e-9
